@@ -1,0 +1,171 @@
+"""L01 to L29 on hand-written rows."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+from conftest import plan_of
+from tidemark.plans import flights as q
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+D1, D2 = dt.datetime(2017, 7, 14, 8), dt.datetime(2017, 7, 15, 8)
+
+
+@pytest.fixture(scope="module")
+def flights(spark):
+    schema = (
+        "flight_id int, flight_no string, status string, departure_airport string, arrival_airport string, "
+        "aircraft_code string, scheduled_departure timestamp, actual_departure timestamp"
+    )
+    return spark.createDataFrame(
+        [
+            (1, "A1", "Arrived", "SVO", "LED", "773", D1, D1),
+            (2, "A1", "Scheduled", "SVO", "LED", "773", D1, None),
+            (3, "A2", "Scheduled", "SVO", "LED", "SU9", D2, None),
+            (4, "A3", "Delayed", "LED", "SVO", "773", D2, D2),
+            (5, "A4", "Scheduled", "LED", "SVO", "???", D2, None),
+        ],
+        schema,
+    )
+
+
+@pytest.fixture(scope="module")
+def aircrafts(spark):
+    return spark.createDataFrame(
+        [("773", "Boeing 777", 11100), ("SU9", "Sukhoi R-100", 3000), ("CR2", "Airbus r", 2700), ("XX1", "boeing", None)],
+        "aircraft_code string, model string, range int",
+    )
+
+
+@pytest.fixture(scope="module")
+def tickets(spark):
+    return spark.createDataFrame(
+        [
+            ("t1", 1, "Economy"), ("t1", 2, "Economy"), ("t2", 2, "Economy"), ("t2", 2, "Economy"),
+            ("t3", 3, "Business"), ("t4", 5, "Economy"), ("t5", 99, "Economy"), ("t6", 4, "Economy"),
+        ],
+        "ticket_no string, flight_id int, fare_conditions string",
+    )
+
+
+@pytest.fixture(scope="module")
+def bookings(spark):
+    def at(*clock):
+        return dt.datetime(2017, 7, *clock)
+
+    return spark.createDataFrame(
+        [
+            ("b1", at(13, 23, 59, 59), Decimal("10.00")),
+            ("b2", at(14, 0, 0, 0), Decimal("20.01")),
+            ("b3", at(14, 23, 59, 59), Decimal("20.00")),
+            ("b4", at(15, 0, 0, 0), Decimal("20.01")),
+            ("b5", at(15, 1, 0, 0), None),
+        ],
+        "book_ref string, book_date timestamp, total_amount decimal(10,2)",
+    )
+
+
+def test_l01_to_l10_scans_and_filters(flights, aircrafts):
+    assert len(rows(q.statuses(flights))) == 5
+    assert sorted(rows(q.distinct_statuses(flights))) == [("Arrived",), ("Delayed",), ("Scheduled",)]
+    assert [r[0] for r in rows(q.models_by_range(aircrafts))] == ["boeing", "Boeing 777", "Sukhoi R-100", "Airbus r"]
+    assert [r[0] for r in rows(q.flights_with_status(flights))] == [1]
+    assert [r[0] for r in rows(q.flights_into(flights, "Scheduled", "LED"))] == [2, 3]
+    assert [r[0] for r in rows(q.models_starting_with(aircrafts))] == ["773"]
+    assert [r[0] for r in rows(q.models_containing(aircrafts))] == ["SU9"]
+    assert [r[0] for r in rows(q.not_departed(flights))] == [2, 3, 5]
+    assert rows(q.flights_either(flights)) == rows(q.flights_among(flights))
+    assert len(rows(q.flights_among(flights))) == 4
+
+
+def test_l11_to_l17_bookings(bookings):
+    assert rows(q.booking_count(bookings)) == [(5,)]
+    assert rows(q.booking_minimum(bookings)) == [(Decimal("10.00"),)]
+    assert rows(q.booking_sum(bookings)) == [(Decimal("70.02"),)]
+    # The mean of the four known amounts is 17.505, which rounds away from zero.
+    assert rows(q.booking_stats(bookings)) == [
+        (Decimal("10.00"), Decimal("20.01"), Decimal("70.02"), Decimal("17.51"))
+    ]
+    assert rows(q.bookings_on(bookings)) == [(2,)]
+    days = [dt.date(2017, 7, d) for d in (14, 15, 13)]
+    assert rows(q.bookings_per_day(bookings)) == [(days[0], 2), (days[1], 2), (days[2], 1)]
+    per_day = {r.day.day: r for r in q.booking_stats_per_day(bookings).collect()}
+    assert per_day[14].avg_amount == Decimal("20.01") and per_day[14].avg_plus_20 == Decimal("40.01")
+    assert (per_day[15].n, per_day[15].sum_amount) == (2, Decimal("20.01"))
+
+
+def test_l15_day_becomes_a_range_on_the_scan(spark, bookings, tmp_path):
+    path = str(tmp_path / "bookings")
+    bookings.write.parquet(path)
+    plan = plan_of(q.bookings_on(spark.read.parquet(path)))
+    assert "GreaterThanOrEqual(book_date,2017-07-14" in plan and "LessThan(book_date,20" in plan
+
+
+def test_mean_of_unknown_amounts_is_null(bookings):
+    assert rows(q.booking_stats(bookings.filter("book_ref = 'b5'"))) == [(None, None, None, None)]
+
+
+def test_l18_l19_routes_and_models(flights, aircrafts):
+    assert rows(q.busiest_routes(flights)) == [("LED", "SVO", 2), ("SVO", "LED", 2)]
+    assert sorted(rows(q.flights_per_model(flights, aircrafts))) == [("Boeing 777", "773", 1), ("Sukhoi R-100", "SU9", 1)]
+
+
+def test_l20_keeps_every_ticket(flights, aircrafts, tickets):
+    found = q.tickets_with_flight(tickets, flights, aircrafts)
+    assert len(set(found.columns)) == len(found.columns) == 3 + 8 + 3
+    by_ticket = {(r.tf_ticket_no, r.tf_flight_id): r for r in found.collect()}
+    assert found.count() == 8
+    assert by_ticket["t5", 99].f_flight_id is None
+    assert by_ticket["t4", 5].f_flight_id == 5 and by_ticket["t4", 5].a_model is None
+
+
+def test_l21_counts_distinct_tickets(flights, aircrafts, tickets):
+    assert rows(q.tickets_per_day(tickets, flights, aircrafts)) == [
+        (D1.date(), "Boeing 777", "Economy", 2),
+        (D2.date(), "Sukhoi R-100", "Business", 1),
+        (D2.date(), None, "Economy", 1),
+    ]
+
+
+def test_l22_one_scan_equals_union(flights, aircrafts, tickets):
+    tagged = rows(q.tickets_per_day_tagged(tickets, flights, aircrafts))
+    assert tagged == rows(q.tickets_per_day_union(tickets, flights, aircrafts))
+    assert (D1.date(), "Boeing 777", "Economy", 1, "Already completed") in tagged and len(tagged) == 4
+
+
+def test_l25_status_as_key(flights, aircrafts, tickets):
+    found = rows(q.tickets_per_day_and_status(tickets, flights, aircrafts))
+    assert (D1.date(), "Boeing 777", "Economy", 1, "Arrived") in found
+    assert len(found) == 4
+
+
+def test_l29_keeps_unmatched_tickets(flights, aircrafts, tickets):
+    found = rows(q.tickets_per_day_keeping_unmatched(tickets, flights, aircrafts))
+    # Tickets of arrived, delayed and unknown flights: t1, t5, t6.
+    assert (None, None, "Economy", None, 3) in found
+    assert len(found) == 4
+
+
+def test_l26_to_l28_largest_booking(bookings):
+    assert rows(q.largest_amount(bookings)) == [(Decimal("20.01"),)]
+    assert sorted(r[0] for r in rows(q.bookings_with_largest_amount(bookings))) == ["b2", "b4"]
+    assert rows(q.largest_booking(bookings, tie="book_ref"))[0][0] == "b5"
+    assert rows(q.largest_booking(bookings.dropna(), tie="book_ref"))[0][0] == "b2"
+
+
+def test_look_ups_are_broadcast_only_below_the_threshold(spark, settings, tmp_path, flights, aircrafts, tickets):
+    def stored(name, df):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    flights, aircrafts, tickets = stored("f", flights), stored("a", aircrafts), stored("t", tickets)
+    small = plan_of(q.tickets_per_day(tickets, flights, aircrafts))
+    assert "SortMergeJoin" not in small
+    settings(**{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    large = plan_of(q.tickets_per_day(tickets, flights, aircrafts))
+    assert "Broadcast" not in large

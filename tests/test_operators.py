@@ -1,0 +1,316 @@
+"""Sorts, top-k, set algebra, joins, intervals, arrays and dates on small inputs."""
+
+import datetime as dt
+import itertools
+import random
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, given
+from hypothesis import settings as examples
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from conftest import plan_of
+from tidemark.functions import arrays, dates, intervals, payloads
+from tidemark.operators import ordering, relational, setops, skew
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def numbers(spark, *values, name="x"):
+    return spark.createDataFrame([(v,) for v in values], f"{name} int")
+
+
+# --- O: sorts and limits ---------------------------------------------------------------------
+
+
+def test_o01_null_is_largest(spark):
+    df = numbers(spark, 2, None, 1)
+    assert rows(df.orderBy(ordering.desc("x"))) == [(None,), (2,), (1,)]
+    assert rows(df.orderBy(ordering.asc("x"))) == [(1,), (2,), (None,)]
+
+
+def test_o05_ties_at_the_limit_go_to_the_smallest_key(spark):
+    df = spark.createDataFrame([(k, 1) for k in range(20, 0, -1)], "k int, n int")
+    top = ordering.top_n(df, 3, "n", tie="k")
+    assert [r[0] for r in rows(top)] == [1, 2, 3]
+    assert "TakeOrderedAndProject" in plan_of(top)
+
+
+@pytest.mark.parametrize("k, kept", [(1, [9]), (2, [9, 7, 7]), (3, [9, 7, 7]), (4, [9, 7, 7, 1]), (9, [9, 7, 7, 1])])
+def test_o08_top_k_with_ties(spark, k, kept):
+    assert sorted((r[0] for r in rows(ordering.top_k_with_ties(numbers(spark, 7, 9, 1, 7), k, "x"))), reverse=True) == kept
+
+
+def test_o08_strict_threshold(spark):
+    df = numbers(spark, 7, 9, 1, 7)
+    assert sorted(rows(ordering.top_k_with_ties(df, 3, "x", strict_threshold=True))) == [(7,), (7,), (9,)]
+    assert rows(ordering.top_k_with_ties(df, 5, "x", strict_threshold=True)) == []
+    # A NULL takes the first place of the strict form and is skipped by the default.
+    with_null = numbers(spark, 7, None, 1)
+    assert rows(ordering.top_k_with_ties(with_null, 2, "x", strict_threshold=True)) == [(7,)]
+    assert rows(ordering.top_k_with_ties(with_null, 1, "x")) == [(7,)]
+
+
+def test_o08_aggregates_once(spark):
+    """The threshold subquery reads the aggregate the rows come from."""
+    counts = relational.group_count(spark.range(1000).select((F.col("id") % 37).alias("k")), "k")
+    assert "ReusedExchange" in plan_of(ordering.top_k_with_ties(counts, 3, "n"))
+
+
+# --- U: set algebra --------------------------------------------------------------------------
+
+items = st.lists(st.one_of(st.none(), st.integers(0, 5)), max_size=12)
+
+
+@given(items, items)
+@examples(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_u02_to_u08_against_python_sets(spark, left, right):
+    a, b = numbers(spark, *left), numbers(spark, *right)
+
+    def values(df):
+        found = [r[0] for r in rows(df)]
+        assert len(found) == len(set(found))
+        return set(found)
+
+    assert sorted(map(str, (r[0] for r in rows(setops.union_all(a, b))))) == sorted(map(str, left + right))
+    assert values(setops.union_distinct(a, b)) == set(left) | set(right)
+    assert values(setops.difference(a, b)) == set(left) - set(right)
+    assert values(setops.intersection(a, b)) == set(left) & set(right)
+    only = setops.symmetric_difference(a, b)
+    assert values(only) == set(left) ^ set(right)
+    assert values(setops.intersection(only, a)) == set(left) - set(right)
+
+
+def test_u05_to_u07_named_sets(spark):
+    def people(*names):
+        return spark.createDataFrame([(n,) for n in names], "name string")
+
+    def names(df):
+        return {r[0] for r in rows(df)}
+
+    assert names(setops.difference(people("Bob", "Ann", "Joe"), people("Bob", "Joe"))) == {"Ann"}
+    a, b = people("Bob", "Jen", "Rolf", "Charlie"), people("Bob", "Jen", "Adam", "Anne")
+    assert names(setops.intersection(a, b)) == {"Bob", "Jen"}
+    assert names(setops.symmetric_difference(a, b)) == {"Rolf", "Charlie", "Adam", "Anne"}
+
+
+def test_u02_u03_p18_constants(spark):
+    one = spark.range(1).select(F.lit(1).alias("one"))
+    assert len(rows(setops.union_distinct(one, one))) == 1
+    assert len(rows(setops.union_all(one, one))) == 2
+
+
+def test_set_algebra_is_one_shuffle(spark):
+    a, b = spark.range(100).select((F.col("id") % 7).alias("x")), spark.range(50).select((F.col("id") % 5).alias("x"))
+    plan = setops.symmetric_difference(a, b)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+# --- J, A: joins and aggregates --------------------------------------------------------------
+
+
+def test_j08_anti_and_semi_rows_add_up(spark):
+    left, right = numbers(spark, 1, 2, 3, 3, None), numbers(spark, 3, 3, 4, None)
+    anti = rows(relational.anti_join(left, right, "x"))
+    assert sorted(anti, key=str) == [(1,), (2,), (None,)]
+    assert len(anti) + left.join(right, "x", "left_semi").count() == 5
+
+
+def test_a13_null_extended_counts(spark):
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "x int, name string")
+    found = rows(relational.null_extended_counts(parent, numbers(spark, 1, 1, 3, 9, None), "x"))
+    assert sorted(found) == [(1, "a", 2, 2), (2, "b", 1, 0), (3, "c", 1, 1)]
+
+
+@pytest.mark.parametrize(
+    "amounts, mean",
+    [
+        (["0.01", "0.02"], "0.02"),
+        (["-0.01", "-0.02"], "-0.02"),
+        (["1.00", "1.00", "1.01"], "1.00"),
+        (["1.00", None], "1.00"),
+        ([None], None),
+        (["-3.00", "3.00"], "0.00"),
+    ],
+)
+def test_rounded_mean(spark, amounts, mean):
+    df = spark.createDataFrame([(a and Decimal(a),) for a in amounts], "a decimal(18,2)")
+    assert rows(df.agg(relational.rounded_mean("a"))) == [(mean and Decimal(mean),)]
+
+
+def test_j03_roll_up_multiplies_sums_not_rows(spark):
+    measures = spark.createDataFrame([(1, 10), (2, 5), (4, 1)], "f int, n int")
+    link = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "b"), (3, "c")], "f int, g string")
+    for many in (False, True):
+        assert sorted(rows(skew.roll_up(measures, link, "f", "g", many))) == [("a", 10), ("b", 25)]
+
+
+def test_hot_link_key_is_split(spark, settings):
+    """Half of the link rows share one key; the join of aggregated measures still splits it."""
+    settings(**{
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    })
+    ids = spark.range(0, 400_000, 1, 16)
+    link = ids.select(
+        F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 5000).alias("f"), (F.col("id") % 97).alias("g")
+    )
+    raw = spark.range(0, 100_000, 1, 4).select((F.col("id") % 5000).alias("f"), F.lit(1).alias("n"))
+    measures = raw.groupBy("f").agg(F.sum("n").alias("n"))
+    plain = skew.roll_up(measures, link, "f", "g")
+    split = skew.roll_up(measures, link, "f", "g", many=True)
+    assert "skew=true" not in plan_of(plain)
+    assert "SortMergeJoin(skew=true)" in plan_of(split)
+    assert sorted(rows(split)) == sorted(rows(plain)) and len(rows(split)) == 97
+
+
+def test_hot_left_key_of_a_look_up_is_split(spark, settings):
+    settings(**{
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    })
+    facts = spark.range(0, 400_000, 1, 16).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("k"), "id")
+    table = spark.range(0, 5000, 1, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    found = relational.looked_up(facts, table, "k", "left")
+    assert "SortMergeJoin(skew=true)" in plan_of(found)
+    assert found.count() == 400_000
+
+
+# --- F: intervals, dates, payloads -----------------------------------------------------------
+
+DAY = 86_400_000_000
+
+
+@pytest.mark.parametrize(
+    "micros, parts",
+    [
+        (65 * DAY + 19_815_500_000, (2, 5, 19_815_500_000)),
+        (-(65 * DAY + 19_815_000_000), (-2, -5, -19_815_000_000)),
+        (30 * DAY, (1, 0, 0)),
+        (30 * DAY - 1, (0, 29, DAY - 1)),
+        (0, (0, 0, 0)),
+        (None, None),
+    ],
+)
+@pytest.mark.parametrize("kind", ["bigint", "decimal(38,0)"])
+def test_f05_justify_interval(spark, micros, parts, kind):
+    df = spark.createDataFrame([(None if micros is None else Decimal(micros),)], "m decimal(38,0)")
+    found = df.select(intervals.justify_interval(F.col("m").cast(kind)).alias("i")).first().i
+    assert (None if found is None else tuple(found)) == parts
+
+
+def test_f04_a11_elapsed_time(spark):
+    t0 = dt.datetime(2021, 3, 1)
+    df = spark.createDataFrame(
+        [(1, t0, t0 + dt.timedelta(days=40, hours=1)), (1, t0, None), (1, t0, t0 - dt.timedelta(days=1)), (2, t0, None)],
+        "k int, a timestamp, b timestamp",
+    )
+    sums = df.groupBy("k").agg(intervals.elapsed_sum("b", "a").alias("m"))
+    assert sorted(rows(sums)) == [(1, Decimal(39 * DAY + DAY // 24)), (2, None)]
+    assert rows(df.select(intervals.interval_micros(F.col("b") - F.col("a"))))[0] == (40 * DAY + DAY // 24,)
+
+
+def test_a11_sum_beyond_64_bits(spark):
+    """Two million intervals of 60 days are more microseconds than a 64-bit sum can hold."""
+    start = F.lit("2021-01-01 00:00:00").cast("timestamp_ntz")
+    df = spark.range(2_000_000).select(start.alias("a"), F.lit("2021-03-02 00:00:00").cast("timestamp_ntz").alias("b"))
+    total = df.agg(intervals.elapsed_sum("b", "a").alias("m")).select(intervals.justify_interval(F.col("m")).alias("i"))
+    assert tuple(total.first().i) == (4_000_000, 0, 0)
+
+
+def test_f01_day_follows_the_session_zone(spark, settings):
+    df = spark.createDataFrame([(1_609_459_199,), (1_609_459_200,)], "s bigint").select(F.timestamp_seconds("s").alias("t"))
+    assert [r[0].isoformat() for r in rows(df.select(dates.day("t")))] == ["2020-12-31", "2021-01-01"]
+    settings(**{"spark.sql.session.timeZone": "Asia/Tokyo"})
+    assert [r[0].isoformat() for r in rows(df.select(dates.day("t")))] == ["2021-01-01", "2021-01-01"]
+
+
+def test_f06_f07_iso_days(spark):
+    df = spark.createDataFrame([("2021-02-03",)], "s string")
+    day = dates.parse_day(F.col("s"))
+    assert rows(df.select(day, dates.format_day(day))) == [(dt.date(2021, 2, 3), "2021-02-03")]
+    with pytest.raises(PySparkException):
+        df.select(dates.parse_day(F.lit("03.02.2021"))).collect()
+
+
+def test_f08_day_ranges(spark):
+    a, b = dt.date(2021, 2, 27), dt.date(2021, 3, 2)
+    assert [d.day for d in dates.days_between(a, b)] == [27, 28, 1, 2]
+    assert dates.days_between(a) == [a]
+    assert sorted(r[0] for r in rows(dates.day_range(spark, a, b))) == dates.days_between(a, b)
+    for wrong in (lambda: dates.days_between(b, a), lambda: dates.day_range(spark, b, a)):
+        with pytest.raises(ValueError):
+            wrong()
+    with pytest.raises(PySparkException):
+        spark.range(1).select(dates.day_sequence(F.lit(b), F.lit(a))).collect()
+
+
+def test_f09_varying_keys_become_a_map(spark):
+    documents = ['{"EUR": 1.5, "USD": 2}', '{"PLN": 0.25}', None]
+    df = spark.createDataFrame([(d,) for d in documents], "payload string")
+    found = [r[0] for r in rows(df.select(payloads.decode_numbers("payload")))]
+    assert found == [{"EUR": 1.5, "USD": 2.0}, {"PLN": 0.25}, None]
+    again = df.select(payloads.encode(payloads.decode_numbers("payload")))
+    assert rows(again)[1] == ('{"PLN":0.25}',)
+    fx = "base string, rates map<string,double>, date date"
+    document = spark.createDataFrame([('{"base":"EUR","rates":{"USD":1.2},"date":"2021-04-01"}',)], "payload string")
+    assert tuple(document.select(payloads.decode("payload", fx).alias("d")).first().d) == (
+        "EUR", {"USD": 1.2}, dt.date(2021, 4, 1),
+    )
+
+
+# --- R: arrays -------------------------------------------------------------------------------
+
+
+def test_r01_to_r04_lists(spark):
+    a = F.array(*map(F.lit, ["Bob", "Anne", "Joe"]))
+    found = spark.range(1).select(
+        arrays.element(a, 0),
+        arrays.element(a, 9),
+        arrays.append(a, F.lit("John")),
+        arrays.extend(a, F.array(F.lit("Mike"), F.lit("Bob"))),
+        arrays.distinct_items(F.array(*map(F.lit, ["Bob", "Joe", "Bob"]))),
+    ).first()
+    assert tuple(found) == (
+        "Bob", None, ["Bob", "Anne", "Joe", "John"], ["Bob", "Anne", "Joe", "Mike", "Bob"], ["Bob", "Joe"],
+    )
+
+
+def test_r05_to_r07_ranges_and_slices(spark):
+    ten = arrays.integers(F.lit(1), F.lit(10))
+    found = spark.range(1).select(
+        ten, arrays.stepped_slice(ten, 2, 5, 2), arrays.reversed_items(ten), arrays.integers(F.lit(3), F.lit(2))
+    ).first()
+    assert tuple(found) == (list(range(1, 11)), [3, 5], list(range(10, 0, -1)), [])
+
+
+def test_r06_slices_like_a_list(spark):
+    random.seed(1)
+    values = list(range(12))
+    array = F.array(*map(F.lit, values))
+    for start, stop, step in itertools.islice(
+        ((a, b, c) for a in (0, 3, 11) for b in (3, 7, 20) for c in (1, 2, 5) if a <= b), 20
+    ):
+        found = spark.range(1).select(arrays.stepped_slice(array, start, stop, step)).first()[0]
+        assert found == values[start:stop:step]
+
+
+def test_r08_r09_map_to_records(spark):
+    salaries = {"Bob": 5000, "Anne": 4000, "Kristine": 4000, "Eugene": 4200}
+    df = spark.createDataFrame([(salaries,)], "m map<string,bigint>")
+    records = df.select(arrays.records(F.col("m"), "name", "salary").alias("emps"))
+    assert sorted(rows(records.select(F.inline("emps")))) == sorted(salaries.items())
+    assert sorted(rows(records.select(F.explode("emps").alias("e")).select("e.salary"))) == [
+        (4000,), (4000,), (4200,), (5000,),
+    ]

@@ -18,6 +18,25 @@ def inner_chain(first: DataFrame, *steps: tuple[DataFrame, str]) -> DataFrame:
     return first
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate; for a scan it comes from the file sizes and the columns read."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def looked_up(df: DataFrame, table: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """``df`` with the columns of ``table``, whose key ``on`` is unique, for a join to a larger table.
+
+    Spark takes the size of a join to be the product of its inputs, so it would never broadcast the
+    result, however small both are. A unique key bounds the result by the two inputs: where they fit
+    Spark's own broadcast threshold together, the result is marked for broadcast. Beyond it the
+    next join shuffles, as without the mark.
+    """
+    joined = df.join(table, on, how)
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    small = estimated_bytes(df) + estimated_bytes(table) <= limit
+    return F.broadcast(joined) if small else joined
+
+
 def anti_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """Rows of ``left`` without a partner. Keys of ``right`` are reduced map-side to one row each."""
     return left.join(right.select(on).distinct(), on, "left_anti")

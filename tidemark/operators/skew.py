@@ -1,72 +1,34 @@
-"""Joins that stay balanced when one key holds a large share of the rows.
-
-Adaptive execution splits a skewed join by itself as long as both inputs come straight from a
-shuffle. An input that was aggregated on the join key has no shuffle of its own, so such joins are
-salted here, for the hot keys only.
-"""
+"""Key chains that stay balanced when one key holds a large share of the rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 200          # a key with 1/200 of the rows or less is not hot, so no more can exist
-SKETCH_ITEMS = 10_000       # counters of the frequency sketch
-MIN_HOT_ROWS = 1_000_000    # below this a key is no burden for one task
-
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """``(key, ways)`` for each key with over 1/200 of the rows of ``df``; 200 rows at most.
+def splittable_join(measures: DataFrame, link: DataFrame, on: str) -> DataFrame:
+    """Inner join of aggregated ``measures`` with a ``link`` in which a key may be hot.
 
-    One pass over the key column with a mergeable frequency sketch, so nothing is shuffled but the
-    sketches. The counts are estimates: they choose how far a key is split, never what it joins to.
+    Adaptive execution splits a hot partition of a join only where both inputs come straight from
+    a shuffle made for that join. ``measures`` was just aggregated by ``on`` and Spark would reuse
+    that partitioning, leaving all rows of a hot link key to one task. Joining on the key and a
+    value computed from it asks for a partitioning of its own, so the split applies; each part of
+    the hot key meets a copy of its one measure row.
     """
-    sketch = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("total"),
-    )
-    counted = sketch.select("total", F.explode("top").alias("e")).select(
-        F.col("e.item").alias(key), F.col("e.count").alias("rows"), "total"
-    )
-    share = F.col("rows") * MAX_HOT_KEYS / F.col("total")
-    return counted.filter((F.col("rows") >= min_rows) & (share > 1)).select(
-        key, F.ceil(share).cast("bigint").alias("ways")
-    )
-
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn("on_hash", F.xxhash64(on))
 
-def spread_join(
-    measures: DataFrame, link: DataFrame, on: str, salt_by: str, min_rows: int = MIN_HOT_ROWS
-) -> DataFrame:
-    """Inner join of ``measures`` (one row per ``on``) with ``link`` (any number of rows per ``on``).
-
-    Link rows of a hot key are dealt over ``ways`` buckets by a hash of ``salt_by``, which a rerun
-    task repeats exactly; the one measure row of that key is copied to each bucket. Every pair is
-    formed once. The hot-key table is broadcast: it has 200 rows at most.
-    """
-    hot = F.broadcast(hot_keys(link, on, min_rows))
-    ways = F.coalesce("ways", F.lit(1).cast("bigint"))
-    dealt = link.join(hot, on, "left").withColumn("bucket", F.pmod(F.xxhash64(salt_by), ways)).drop("ways")
-    copied = (
-        measures.join(hot, on, "left")
-        .withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), ways - 1)))
-        .drop("ways")
-    )
-    return copied.join(dealt, [on, "bucket"]).drop("bucket")
+    return keyed(measures).join(keyed(link), [on, "on_hash"]).drop("on_hash")
 
 
-def roll_up(
-    measures: DataFrame, link: DataFrame, on: str, to: str, many: bool = False, min_rows: int = MIN_HOT_ROWS
-) -> DataFrame:
+def roll_up(measures: DataFrame, link: DataFrame, on: str, to: str, many: bool = False) -> DataFrame:
     """Carry additive measures from key ``on`` to key ``to`` through a link table.
 
     ``measures`` has one row per ``on``; every other column is summed. Aggregating before each join
-    of a chain keeps a hot key from crossing the next shuffle more than once, and a fan-out through
-    a non-key multiplies one summed row instead of all the rows behind it. ``many`` marks a link
-    in which ``on`` is not unique.
+    of a chain lets a hot key cross the next shuffle as one row per task, and a fan-out through a
+    non-key multiplies one summed row instead of all the rows behind it. ``many`` marks a link in
+    which ``on`` is not unique.
     """
     pairs = link.select(on, to)
-    if many:
-        joined = spread_join(measures, pairs, on, to, min_rows)
-    else:
-        joined = measures.join(pairs, on)
+    joined = splittable_join(measures, pairs, on) if many else measures.join(pairs, on)
     return joined.groupBy(to).agg(*[F.sum(name).alias(name) for name in measures.columns if name != on])

@@ -18,7 +18,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import day, on_day
 from tidemark.operators.ordering import asc, desc, sort_desc, top_n
-from tidemark.operators.relational import amount_stats, group_count, group_distinct, prefixed, rounded_mean
+from tidemark.operators.relational import (
+    amount_stats,
+    group_count,
+    group_distinct,
+    looked_up,
+    prefixed,
+    rounded_mean,
+)
 from tidemark.operators.setops import union_distinct
 
 # Status names and the tags they are shown under.
@@ -116,7 +123,7 @@ def flights_per_model(flights: DataFrame, aircrafts: DataFrame, status: str = SC
 
 def _with_aircraft(flights: DataFrame, aircrafts: DataFrame) -> DataFrame:
     """Flights with their model; NULL for an unknown code."""
-    return flights.join(aircrafts.select("aircraft_code", "model"), "aircraft_code", "left")
+    return looked_up(flights, aircrafts.select("aircraft_code", "model"), "aircraft_code", "left")
 
 
 def tickets_with_flight(ticket_flights: DataFrame, flights: DataFrame, aircrafts: DataFrame) -> DataFrame:
@@ -126,8 +133,9 @@ def tickets_with_flight(ticket_flights: DataFrame, flights: DataFrame, aircrafts
     shuffled once. Left joins in this order give the same rows.
     """
     tf, f, a = prefixed(ticket_flights, "tf"), prefixed(flights, "f"), prefixed(aircrafts, "a")
-    known = f.join(a, f["f_aircraft_code"] == a["a_aircraft_code"], "left")
-    return tf.join(known, tf["tf_flight_id"] == known["f_flight_id"], "left")
+    codes = a.withColumn("code", F.col("a_aircraft_code"))
+    known = looked_up(f.withColumn("code", F.col("f_aircraft_code")), codes, "code", "left").drop("code")
+    return tf.join(known, F.col("tf_flight_id") == F.col("f_flight_id"), "left")
 
 
 def _ticket_counts(tickets: DataFrame, *more: str | Column) -> DataFrame:
@@ -166,7 +174,9 @@ def tickets_per_day_tagged(
     tag = F.lit(None).cast("string")
     for status, label in tags.items():
         tag = F.when(F.col("status") == status, F.lit(label)).otherwise(tag)
-    counts = _ticket_counts(tickets, tag.alias("st"))
+    counts = _ticket_counts(tickets, tag.alias("st")).select(
+        "day", "model", "fare_conditions", "ticket_count", "st"
+    )
     return counts.orderBy(asc("day"), asc("model"), asc("fare_conditions"), asc("st"))
 
 
@@ -196,7 +206,9 @@ def tickets_per_day_and_status(
     wanted: tuple[str, ...] = (ARRIVED, SCHEDULED),
 ) -> DataFrame:
     tickets = _tickets_of(ticket_flights, flights_among(flights, wanted), aircrafts)
-    counts = _ticket_counts(tickets, "status")
+    counts = _ticket_counts(tickets, "status").select(
+        "day", "model", "fare_conditions", "ticket_count", "status"
+    )
     return counts.orderBy(asc("day"), asc("model"), asc("fare_conditions"), asc("status"))
 
 

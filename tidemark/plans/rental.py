@@ -9,8 +9,8 @@ Each takes ``t``, a mapping of table name to DataFrame:
     payment(rental_id, amount)             customer(customer_id, address_id, active)
     address(address_id, city_id)           city(city_id, city)
 
-Counts and sums travel up the key chain with ``roll_up``: aggregated before every join, so the
-large tables meet the shuffle once and a many-to-many step never multiplies raw rows.
+Joins on a primary key come before the large table they describe. Before a many-to-many step the
+measures are aggregated to one row per key (``roll_up``), so that it never multiplies raw rows.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.intervals import elapsed_micros, justify_interval
 from tidemark.operators.ordering import sort_desc, top_k_with_ties, top_n
-from tidemark.operators.relational import anti_join, group_count
+from tidemark.operators.relational import anti_join, group_count, looked_up
 from tidemark.operators.skew import roll_up
 from tidemark.session import materialise
 
@@ -31,8 +31,8 @@ Tables = Mapping[str, DataFrame]
 
 def films_per_category(t: Tables) -> DataFrame:
     """Film count of each category, largest first. Categories of equal name stay apart."""
-    films = group_count(t["film"], "film_id", name="film_count")
-    counts = roll_up(films, t["film_category"], on="film_id", to="category_id", many=True)
+    listed = t["film"].select("film_id").join(t["film_category"], "film_id")
+    counts = group_count(listed, "category_id", name="film_count")
     named = counts.join(t["category"], "category_id")
     return sort_desc(named, "film_count", tie="category_id").select(
         F.col("name").alias("category_name"), "film_count"
@@ -49,13 +49,16 @@ def most_rented_actors(t: Tables, n: int = 10) -> DataFrame:
 
 
 def money_per_category(t: Tables) -> DataFrame:
-    """``(category_id, category_name, total_amount)``."""
-    paid = t["payment"].groupBy("rental_id").agg(F.sum("amount").alias("total_amount"))
-    per_item = roll_up(paid, t["rental"], on="rental_id", to="inventory_id")
-    per_film = roll_up(per_item, t["inventory"], on="inventory_id", to="film_id")
+    """``(category_id, category_name, total_amount)``.
+
+    The film of each rental is looked up first, so the payments are shuffled once.
+    """
+    rented = looked_up(t["rental"].select("rental_id", "inventory_id"), t["inventory"], "inventory_id")
+    paid = t["payment"].join(rented.select("rental_id", "film_id"), "rental_id")
+    per_film = paid.groupBy("film_id").agg(F.sum("amount").alias("total_amount"))
     totals = roll_up(per_film, t["film_category"], on="film_id", to="category_id", many=True)
     names = t["category"].select("category_id", F.col("name").alias("category_name"))
-    return totals.join(names, "category_id")
+    return totals.join(names, "category_id").select("category_id", "category_name", "total_amount")
 
 
 def top_category_by_money(t: Tables) -> DataFrame:
@@ -71,7 +74,8 @@ def films_not_in_inventory(t: Tables) -> DataFrame:
 def films_per_actor(t: Tables, category: str) -> DataFrame:
     """``(actor_id, first_name, last_name, film_count)`` over films of one category."""
     wanted = t["category"].filter(F.col("name") == category).select("category_id")
-    films = group_count(t["film_category"].join(wanted, "category_id"), "film_id", name="film_count")
+    listed = t["film_category"].join(wanted, "category_id", "left_semi")
+    films = group_count(listed, "film_id", name="film_count")
     counts = roll_up(films, t["film_actor"], on="film_id", to="actor_id", many=True)
     return counts.join(t["actor"], "actor_id").select("actor_id", "first_name", "last_name", "film_count")
 
@@ -93,11 +97,11 @@ def customers_by_state_per_city(t: Tables) -> DataFrame:
 
     NULL counts in neither column and a city without customers shows zeros.
     """
-    per_address = t["customer"].groupBy("address_id").agg(
+    housed = t["customer"].select("address_id", "active").join(t["address"], "address_id")
+    per_city = housed.groupBy("city_id").agg(
         F.count_if(F.col("active") == 1).alias("active_n"),
         F.count_if(F.col("active") != 1).alias("passive_n"),
     )
-    per_city = roll_up(per_address, t["address"], on="address_id", to="city_id")
     cities = t["city"].join(per_city, "city_id", "left").select(
         "city_id",
         "city",
@@ -162,10 +166,9 @@ def rental_time_per_category(
         F.col("city").startswith(prefix).alias("starts"),
         F.col("city").contains(infix).alias("contains"),
     ).filter("starts OR contains")
-    homes = (
-        t["customer"].select("customer_id", "address_id")
-        .join(t["address"].join(cities, "city_id"), "address_id")
-        .select("customer_id", "starts", "contains")
+    addresses = t["address"].join(cities, "city_id")
+    homes = looked_up(t["customer"].select("customer_id", "address_id"), addresses, "address_id").select(
+        "customer_id", "starts", "contains"
     )
     trips = t["rental"].select(
         F.col(rental_key).alias("inventory_id"),

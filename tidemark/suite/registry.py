@@ -20,7 +20,14 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+# Reading a schema from the files is a Spark job of its own, so it is done once per table.
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 def register(name: str, sql: str | None = None):
