@@ -32,7 +32,7 @@ MAX_RENEWALS = 5
 
 MAX_TASKS = 20_000
 
-# Executors receive these classes by value, so they need no copy of the package.
+# Executors receive these classes, and those of the fetcher, by value: they need no copy of the code.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -99,6 +99,9 @@ class KeyedReader(DataSourceReader):
 def _read(
     spark: SparkSession, name: str, schema: str, fetcher, keys: Sequence, skip_errors: tuple, max_tasks: int
 ) -> DataFrame:
+    for part in type(fetcher).__mro__[:-1]:
+        cloudpickle.register_pickle_by_value(sys.modules[part.__module__])
+
     class KeyedSource(DataSource):
         @classmethod
         def name(cls) -> str:

@@ -12,11 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 # task each. Writers bound the file size so that such reads stay parallel.
 MAX_RECORDS_PER_FILE = 1_000_000
 
-# NULL, empty text, quotes, commas, backslashes and line breaks all survive a round trip.
-EXACT = {"header": True, "nullValue": "\\N", "emptyValue": "", "quote": '"', "escape": '"'}
+_QUOTING = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+# NULL, empty text, padding, quotes, commas, backslashes and line breaks all survive a round trip;
+# only the text \N itself reads back as NULL.
+EXACT = _QUOTING | {"nullValue": "\\N"}
 # What a database's own CSV copy writes and expects: NULL is an unquoted empty field and empty text
 # a quoted one. Spark reads both as NULL.
-PLAIN = {"header": True, "nullValue": "", "emptyValue": '""', "quote": '"', "escape": '"'}
+PLAIN = _QUOTING | {"nullValue": ""}
 
 
 # --- CSV -------------------------------------------------------------------------------------
