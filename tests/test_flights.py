@@ -158,7 +158,7 @@ def test_l26_to_l28_largest_booking(bookings):
     assert rows(q.largest_booking(bookings.dropna(), tie="book_ref"))[0][0] == "b2"
 
 
-def test_look_ups_are_broadcast_only_below_the_threshold(spark, settings, tmp_path, flights, aircrafts, tickets):
+def test_tables_are_broadcast_only_below_the_threshold(spark, settings, tmp_path, flights, aircrafts, tickets):
     def stored(name, df):
         df.write.parquet(str(tmp_path / name))
         return spark.read.parquet(str(tmp_path / name))

@@ -21,6 +21,10 @@ def rows(df):
     return [tuple(r) for r in df.collect()]
 
 
+def rows_sorted(df):
+    return sorted(rows(df), key=str)
+
+
 def numbers(spark, *values, name="x"):
     return spark.createDataFrame([(v,) for v in values], f"{name} int")
 
@@ -150,15 +154,19 @@ def test_j03_roll_up_multiplies_sums_not_rows(spark):
         assert sorted(rows(skew.roll_up(measures, link, "f", "g", many))) == [("a", 10), ("b", 25)]
 
 
+# As on large data: no broadcast, and a partition counts as skewed from a few kilobytes.
+LARGE = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
 def test_hot_link_key_is_split(spark, settings):
     """Half of the link rows share one key; the join of aggregated measures still splits it."""
-    settings(**{
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    })
+    settings(**LARGE)
     ids = spark.range(0, 400_000, 1, 16)
     link = ids.select(
         F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 5000).alias("f"), (F.col("id") % 97).alias("g")
@@ -172,17 +180,56 @@ def test_hot_link_key_is_split(spark, settings):
     assert sorted(rows(split)) == sorted(rows(plain)) and len(rows(split)) == 97
 
 
-def test_hot_left_key_of_a_look_up_is_split(spark, settings):
-    settings(**{
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    })
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_j02_join_chain_rows_do_not_depend_on_the_grouping(spark, settings, tmp_path, limit, how):
+    def stored(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    fact = stored("f", [(1, 10), (2, 11), (3, 12), (4, 99), (5, None)], "id int, a int")
+    first = stored("a", [(10, 20), (11, 21), (12, None)], "a int, b int")
+    second = stored("b", [(20, 30), (22, 31)], "b int, c int")
+    third = stored("c", [(30, "x")], "c int, name string")
+    settings(**{"spark.sql.autoBroadcastJoinThreshold": limit})
+    steps = [(first, "a", how), (second, "b", "left"), (third, "c", "left")]
+    found = relational.join_chain(fact, *steps).select("id", "a", "b", "c", "name")
+    plain = fact.join(first, "a", how).join(second, "b", "left").join(third, "c", "left")
+    assert rows_sorted(found) == rows_sorted(plain.select("id", "a", "b", "c", "name"))
+    assert found.count() == (3 if how == "inner" else 5)
+
+
+def test_j02_join_chain_nests_large_tables_only(spark, settings):
+    fact = spark.range(0, 1000).select((F.col("id") % 100).alias("a"), F.col("id").alias("payload"))
+    first = spark.range(0, 100).select(F.col("id").alias("a"), (F.col("id") % 10).alias("b"))
+    second = spark.range(0, 10).select(F.col("id").alias("b"), F.lit("x").alias("name"))
+
+    def outer_key():
+        """Key of the join that is executed last."""
+        plan = relational.join_chain(fact, (first, "a"), (second, "b"))._jdf.queryExecution().optimizedPlan().toString()
+        return next(line for line in plan.splitlines() if "Join Inner" in line)
+
+    assert "(b#" in outer_key()
+    settings(**LARGE)
+    assert "(a#" in outer_key()
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_hot_left_key_of_an_anti_join_is_split(spark, settings, hot):
+    settings(**LARGE)
+    key = F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("id") % 5000)
+    left = spark.range(0, 400_000, 1, 16).select(key.alias("k"), "id")
+    right = spark.range(0, 20_000, 1, 4).select((F.col("id") % 5).alias("k"))
+    found = relational.anti_join(left, right, "k")
+    assert "SortMergeJoin(skew=true)" in plan_of(found)
+    assert found.count() == left.filter("k is null or k >= 5").count()
+
+
+def test_hot_key_of_a_look_up_is_split(spark, settings):
+    settings(**LARGE)
     facts = spark.range(0, 400_000, 1, 16).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("k"), "id")
     table = spark.range(0, 5000, 1, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    found = relational.looked_up(facts, table, "k", "left")
+    found = relational.join_chain(facts, (table, "k", "left"))
     assert "SortMergeJoin(skew=true)" in plan_of(found)
     assert found.count() == 400_000
 

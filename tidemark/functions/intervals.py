@@ -1,8 +1,9 @@
 """Elapsed time, its sum, and the month/day/time form of it.
 
-A month counts 30 days and a day 24 hours. Sums are kept as decimal microseconds: a 64-bit sum
-of two-month intervals overflows after about two million rows. The justified form is a struct for
-output only; sort on the microseconds.
+A month counts 30 days and a day 24 hours. A 64-bit sum of microseconds overflows after about two
+million intervals of two months, so whole seconds and the rest are summed apart, each in 64 bits, and
+put together as decimal microseconds per group. The justified form is a struct for output only; sort
+on the microseconds.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+SECOND_MICROS = 1_000_000
 DAY_MICROS = 86_400_000_000
 MONTH_MICROS = 30 * DAY_MICROS
 
@@ -19,9 +21,16 @@ def elapsed_micros(end: str, start: str) -> Column:
     return F.timestamp_diff("MICROSECOND", F.col(start), F.col(end))
 
 
+def micros_sum(micros: Column) -> Column:
+    """Sum of 64-bit microseconds as decimal(38,0), skipping NULLs; NULL when all are."""
+    seconds = F.sum(F.call_function("div", micros, F.lit(SECOND_MICROS)))
+    rest = F.sum(micros % SECOND_MICROS)
+    return (seconds.cast("decimal(19,0)") * SECOND_MICROS + rest).cast("decimal(38,0)")
+
+
 def elapsed_sum(end: str, start: str) -> Column:
-    """Sum of elapsed microseconds, skipping NULLs; NULL when all are."""
-    return F.sum(elapsed_micros(end, start).cast("decimal(19,0)"))
+    """Sum of elapsed time in microseconds."""
+    return micros_sum(elapsed_micros(end, start))
 
 
 def interval_micros(interval: Column) -> Column:

@@ -5,41 +5,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import splittable_join
+
 
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     """All columns renamed ``<prefix>_<name>``, so that ``*`` over a join has no duplicate names."""
     return df.select(*[F.col(name).alias(f"{prefix}_{name}") for name in df.columns])
 
 
-def inner_chain(first: DataFrame, *steps: tuple[DataFrame, str]) -> DataFrame:
-    """Inner equi-joins in sequence, each step a table and its key. Catalyst picks the strategy."""
-    for table, on in steps:
-        first = first.join(table, on)
-    return first
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate; for a scan it comes from the file sizes and the columns read."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def broadcastable(df: DataFrame) -> bool:
+    """Whether Spark, by its own size estimate and threshold, broadcasts ``df`` in a join."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
-def looked_up(df: DataFrame, table: DataFrame, on: str, how: str = "inner") -> DataFrame:
-    """``df`` with the columns of ``table``, whose key ``on`` is unique, for a join to a larger table.
+def join_chain(fact: DataFrame, *steps: tuple[DataFrame, str] | tuple[DataFrame, str, str]) -> DataFrame:
+    """Join ``fact`` to a chain of look-up tables, shuffling it once at most.
 
-    Spark takes the size of a join to be the product of its inputs, so it would never broadcast the
-    result, however small both are. A unique key bounds the result by the two inputs: where they fit
-    Spark's own broadcast threshold together, the result is marked for broadcast. Beyond it the
-    next join shuffles, as without the mark.
+    A step is ``(table, key)`` or ``(table, key, how)``: the key is unique in the table and a column
+    of the table before, so an inner or left join may be regrouped. Tables up to the last one too
+    large to broadcast are joined among themselves first and meet the fact as one; the small ones
+    behind them are attached to the fact in turn, where Spark broadcasts them. Joining small tables
+    among themselves would hide their size from Spark, which estimates a join by the product of
+    its inputs.
     """
-    joined = df.join(table, on, how)
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    small = estimated_bytes(df) + estimated_bytes(table) <= limit
-    return F.broadcast(joined) if small else joined
+    tables, keys = [step[0] for step in steps], [step[1] for step in steps]
+    hows = [step[2] if len(step) == 3 else "inner" for step in steps]
+    last = max((i for i in range(1, len(steps)) if not broadcastable(tables[i])), default=0)
+    nested = tables[last]
+    for i in range(last, 0, -1):
+        nested = tables[i - 1].join(nested, keys[i], hows[i])
+    joined = fact.join(nested, keys[0], hows[0])
+    for i in range(last + 1, len(steps)):
+        joined = joined.join(tables[i], keys[i], hows[i])
+    return joined
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-    """Rows of ``left`` without a partner. Keys of ``right`` are reduced map-side to one row each."""
-    return left.join(right.select(on).distinct(), on, "left_anti")
+    """Rows of ``left`` without a partner; a NULL key has none.
+
+    Keys of ``right`` are reduced to one row each, so a hot one costs nothing; one of ``left``, NULL
+    included, is split.
+    """
+    return splittable_join(left, right.select(on).distinct(), on, "left_anti")
 
 
 def group_count(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:

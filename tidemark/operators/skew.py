@@ -6,19 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def splittable_join(measures: DataFrame, link: DataFrame, on: str) -> DataFrame:
-    """Inner join of aggregated ``measures`` with a ``link`` in which a key may be hot.
+def splittable_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join of an input aggregated by ``on`` with one in which a key may be hot.
 
     Adaptive execution splits a hot partition of a join only where both inputs come straight from
-    a shuffle made for that join. ``measures`` was just aggregated by ``on`` and Spark would reuse
-    that partitioning, leaving all rows of a hot link key to one task. Joining on the key and a
-    value computed from it asks for a partitioning of its own, so the split applies; each part of
-    the hot key meets a copy of its one measure row.
+    a shuffle made for that join. Of an input that was just aggregated by ``on`` Spark would reuse
+    the partitioning, leaving all rows of a hot key on the other side to one task. Joining on the
+    key and a value computed from it asks for a partitioning of its own, so the split applies; each
+    part of the hot key meets a copy of its one aggregated row.
     """
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumn("on_hash", F.xxhash64(on))
 
-    return keyed(measures).join(keyed(link), [on, "on_hash"]).drop("on_hash")
+    return keyed(left).join(keyed(right), [on, "on_hash"], how).drop("on_hash")
 
 
 def roll_up(measures: DataFrame, link: DataFrame, on: str, to: str, many: bool = False) -> DataFrame:

@@ -22,7 +22,7 @@ from tidemark.operators.relational import (
     amount_stats,
     group_count,
     group_distinct,
-    looked_up,
+    join_chain,
     prefixed,
     rounded_mean,
 )
@@ -121,21 +121,14 @@ def flights_per_model(flights: DataFrame, aircrafts: DataFrame, status: str = SC
     return joined.groupBy("model", "aircraft_code").agg(F.sum("n").alias("n"))
 
 
-def _with_aircraft(flights: DataFrame, aircrafts: DataFrame) -> DataFrame:
-    """Flights with their model; NULL for an unknown code."""
-    return looked_up(flights, aircrafts.select("aircraft_code", "model"), "aircraft_code", "left")
-
-
 def tickets_with_flight(ticket_flights: DataFrame, flights: DataFrame, aircrafts: DataFrame) -> DataFrame:
-    """Every ticket with flight and aircraft, NULL where unknown; columns are prefixed per table.
-
-    The aircraft is attached to the flights first, so the tickets, by far the largest table, are
-    shuffled once. Left joins in this order give the same rows.
-    """
+    """Every ticket with flight and aircraft, NULL where unknown; columns are prefixed per table."""
     tf, f, a = prefixed(ticket_flights, "tf"), prefixed(flights, "f"), prefixed(aircrafts, "a")
-    codes = a.withColumn("code", F.col("a_aircraft_code"))
-    known = looked_up(f.withColumn("code", F.col("f_aircraft_code")), codes, "code", "left").drop("code")
-    return tf.join(known, F.col("tf_flight_id") == F.col("f_flight_id"), "left")
+    return join_chain(
+        tf.withColumn("flight", F.col("tf_flight_id")),
+        (f.withColumn("flight", F.col("f_flight_id")).withColumn("code", F.col("f_aircraft_code")), "flight", "left"),
+        (a.withColumn("code", F.col("a_aircraft_code")), "code", "left"),
+    ).drop("flight", "code")
 
 
 def _ticket_counts(tickets: DataFrame, *more: str | Column) -> DataFrame:
@@ -143,10 +136,16 @@ def _ticket_counts(tickets: DataFrame, *more: str | Column) -> DataFrame:
     return group_distinct(tickets, keys, "ticket_no", "ticket_count")
 
 
-def _tickets_of(ticket_flights: DataFrame, flights: DataFrame, aircrafts: DataFrame) -> DataFrame:
-    """Tickets whose flight is among ``flights``, with the model of the aircraft."""
+def _tickets_of(
+    ticket_flights: DataFrame, flights: DataFrame, aircrafts: DataFrame, how: str = "inner"
+) -> DataFrame:
+    """Tickets with their flight, if it is among ``flights``, and the model of its aircraft, if known."""
     columns = ["flight_id", "aircraft_code", "scheduled_departure", "status"]
-    return ticket_flights.join(_with_aircraft(flights.select(*columns), aircrafts), "flight_id")
+    return join_chain(
+        ticket_flights,
+        (flights.select(*columns), "flight_id", how),
+        (aircrafts.select("aircraft_code", "model"), "aircraft_code", "left"),
+    )
 
 
 def tickets_per_day(
@@ -216,9 +215,8 @@ def tickets_per_day_keeping_unmatched(
     ticket_flights: DataFrame, flights: DataFrame, aircrafts: DataFrame, status: str = SCHEDULED
 ) -> DataFrame:
     """Filter below the left join: tickets of other flights fall into groups with NULL keys."""
-    columns = ["flight_id", "aircraft_code", "scheduled_departure", "status"]
-    known = _with_aircraft(flights_with_status(flights, status).select(*columns), aircrafts)
-    counts = _ticket_counts(ticket_flights.join(known, "flight_id", "left"), "status")
+    tickets = _tickets_of(ticket_flights, flights_with_status(flights, status), aircrafts, "left")
+    counts = _ticket_counts(tickets, "status")
     return counts.orderBy(asc("day"), asc("model"), asc("fare_conditions"), asc("status"))
 
 

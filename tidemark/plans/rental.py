@@ -20,9 +20,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.intervals import elapsed_micros, justify_interval
+from tidemark.functions.intervals import elapsed_micros, justify_interval, micros_sum
 from tidemark.operators.ordering import sort_desc, top_k_with_ties, top_n
-from tidemark.operators.relational import anti_join, group_count, looked_up
+from tidemark.operators.relational import anti_join, group_count, join_chain
 from tidemark.operators.skew import roll_up
 from tidemark.session import materialise
 
@@ -49,12 +49,12 @@ def most_rented_actors(t: Tables, n: int = 10) -> DataFrame:
 
 
 def money_per_category(t: Tables) -> DataFrame:
-    """``(category_id, category_name, total_amount)``.
-
-    The film of each rental is looked up first, so the payments are shuffled once.
-    """
-    rented = looked_up(t["rental"].select("rental_id", "inventory_id"), t["inventory"], "inventory_id")
-    paid = t["payment"].join(rented.select("rental_id", "film_id"), "rental_id")
+    """``(category_id, category_name, total_amount)``."""
+    paid = join_chain(
+        t["payment"].select("rental_id", "amount"),
+        (t["rental"].select("rental_id", "inventory_id"), "rental_id"),
+        (t["inventory"], "inventory_id"),
+    )
     per_film = paid.groupBy("film_id").agg(F.sum("amount").alias("total_amount"))
     totals = roll_up(per_film, t["film_category"], on="film_id", to="category_id", many=True)
     names = t["category"].select("category_id", F.col("name").alias("category_name"))
@@ -166,20 +166,21 @@ def rental_time_per_category(
         F.col("city").startswith(prefix).alias("starts"),
         F.col("city").contains(infix).alias("contains"),
     ).filter("starts OR contains")
-    addresses = t["address"].join(cities, "city_id")
-    homes = looked_up(t["customer"].select("customer_id", "address_id"), addresses, "address_id").select(
-        "customer_id", "starts", "contains"
+    trips = join_chain(
+        t["rental"].select(
+            F.col(rental_key).alias("inventory_id"),
+            "customer_id",
+            elapsed_micros("return_date", "rental_date").alias("micros"),
+        ),
+        (t["customer"].select("customer_id", "address_id"), "customer_id"),
+        (t["address"], "address_id"),
+        (cities, "city_id"),
     )
-    trips = t["rental"].select(
-        F.col(rental_key).alias("inventory_id"),
-        "customer_id",
-        elapsed_micros("return_date", "rental_date").cast("decimal(19,0)").alias("micros"),
-    ).join(homes, "customer_id")
     per_item = trips.groupBy("inventory_id").agg(
         F.count_if("starts").alias("starts_n"),
-        F.sum(F.when(F.col("starts"), F.col("micros"))).alias("starts_micros"),
+        micros_sum(F.when(F.col("starts"), F.col("micros"))).alias("starts_micros"),
         F.count_if("contains").alias("contains_n"),
-        F.sum(F.when(F.col("contains"), F.col("micros"))).alias("contains_micros"),
+        micros_sum(F.when(F.col("contains"), F.col("micros"))).alias("contains_micros"),
     )
     per_film = roll_up(per_item, t["inventory"], on="inventory_id", to="film_id")
     per_category = roll_up(per_film, t["film_category"], on="film_id", to="category_id", many=True)

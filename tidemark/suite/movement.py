@@ -96,10 +96,10 @@ def _snapshot_totals(t: Tables, tables: dict[str, DataFrame], root: str) -> Data
     return totals
 
 
-CAR = "model string, make string, year int"
+CAR = "model string, make string, year double"
 CAR_SQL = """
     SELECT p_name AS model, nullif(p_brand, 'Brand#1') AS make,
-           CASE WHEN p_size > 10 THEN 1990 + p_size END AS year FROM part"""
+           CAST(CASE WHEN p_size > 10 THEN 1990 + p_size END AS DOUBLE) AS year FROM part"""
 
 
 def _cars(t: Tables) -> DataFrame:
@@ -107,7 +107,7 @@ def _cars(t: Tables) -> DataFrame:
     return t.part.select(
         F.col("p_name").alias("model"),
         F.nullif(F.col("p_brand"), F.lit("Brand#1")).alias("make"),
-        F.when(F.col("p_size") > 10, F.col("p_size") + 1990).alias("year"),
+        F.when(F.col("p_size") > 10, F.col("p_size") + 1990.0).alias("year"),
     )
 
 

@@ -133,11 +133,15 @@ def _(t):
 
 
 @register("p17_filter_in_derived_table", """
-    SELECT c_custkey, o_orderkey FROM customer
+    SELECT c_custkey, o_orderkey IS NOT NULL AS pending, coalesce(o_orderkey, -1) AS o_orderkey FROM customer
     LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') t1 ON o_custkey = c_custkey""")
 def _(t):
     t1 = t.orders.filter(F.col("o_orderstatus") == "P")
-    return t.customer.join(t1, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "o_orderkey")
+    return t.customer.join(t1, F.col("c_custkey") == F.col("o_custkey"), "left").select(
+        "c_custkey",
+        F.col("o_orderkey").isNotNull().alias("pending"),
+        F.coalesce("o_orderkey", F.lit(-1)).alias("o_orderkey"),
+    )
 
 
 # --- joins -----------------------------------------------------------------------------------
@@ -153,15 +157,14 @@ def _(t):
     JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def _(t):
-    homes = relational.inner_chain(
-        t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name", F.col("c_nationkey").alias("n_nationkey")),
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
+    return relational.join_chain(
+        lines,
+        (t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey")), "o_orderkey"),
+        (t.customer.select("c_custkey", "c_name", F.col("c_nationkey").alias("n_nationkey")), "c_custkey"),
         (t.nation.withColumnRenamed("n_regionkey", "r_regionkey"), "n_nationkey"),
         (t.region, "r_regionkey"),
-    )
-    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
-    return relational.inner_chain(lines, (t.orders.select("o_orderkey", "o_custkey"), "o_orderkey"), (homes, "o_custkey")).select(
-        F.col("o_orderkey").alias("l_orderkey"), "l_linenumber", "c_name", "n_name", "r_name"
-    )
+    ).select(F.col("o_orderkey").alias("l_orderkey"), "l_linenumber", "c_name", "n_name", "r_name")
 
 
 @register("j03_many_to_many_join", """
@@ -200,12 +203,12 @@ def _(t):
 
 
 @register("j07_left_join_filtered_before", """
-    SELECT l_orderkey, l_linenumber, o_custkey FROM lineitem
+    SELECT l_orderkey, l_linenumber, coalesce(o_custkey, -1) AS o_custkey FROM lineitem
     LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') ON l_orderkey = o_orderkey""")
 def _(t):
     pending = t.orders.filter(F.col("o_orderstatus") == "P")
     joined = t.lineitem.join(pending, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    return joined.select("l_orderkey", "l_linenumber", "o_custkey")
+    return joined.select("l_orderkey", "l_linenumber", F.coalesce("o_custkey", F.lit(-1)).alias("o_custkey"))
 
 
 @register("j08_anti_join", """
