@@ -40,7 +40,7 @@ def _(t):
     FROM (SELECT doc_id, list_distinct({WORDS}) AS w FROM documents)""")
 def _(t):
     unique = _words(t).select("doc_id", arrays.distinct_items(F.col("words")).alias("w"))
-    return unique.select("doc_id", F.size("w").cast("bigint").alias("n"), _joined(F.array_sort("w")).alias("words"))
+    return unique.select("doc_id", F.size("w").cast("bigint").alias("n"), _joined(F.sort_array("w")).alias("words"))
 
 
 @register("r05_integers", """
