@@ -29,6 +29,16 @@ def numbers(spark, *values, name="x"):
     return spark.createDataFrame([(v,) for v in values], f"{name} int")
 
 
+# As on large data: no broadcast, and a partition counts as skewed from a few kilobytes.
+LARGE = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
 # --- O: sorts and limits ---------------------------------------------------------------------
 
 
@@ -125,6 +135,21 @@ def test_j08_anti_and_semi_rows_add_up(spark):
     assert len(anti) + left.join(right, "x", "left_semi").count() == 5
 
 
+def test_j05_left_join_with_a_hot_right_key(spark, settings):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (7, "d"), (None, "e")], "k int, l string")
+    right = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (7, "w"), (None, "v")], "k int, r string")
+    plain = left.join(right, "k", "left")
+    found = relational.left_join(left, right, "k")
+    assert found.columns == plain.columns and rows_sorted(found) == rows_sorted(plain)
+    settings(**LARGE)
+    many = spark.range(0, 400_000, 1, 16).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    keys = spark.range(0, 5000, 1, 4).select(F.col("id").alias("k"), F.lit("x").alias("l"))
+    assert "skew=true" not in plan_of(keys.join(many, "k", "left"))
+    split = relational.left_join(keys, many, "k")
+    assert "SortMergeJoin(skew=true)" in plan_of(split)
+    assert split.count() == keys.join(many, "k", "left").count()
+
+
 def test_a13_null_extended_counts(spark):
     parent = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "x int, name string")
     found = rows(relational.null_extended_counts(parent, numbers(spark, 1, 1, 3, 9, None), "x"))
@@ -154,16 +179,6 @@ def test_j03_roll_up_multiplies_sums_not_rows(spark):
         assert sorted(rows(skew.roll_up(measures, link, "f", "g", many))) == [("a", 10), ("b", 25)]
 
 
-# As on large data: no broadcast, and a partition counts as skewed from a few kilobytes.
-LARGE = {
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-}
-
-
 def test_hot_link_key_is_split(spark, settings):
     """Half of the link rows share one key; the join of aggregated measures still splits it."""
     settings(**LARGE)

@@ -124,7 +124,7 @@ def test_s11_a_large_day_is_read_by_many_tasks(spark):
     assert found.rdd.getNumPartitions() == 6
     assert payloads(found) == expected(JAN[:1], 90)
     capped = keyed.read_days(spark, service, JAN[0], max_tasks=4)
-    assert capped.rdd.getNumPartitions() == 4
+    assert capped.rdd.getNumPartitions() == 3
     assert payloads(capped) == expected(JAN[:1], 90)
 
 
@@ -171,10 +171,14 @@ def test_s13_s14_refresh_replaces_days_with_data_only(spark):
 
 
 def test_s13_a_small_day_is_one_file(spark):
-    root = scratch_dir(spark, "land")
     service = Service({d: documents(d, 50) for d in JAN[:6]}, pages=5)
-    landing.refresh(spark, service, root, JAN[0], JAN[5])
+    root = scratch_dir(spark, "land")
+    landing.land(keyed.read_days(spark, service, JAN[0], JAN[5]), root)
+    assert len(spark.read.text(root).inputFiles()) == 6
+    root = scratch_dir(spark, "land")
+    landing.refresh(spark, service, root, JAN[0], JAN[5], max_tasks=6)
     assert len(spark.read.text(root).inputFiles()) == 6
+    assert payloads(landing.read_landed(spark, root, JAN[0], JAN[5])) == expected(JAN[:6], 50)
 
 
 def test_s13_a_large_day_is_written_by_many_tasks(spark, settings):

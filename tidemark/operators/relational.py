@@ -50,6 +50,16 @@ def anti_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     return splittable_join(left, right.select(on).distinct(), on, "left_anti")
 
 
+def left_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """LEFT JOIN in which one key may hold many rows of ``right``.
+
+    Of a left join Spark splits a hot key on the left side only. An inner join is split on both
+    sides, so the matches come from one and the rows without a partner from an anti join. Where
+    ``on`` is unique in ``right``, a plain left join does less work.
+    """
+    return left.join(right, on).unionByName(anti_join(left, right, on), allowMissingColumns=True)
+
+
 def group_count(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 

@@ -9,8 +9,8 @@ The service is reached through a *fetcher*, any picklable object with
 
 A document is decoded JSON, or its text. Pages or files are natural splits: they let a day that
 holds a third of all documents be read by many tasks. Every (key, split) is one task until there
-are ``max_tasks`` of them; a lower cap respects a rate limit. Documents stream through a task and
-are never held together.
+are ``max_tasks`` of them; a lower cap respects a rate limit, or gives fewer and larger files when
+landed. Documents stream through a task and are never held together.
 """
 
 from __future__ import annotations
@@ -68,8 +68,9 @@ class KeyedReader(DataSourceReader):
             except self.skip_errors:
                 continue
             work += [(key, split, len(splits)) for split in splits or ()]
-        tasks = min(len(work), self.max_tasks)
-        return [Batch(work[i::tasks]) for i in range(tasks)] or [Batch([])]
+        # Neighbouring requests share a task, so a task touches few keys.
+        size = -(-len(work) // self.max_tasks) or 1
+        return [Batch(work[i : i + size]) for i in range(0, len(work), size)] or [Batch([])]
 
     def read(self, partition: Batch) -> Iterator[tuple]:
         if not partition.work:

@@ -20,16 +20,17 @@ FIELD = "ds"
 MAX_DOCUMENTS_PER_FILE = 5_000_000
 
 
-def land(documents: DataFrame, root: str) -> list[dt.date]:
+def land(documents: DataFrame, root: str, gather: bool = True) -> list[dt.date]:
     """Write ``(ds, payload)`` by day and return the days written.
 
-    The rebalance hint gathers small days into few files and splits a day that is too large for
-    one task, so neither many empty files nor one huge writer arises.
+    ``gather`` brings the documents of a day together first: the rebalance hint collects small days
+    into few files and splits a day that is too large for one task. Without it each task writes the
+    days it holds.
     """
     seen = Observation()
+    rows = documents.select("payload", FIELD)
     (
-        documents.select("payload", FIELD)
-        .hint("rebalance", FIELD)
+        (rows.hint("rebalance", FIELD) if gather else rows)
         .observe(seen, F.collect_set(FIELD).alias("days"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -65,8 +66,9 @@ def read_landed(spark: SparkSession, root: str, start: dt.date, end: dt.date | N
 
 
 def _load(spark: SparkSession, fetcher, root: str, days: Iterable[dt.date], max_tasks: int) -> list[dt.date]:
+    """A fetching task holds one day, a part of one or a few neighbouring ones, so it writes them itself."""
     days = list(days)
-    return land(read_listed_days(spark, fetcher, days, max_tasks), root) if days else []
+    return land(read_listed_days(spark, fetcher, days, max_tasks), root, gather=False) if days else []
 
 
 def refresh(

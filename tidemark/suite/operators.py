@@ -136,8 +136,8 @@ def _(t):
     SELECT c_custkey, o_orderkey IS NOT NULL AS pending, coalesce(o_orderkey, -1) AS o_orderkey FROM customer
     LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') t1 ON o_custkey = c_custkey""")
 def _(t):
-    t1 = t.orders.filter(F.col("o_orderstatus") == "P")
-    return t.customer.join(t1, F.col("c_custkey") == F.col("o_custkey"), "left").select(
+    t1 = t.orders.filter(F.col("o_orderstatus") == "P").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    return relational.left_join(t.customer.select("c_custkey"), t1, "c_custkey").select(
         "c_custkey",
         F.col("o_orderkey").isNotNull().alias("pending"),
         F.coalesce("o_orderkey", F.lit(-1)).alias("o_orderkey"),
@@ -185,12 +185,16 @@ def _(t):
 
 
 @register("j05_left_outer_chain", """
-    SELECT n_name, c_custkey, o_orderkey FROM nation
+    SELECT n_name, coalesce(c_custkey, -1) AS c_custkey, coalesce(o_orderkey, -1) AS o_orderkey FROM nation
     LEFT JOIN customer ON c_nationkey = n_nationkey LEFT JOIN orders ON o_custkey = c_custkey""")
 def _(t):
-    customers = t.nation.join(t.customer, F.col("n_nationkey") == F.col("c_nationkey"), "left")
-    return customers.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left").select(
-        "n_name", "c_custkey", "o_orderkey"
+    customers = t.customer.select(F.col("c_nationkey").alias("n_nationkey"), "c_custkey")
+    orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    nations = t.nation.select("n_nationkey", "n_name")
+    chain = relational.left_join(relational.left_join(nations, customers, "n_nationkey"), orders, "c_custkey")
+    none = F.lit(-1)
+    return chain.select(
+        "n_name", F.coalesce("c_custkey", none).alias("c_custkey"), F.coalesce("o_orderkey", none).alias("o_orderkey")
     )
 
 
