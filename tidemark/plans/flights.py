@@ -28,10 +28,14 @@ from tidemark.operators.relational import (
 )
 from tidemark.operators.setops import union_distinct
 
-# Status names and the tags they are shown under.
+# What the queries ask for unless told otherwise, and the tags statuses are shown under.
 ARRIVED = "Arrived"
 SCHEDULED = "Scheduled"
 STATUS_TAGS = {SCHEDULED: "Planned", ARRIVED: "Already completed"}
+AIRPORT = "LED"
+MODEL_PREFIX = "Boeing"
+MODEL_INFIX = "R"
+BOOKING_DAY = dt.date(2017, 7, 14)
 
 
 def statuses(flights: DataFrame) -> DataFrame:
@@ -50,16 +54,16 @@ def flights_with_status(flights: DataFrame, status: str = ARRIVED) -> DataFrame:
     return flights.filter(F.col("status") == status)
 
 
-def flights_into(flights: DataFrame, status: str = ARRIVED, airport: str = "LED") -> DataFrame:
+def flights_into(flights: DataFrame, status: str = ARRIVED, airport: str = AIRPORT) -> DataFrame:
     return flights.filter((F.col("status") == status) & (F.col("arrival_airport") == airport))
 
 
-def models_starting_with(aircrafts: DataFrame, prefix: str = "Boeing") -> DataFrame:
+def models_starting_with(aircrafts: DataFrame, prefix: str = MODEL_PREFIX) -> DataFrame:
     """Case-sensitive prefix; the Parquet scan takes it as a filter."""
     return aircrafts.filter(F.col("model").startswith(prefix))
 
 
-def models_containing(aircrafts: DataFrame, infix: str = "R") -> DataFrame:
+def models_containing(aircrafts: DataFrame, infix: str = MODEL_INFIX) -> DataFrame:
     return aircrafts.filter(F.col("model").contains(infix))
 
 
@@ -92,7 +96,7 @@ def booking_stats(bookings: DataFrame) -> DataFrame:
     return bookings.agg(*amount_stats("total_amount")[1:])
 
 
-def bookings_on(bookings: DataFrame, when: dt.date = dt.date(2017, 7, 14)) -> DataFrame:
+def bookings_on(bookings: DataFrame, when: dt.date = BOOKING_DAY) -> DataFrame:
     return bookings.filter(on_day("book_date", when)).agg(F.count(F.lit(1)).alias("n"))
 
 

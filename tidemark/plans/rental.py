@@ -28,6 +28,11 @@ from tidemark.session import materialise
 
 Tables = Mapping[str, DataFrame]
 
+# What the queries ask for unless told otherwise.
+CATEGORY = "Children"
+CITY_PREFIX = "a"
+CITY_INFIX = "-"
+
 
 def films_per_category(t: Tables) -> DataFrame:
     """Film count of each category, largest first. Categories of equal name stay apart."""
@@ -81,7 +86,7 @@ def films_per_actor(t: Tables, category: str) -> DataFrame:
 
 
 def top_actors_in_category(
-    t: Tables, category: str = "Children", k: int = 3, strict_threshold: bool = False
+    t: Tables, category: str = CATEGORY, k: int = 3, strict_threshold: bool = False
 ) -> DataFrame:
     """Actors whose film count reaches that of the ``k``-th, ties included.
 
@@ -153,7 +158,7 @@ def customers_by_state_per_group(t: Tables) -> DataFrame:
 
 
 def rental_time_per_category(
-    t: Tables, prefix: str = "a", infix: str = "-", rental_key: str = "inventory_id"
+    t: Tables, prefix: str = CITY_PREFIX, infix: str = CITY_INFIX, rental_key: str = "inventory_id"
 ) -> DataFrame:
     """Rental microseconds per category name, over cities starting with ``prefix`` and containing ``infix``.
 
@@ -190,8 +195,8 @@ def rental_time_per_category(
 
 def longest_rented_categories(
     t: Tables,
-    prefix: str = "a",
-    infix: str = "-",
+    prefix: str = CITY_PREFIX,
+    infix: str = CITY_INFIX,
     rental_key: str = "inventory_id",
     tagged: bool = False,
 ) -> DataFrame:

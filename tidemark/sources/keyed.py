@@ -152,8 +152,8 @@ def read_keys(
 class LineFiles:
     """Fetcher over text files laid out as ``<root>/<field>=<key>/<part>``, one document per line.
 
-    Each file is a split. ``root`` may be a path or a URI that Arrow's file systems know; executors
-    must be able to reach it.
+    Each file is a split. ``root`` is an absolute path or a URI that Arrow's file systems know;
+    executors must be able to reach it.
     """
 
     def __init__(self, root: str, field: str):
@@ -163,9 +163,7 @@ class LineFiles:
     def _open(self):
         from pyarrow import fs
 
-        if "://" in self.root or self.root.startswith("file:"):
-            return fs.FileSystem.from_uri(self.root)
-        return fs.LocalFileSystem(), self.root
+        return fs.FileSystem.from_uri(self.root)
 
     def connect(self):
         return self._open()[0]

@@ -105,6 +105,11 @@ def read_jdbc(spark: SparkSession, table: str, options: Mapping[str, str], split
     return spark.read.format("jdbc").options(**options).options(**split).option("dbtable", table).load()
 
 
+def preview(df: DataFrame, n: int = 2) -> DataFrame:
+    """A few arbitrary rows; each scanning task stops after ``n``."""
+    return df.limit(n)
+
+
 def preview_jdbc(spark: SparkSession, table: str, options: Mapping[str, str], n: int = 2) -> DataFrame:
     """A few arbitrary rows; the limit is part of the statement, so no more leave the database."""
     return spark.read.format("jdbc").options(**options).option("query", f"SELECT * FROM {table} LIMIT {n}").load()

@@ -29,7 +29,8 @@ def _(t):
     return _words(t, "source").select("doc_id", _joined(longer).alias("words"))
 
 
-@register("r03_extend", f"SELECT doc_id, array_to_string(list_concat({WORDS}, [lang, source]), ' ') AS words FROM documents")
+@register("r03_extend", f"""
+    SELECT doc_id, array_to_string(list_concat({WORDS}, [lang, source]), ' ') AS words FROM documents""")
 def _(t):
     longer = arrays.extend(F.col("words"), F.array("lang", "source"))
     return _words(t, "lang", "source").select("doc_id", _joined(longer).alias("words"))

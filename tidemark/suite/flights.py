@@ -31,7 +31,8 @@ def flights(t: Tables):
 
 def departures(t: Tables):
     """Flights with the first shipment as departure; NULL for an order without lines."""
-    first = t.lineitem.groupBy(F.col("l_orderkey").alias("flight_id")).agg(F.min("l_shipdate").alias("actual_departure"))
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("flight_id"))
+    first = lines.agg(F.min("l_shipdate").alias("actual_departure"))
     return flights(t).join(first, "flight_id", "left")
 
 

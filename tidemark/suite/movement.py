@@ -38,6 +38,11 @@ def _events_of(documents: DataFrame) -> DataFrame:
 # --- CSV, JSON and tables --------------------------------------------------------------------
 
 
+@register("s02_table_preview", "SELECT count(*) AS n FROM (SELECT * FROM supplier LIMIT 2)")
+def _(t):
+    return transfer.preview(t.supplier).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("s03_csv_export", "SELECT doc_id, text, lang FROM documents")
 def _(t):
     path = scratch_dir(t.spark, "csv")
@@ -48,12 +53,16 @@ def _(t):
 CATEGORY = "category_id bigint, name string"
 
 
+def _named(df: DataFrame, key: str, name: str) -> DataFrame:
+    return df.select(F.col(key).alias("category_id"), F.col(name).alias("name"))
+
+
 @register("s04_csv_bulk_append", """
     SELECT s_suppkey AS category_id, s_name AS name FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer""")
 def _(t):
     csv, table = scratch_dir(t.spark, "csv"), scratch_dir(t.spark, "table")
-    transfer.append_table(t.supplier.select(F.col("s_suppkey").alias("category_id"), F.col("s_name").alias("name")), table)
-    transfer.export_csv(t.customer.select(F.col("c_custkey").alias("category_id"), F.col("c_name").alias("name")), csv)
+    transfer.append_table(_named(t.supplier, "s_suppkey", "s_name"), table)
+    transfer.export_csv(_named(t.customer, "c_custkey", "c_name"), csv)
     transfer.append_table(transfer.import_csv(t.spark, csv, CATEGORY), table)
     return t.spark.read.schema(CATEGORY).parquet(table)
 
@@ -62,14 +71,18 @@ def _(t):
     SELECT c_custkey AS category_id, c_name AS name FROM customer UNION ALL SELECT 100, 'inserted'""")
 def _(t):
     table = scratch_dir(t.spark, "table")
-    rows = t.customer.select(F.col("c_custkey").alias("category_id"), F.col("c_name").alias("name"))
+    rows = _named(t.customer, "c_custkey", "c_name")
     transfer.append_table(rows, table)
     transfer.insert_rows(t.spark, [(100, "inserted")], rows, table)
     return t.spark.read.schema(CATEGORY).parquet(table)
 
 
 SNAPSHOT_KEYS = {
-    "customer": "c_custkey", "orders": "o_orderkey", "part": "p_partkey", "supplier": "s_suppkey", "documents": "doc_id",
+    "customer": "c_custkey",
+    "orders": "o_orderkey",
+    "part": "p_partkey",
+    "supplier": "s_suppkey",
+    "documents": "doc_id",
 }
 SNAPSHOT_SQL = " UNION ALL ".join(
     f"SELECT '{table}' AS name, count(*) AS n, CAST(sum({key}) AS BIGINT) AS key_sum FROM {table}"
@@ -139,7 +152,7 @@ def _(t):
     SELECT p_partkey AS category_id, p_name AS name FROM part UNION ALL SELECT 100, 'inserted'""")
 def _(t):
     csv, table = scratch_dir(t.spark, "csv"), scratch_dir(t.spark, "table")
-    source = t.part.select(F.col("p_partkey").alias("category_id"), F.col("p_name").alias("name"))
+    source = _named(t.part, "p_partkey", "p_name")
     transfer.export_csv(source, csv)
     transfer.append_table(transfer.import_csv(t.spark, csv, CATEGORY), table)
     transfer.insert_rows(t.spark, [(100, "inserted")], source, table)
@@ -205,7 +218,8 @@ def _(t):
 
 @register("s14_refresh", """
     SELECT strftime(ts, '%Y-%m-%d') AS ds, event_id,
-           CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' THEN value * 2 ELSE value END AS value
+           CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
+           THEN value * 2 ELSE value END AS value
     FROM events""")
 def _(t):
     """Three days are fetched again after their documents changed."""

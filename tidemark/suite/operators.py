@@ -278,7 +278,8 @@ def _(t):
     return counts.join(t.supplier.select("s_suppkey", "s_name"), "s_suppkey")
 
 
-@register("a07_group_by_expression", "SELECT strftime(l_shipdate, '%Y-%m-%d') AS day, count(*) AS n FROM lineitem GROUP BY 1")
+@register("a07_group_by_expression", """
+    SELECT strftime(l_shipdate, '%Y-%m-%d') AS day, count(*) AS n FROM lineitem GROUP BY 1""")
 def _(t):
     return relational.group_count(t.lineitem, dates.day("l_shipdate").alias("day"))
 
@@ -367,7 +368,8 @@ def _(t):
     return ordering.sort_desc(relational.group_count(t.lineitem, "l_partkey"), "n", tie="l_partkey")
 
 
-@register("o03_sort_by_ordinal", "SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2 ORDER BY 1, 2, 3")
+@register("o03_sort_by_ordinal", """
+    SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2 ORDER BY 1, 2, 3""")
 def _(t):
     counts = relational.group_count(t.orders, "o_orderstatus", "o_orderpriority")
     return counts.orderBy(*[ordering.asc(name) for name in counts.columns])
@@ -446,7 +448,8 @@ JAN_SQL, FEB_SQL = _buyers_sql(JAN), _buyers_sql(FEB)
 @register("u01_union_of_tagged_aggregates", """
     SELECT o_orderpriority, count(*) AS n, 'Planned' AS st FROM orders WHERE o_orderstatus = 'P' GROUP BY 1
     UNION
-    SELECT o_orderpriority, count(*) AS n, 'Already completed' AS st FROM orders WHERE o_orderstatus = 'F' GROUP BY 1""")
+    SELECT o_orderpriority, count(*) AS n, 'Already completed' AS st FROM orders
+    WHERE o_orderstatus = 'F' GROUP BY 1""")
 def _(t):
     def branch(status: str, tag: str):
         chosen = t.orders.filter(F.col("o_orderstatus") == status)
