@@ -1,0 +1,150 @@
+"""H1 to H7 against DuckDB on random rental tables: shared films, equal names, NULLs and dangling keys."""
+
+import datetime as dt
+import random
+from decimal import Decimal
+
+import duckdb
+import pyarrow as pa
+import pytest
+
+from tidemark.plans import rental as q
+
+KEYS = {
+    "category": "category_id int, name string",
+    "film": "film_id int, title string",
+    "film_category": "film_id int, category_id int",
+    "actor": "actor_id int, first_name string, last_name string",
+    "film_actor": "actor_id int, film_id int",
+    "inventory": "inventory_id int, film_id int",
+    "rental": "rental_id int, inventory_id int, customer_id int, rental_date timestamp_ntz, return_date timestamp_ntz",
+    "payment": "rental_id int, amount decimal(10,2)",
+    "customer": "customer_id int, address_id int, active int",
+    "address": "address_id int, city_id int",
+    "city": "city_id int, city string",
+}
+
+
+def make(seed):
+    """Half of all references go to one key."""
+    r = random.Random(seed)
+
+    def ref(n):
+        return r.choice([1, r.randint(1, n + 2), r.randint(1, n + 2), 1])
+
+    start = dt.datetime(2021, 1, 1)
+    rentals = []
+    for i in range(300):
+        begin = start + dt.timedelta(minutes=r.randint(0, 100_000))
+        end = None if r.random() < 0.1 else begin + dt.timedelta(minutes=r.randint(-500, 90_000))
+        rentals.append((i + 1, ref(60), ref(40), begin, end))
+    return {
+        "category": [(i, r.choice(["Children", "Drama", "Action"])) for i in range(1, 7)],
+        "film": [(i, f"film {i}") for i in range(1, 41)],
+        "film_category": sorted({(ref(40), ref(6)) for _ in range(70)}),
+        "actor": [(i, r.choice("ABC"), r.choice("XY")) for i in range(1, 21)],
+        "film_actor": sorted({(ref(20), ref(40)) for _ in range(120)}),
+        "inventory": [(i, ref(40)) for i in range(1, 61)],
+        "rental": rentals,
+        "payment": [
+            (ref(300), None if r.random() < 0.1 else Decimal(r.randint(-100, 9999)) / 100) for _ in range(400)
+        ],
+        "customer": [(i, ref(25), r.choice([0, 1, 1, 2, None])) for i in range(1, 41)],
+        "address": [(i, ref(12)) for i in range(1, 26)],
+        "city": [(i, r.choice(["a", "aa-b", "Abc", "x-y", "z"]) + str(i % 3)) for i in range(1, 13)],
+    }
+
+
+@pytest.fixture(scope="module", params=[1, 2, 3])
+def pair(spark, request):
+    data = make(request.param)
+    tables = {name: spark.createDataFrame(rows, KEYS[name]) for name, rows in data.items()}
+    engine = duckdb.connect()
+    for name, df in tables.items():
+        engine.register(f"{name}_rows", pa.Table.from_batches(df.toArrow().to_batches()))
+        engine.execute(f"CREATE TABLE {name} AS SELECT * FROM {name}_rows")
+    return tables, engine
+
+
+def compare(df, engine, sql):
+    found = sorted((tuple(r) for r in df.collect()), key=str)
+    wanted = sorted(engine.execute(sql).fetchall(), key=str)
+    assert found == wanted
+
+
+def test_h1(pair):
+    t, engine = pair
+    compare(q.films_per_category(t), engine, """
+        SELECT any_value(c.name), count(*) FROM film JOIN film_category USING (film_id)
+        JOIN category c USING (category_id) GROUP BY c.category_id""")
+
+
+def test_h2(pair):
+    t, engine = pair
+    compare(q.most_rented_actors(t, 7), engine, """
+        SELECT any_value(first_name), any_value(last_name), count(*) AS n
+        FROM rental JOIN inventory USING (inventory_id) JOIN film_actor fa USING (film_id) JOIN actor a USING (actor_id)
+        GROUP BY a.actor_id ORDER BY n DESC, a.actor_id LIMIT 7""")
+
+
+def test_h3(pair):
+    t, engine = pair
+    sums = """
+        SELECT c.category_id, any_value(c.name) AS name, CAST(sum(amount) AS DECIMAL(38,2)) AS total
+        FROM payment JOIN rental USING (rental_id) JOIN inventory USING (inventory_id)
+        JOIN film_category USING (film_id) JOIN category c USING (category_id) GROUP BY c.category_id"""
+    compare(q.money_per_category(t), engine, sums)
+    compare(q.top_category_by_money(t), engine, f"""
+        SELECT name, total FROM ({sums}) ORDER BY total DESC NULLS FIRST, category_id LIMIT 1""")
+
+
+def test_h4(pair):
+    t, engine = pair
+    compare(q.films_not_in_inventory(t), engine, """
+        SELECT film_id, title FROM film WHERE film_id NOT IN (SELECT film_id FROM inventory)""")
+
+
+@pytest.mark.parametrize("k, strict", [(1, False), (3, False), (4, True), (15, True)])
+def test_h5(pair, k, strict):
+    t, engine = pair
+    compare(q.top_actors_in_category(t, "Children", k, strict), engine, f"""
+        WITH n AS (
+            SELECT a.actor_id, any_value(first_name) AS f, any_value(last_name) AS l, count(*) AS n
+            FROM film_actor JOIN actor a USING (actor_id) JOIN film_category USING (film_id)
+            JOIN category c USING (category_id) WHERE c.name = 'Children' GROUP BY a.actor_id)
+        SELECT f, l, n FROM n WHERE n >= (SELECT n FROM n ORDER BY n DESC LIMIT 1 OFFSET {k - 1})""")
+
+
+def test_h6(pair):
+    t, engine = pair
+    joined = "FROM city ct LEFT JOIN address USING (city_id) LEFT JOIN customer USING (address_id)"
+    compare(q.customers_by_state_per_city(t), engine, f"""
+        SELECT any_value(city), count(*) FILTER (WHERE active = 1), count(*) FILTER (WHERE active <> 1)
+        {joined} GROUP BY ct.city_id""")
+    compare(q.customers_by_state_per_group(t), engine, f"""
+        WITH g AS (SELECT ct.city_id AS k, any_value(city) AS city, active, count(*) AS n {joined} GROUP BY ct.city_id, active)
+        SELECT g.city, coalesce(x.n, 0), coalesce(y.n, 0)
+        FROM g LEFT JOIN g x ON x.k = g.k AND x.active = 1 LEFT JOIN g y ON y.k = g.k AND y.active <> 1""")
+
+
+@pytest.mark.parametrize("key", ["inventory_id", "rental_id"])
+@pytest.mark.parametrize("tagged", [False, True])
+def test_h7(pair, key, tagged):
+    t, engine = pair
+
+    def best(tag, pattern):
+        column = f", '{tag}' AS cities" if tagged else ""
+        return f"""(SELECT name, sum(us) AS us{column} FROM d WHERE city LIKE '{pattern}'
+                    GROUP BY name ORDER BY us DESC NULLS FIRST, name LIMIT 1)"""
+
+    found = q.longest_rented_categories(t, rental_key=key, tagged=tagged)
+    columns = ["cat_name", "rental_duration.*", *(["cities"] if tagged else [])]
+    compare(found.select(*columns), engine, f"""
+        WITH d AS (
+            SELECT c.name, city, date_diff('microsecond', rental_date, return_date) AS us
+            FROM rental r JOIN inventory i ON i.inventory_id = r.{key} JOIN film_category USING (film_id)
+            JOIN category c USING (category_id) JOIN customer USING (customer_id) JOIN address USING (address_id)
+            JOIN city USING (city_id)),
+        u AS ({best("starts", "a%")} UNION {best("contains", "%-%")})
+        SELECT name, CAST(us // 2592000000000 AS BIGINT), CAST(us // 86400000000 % 30 AS BIGINT),
+               CAST(us % 86400000000 AS BIGINT) {", cities" if tagged else ""} FROM u""")

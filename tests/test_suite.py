@@ -10,6 +10,7 @@ from conftest import ROOT
 from tidemark.suite import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tables are not here")
 
 
 @pytest.fixture(scope="module")
