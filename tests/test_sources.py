@@ -192,6 +192,12 @@ def test_s13_a_large_day_is_written_by_many_tasks(spark, settings):
     assert landing.read_landed(spark, root, JAN[0], JAN[1]).count() == 60_000
 
 
+def test_s13_a_document_over_two_lines_is_refused(spark):
+    docs = spark.createDataFrame([(JAN[0], '{"a":\n1}')], "ds date, payload string")
+    with pytest.raises(PySparkException, match="spans lines"):
+        landing.land(docs, scratch_dir(spark, "land"))
+
+
 def test_s14_a_failed_refresh_keeps_what_was_landed(spark):
     root = scratch_dir(spark, "land")
     landing.refresh(spark, Service({d: documents(d) for d in JAN[:2]}), root, JAN[0], JAN[1])

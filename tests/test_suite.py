@@ -23,6 +23,13 @@ def test_query_equals_sql(name, spark, engine):
     assert difference(QUERIES[name], SQL[name], spark, engine, FOLDER) is None
 
 
+@pytest.mark.parametrize("name", [n for n in QUERIES if n[0] in "hl" or n.startswith("j")])
+def test_query_equals_sql_without_broadcasts(name, spark, engine, settings):
+    """As on large tables: chains are nested and every join is shuffled."""
+    settings(**{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    assert difference(QUERIES[name], SQL[name], spark, engine, FOLDER) is None
+
+
 def test_entry_points(spark):
     spec = importlib.util.spec_from_file_location("entry_points", os.path.join(ROOT, "__spark_entry__.py"))
     module = importlib.util.module_from_spec(spec)

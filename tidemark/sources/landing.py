@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days_between
@@ -20,6 +20,13 @@ FIELD = "ds"
 MAX_DOCUMENTS_PER_FILE = 5_000_000
 
 
+def _single_line() -> Column:
+    """The payload; a line break in it would come back as two documents, so it is refused."""
+    payload = F.col("payload")
+    broken = payload.contains("\n") | payload.contains("\r")
+    return F.when(broken, F.raise_error(F.lit("a document spans lines"))).otherwise(payload).alias("payload")
+
+
 def land(documents: DataFrame, root: str, gather: bool = True) -> list[dt.date]:
     """Write ``(ds, payload)`` by day and return the days written.
 
@@ -28,7 +35,7 @@ def land(documents: DataFrame, root: str, gather: bool = True) -> list[dt.date]:
     days it holds.
     """
     seen = Observation()
-    rows = documents.select("payload", FIELD)
+    rows = documents.select(_single_line(), FIELD)
     (
         (rows.hint("rebalance", FIELD) if gather else rows)
         .observe(seen, F.collect_set(FIELD).alias("days"))
@@ -140,7 +147,7 @@ def clear(spark: SparkSession, root: str, confirm: bool = False) -> bool:
 def land_by_key(documents: DataFrame, root: str) -> None:
     """Write ``(key, payload)`` as text lines below ``<root>/key=.../``, replacing the keys written."""
     (
-        documents.select("payload", "key")
+        documents.select(_single_line(), "key")
         .hint("rebalance", "key")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
