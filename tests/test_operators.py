@@ -76,6 +76,18 @@ def test_o08_aggregates_once(spark):
     assert "ReusedExchange" in plan_of(ordering.top_k_with_ties(counts, 3, "n"))
 
 
+def test_u04_top_group_under_each_condition(spark):
+    def best(*totals, tag=None):
+        df = spark.createDataFrame(list(totals), "k string, a_n int, a_v int, b_n int, b_v int")
+        return sorted(rows(ordering.top_per_condition(df, "k", "v", ["a", "b"], tag)))
+
+    assert best(("x", 1, 5, 1, 9), ("y", 2, 7, 1, 2)) == [("x", 9), ("y", 7)]
+    assert best(("x", 1, 5, 1, 5), ("y", 2, 5, 1, 2)) == [("x", 5)]
+    assert best(("x", 1, 5, 1, 5), tag="c") == [("x", 5, "a"), ("x", 5, "b")]
+    assert best(("x", 1, None, 0, None), ("y", 1, 9, 0, None)) == [("x", None)]
+    assert best() == []
+
+
 # --- U: set algebra --------------------------------------------------------------------------
 
 items = st.lists(st.one_of(st.none(), st.integers(0, 5)), max_size=12)

@@ -6,6 +6,8 @@ default is the opposite, so the order is always spelled out.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,3 +52,25 @@ def top_k_with_ties(df: DataFrame, k: int, by: str, strict_threshold: bool = Fal
     known = df.filter(F.col(by).isNotNull())
     lowest = known.select(by).orderBy(desc(by)).limit(k).agg(F.min(by))
     return known.filter(F.col(by) >= lowest.scalar())
+
+
+def top_per_condition(
+    totals: DataFrame, key: str, value: str, conditions: Iterable[str], tag: str | None = None
+) -> DataFrame:
+    """The top-1 group under each of several conditions, united, from one pass over ``totals``.
+
+    ``totals`` has one row per ``key``, and for each condition ``c`` the columns ``c_n``, how many rows
+    met it, and ``c_<value>``, their sum. A group without such rows does not compete, one whose sum is
+    unknown ranks first, ties go to the smallest key. Equal winners are one row, unless ``tag`` names a
+    column for the condition.
+    """
+    def winner(condition: str) -> Column:
+        amount, present = F.col(f"{condition}_{value}"), F.col(f"{condition}_n") > 0
+        shown = [F.col(key), amount.alias(value), *([F.lit(condition).alias(tag)] if tag else [])]
+        rank = F.struct(amount.isNotNull(), -amount, F.col(key))
+        return F.min_by(F.when(present, F.struct(*shown)), F.when(present, rank)).alias(condition)
+
+    names = list(conditions)
+    best = totals.agg(*[winner(name) for name in names])
+    rows = best.select(F.explode(F.array_distinct(F.array(*names))).alias("best"))
+    return rows.filter(F.col("best").isNotNull()).select("best.*")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.intervals import elapsed_micros, justify_interval, micros_sum
-from tidemark.operators.ordering import sort_desc, top_k_with_ties, top_n
+from tidemark.operators.ordering import sort_desc, top_k_with_ties, top_n, top_per_condition
 from tidemark.operators.relational import anti_join, group_count, join_chain
 from tidemark.operators.skew import roll_up
 from tidemark.session import materialise
@@ -209,18 +209,10 @@ def longest_rented_categories(
     Columns ``cat_name, rental_duration``. Equal winners merge into one row; ``tagged`` adds a
     ``cities`` column and keeps both. A category without any known duration ranks first.
     """
-    def winner(kind: str):
-        micros = F.col(f"{kind}_micros")
-        present = F.col(f"{kind}_n") > 0
-        row = F.struct("cat_name", micros.alias("micros"), *([F.lit(kind).alias("cities")] if tagged else []))
-        rank = F.struct(micros.isNotNull(), -micros, F.col("cat_name"))
-        return F.min_by(F.when(present, row), F.when(present, rank)).alias(kind)
-
     totals = rental_time_per_category(t, prefix, infix, rental_key)
-    winners = totals.agg(winner("starts"), winner("contains"))
-    rows = winners.select(F.explode(F.array_distinct(F.array("starts", "contains"))).alias("w"))
-    return rows.filter(F.col("w").isNotNull()).select(
-        "w.cat_name",
-        justify_interval(F.col("w.micros")).alias("rental_duration"),
-        *(["w.cities"] if tagged else []),
+    winners = top_per_condition(totals, "cat_name", "micros", ["starts", "contains"], "cities" if tagged else None)
+    return winners.select(
+        "cat_name",
+        justify_interval(F.col("micros")).alias("rental_duration"),
+        *(["cities"] if tagged else []),
     )
