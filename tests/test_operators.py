@@ -241,6 +241,16 @@ def test_j02_join_chain_nests_large_tables_only(spark, settings):
     assert "(a#" in outer_key()
 
 
+@pytest.mark.parametrize("left_type", ["int", "bigint", "decimal(12,0)", "smallint"])
+@pytest.mark.parametrize("right_type", ["int", "bigint", "decimal(14,2)", "double"])
+def test_keys_of_different_types_meet(spark, left_type, right_type):
+    left = spark.range(0, 50).select(F.col("id").cast(left_type).alias("k"), F.lit(1).alias("n"))
+    right = spark.range(0, 100, 2).select(F.col("id").cast(right_type).alias("k"), F.col("id").alias("g"))
+    assert sorted(int(r[0]) for r in rows(relational.anti_join(left, right, "k"))) == list(range(1, 50, 2))
+    assert skew.splittable_join(left, right, "k").count() == 25
+    assert sorted(rows(skew.roll_up(left, right, "k", "g", many=True))) == [(g, 1) for g in range(0, 50, 2)]
+
+
 @pytest.mark.parametrize("hot", [7, None])
 def test_hot_left_key_of_an_anti_join_is_split(spark, settings, hot):
     settings(**LARGE)
@@ -381,6 +391,7 @@ def test_r06_slices_like_a_list(spark):
 
 
 def test_r08_r09_map_to_records(spark):
+    # The salaries.
     salaries = {"Bob": 5000, "Anne": 4000, "Kristine": 4000, "Eugene": 4200}
     df = spark.createDataFrame([(salaries,)], "m map<string,bigint>")
     records = df.select(arrays.records(F.col("m"), "name", "salary").alias("emps"))

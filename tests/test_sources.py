@@ -298,6 +298,7 @@ def test_s06_snapshot_overwrites_and_keeps_empty_tables(spark):
     assert [r.value for r in spark.read.text(f"{root}/clients").distinct().collect()] == ["id,name"]
 
 
+# The car records.
 CAR = "model string, make string, year int"
 CARS = [("ABC", "Audi", 2010)] * 5 + [("EDF", "BEWM", None)] * 5 + [("XCV", None, 2010)] * 5
 

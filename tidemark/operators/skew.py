@@ -15,7 +15,12 @@ def splittable_join(left: DataFrame, right: DataFrame, on: str, how: str = "inne
     key and a value computed from it asks for a partitioning of its own, so the split applies; each
     part of the hot key meets a copy of its one aggregated row.
     """
+    # Equal values of different types hash differently, so both sides get the wider type first.
+    kind = left.select(on).union(right.select(on)).schema[0].dataType
+
     def keyed(df: DataFrame) -> DataFrame:
+        if df.schema[on].dataType != kind:
+            df = df.withColumn(on, F.col(on).cast(kind))
         # One bit is enough, and costs next to nothing in a compressed shuffle.
         return df.withColumn("on_bit", F.pmod(F.hash(on), F.lit(2)))
 

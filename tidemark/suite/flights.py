@@ -13,6 +13,7 @@ from tidemark.plans import flights as q
 from tidemark.suite.registry import Tables, money, register
 from tidemark.suite.rental import renamed
 
+# The tags, here on the statuses of the orders.
 TAGS = {"P": "Planned", "F": "Already completed"}
 
 
