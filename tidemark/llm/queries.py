@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import sharding, simhash, topk
+from tidemark.llm import bpe, records, sharding, simhash, topk
 
 QUERIES = {
     "op3_exact_top_k": topk.op3,
     "op5_hypergeometric_shards": sharding.op5,
+    "op6_framed_records": records.op6,
+    "op7_byte_pair_round_trip": bpe.op7,
     "op8_simhash_components": simhash.op8,
 }
 
