@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import extended, slices
 
 # White space of the tokenizer's pattern, and that pattern.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -181,7 +181,7 @@ def encode(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
     encoded at any length; equal rows give equal results.
     """
     frame = documents.drop("ids", "n_tokens")
-    schema = frame.schema.add("ids", "binary").add("n_tokens", "long")
+    schema = extended(frame, "ids binary, n_tokens long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
@@ -197,7 +197,7 @@ def encode(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """All columns, with ``decoded``, the text of ``ids`` (null ids: empty)."""
     frame = encoded.drop("decoded")
-    schema = frame.schema.add("decoded", "string")
+    schema = extended(frame, "decoded string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,3 +42,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 2
 def words_column(text: Column) -> Column:
     """Words of a text as an array, for plans that stay in the JVM; null and empty text: no words."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+", -1), lambda word: word != "")
+
+
+def extended(frame: DataFrame, ddl: str) -> T.StructType:
+    """The frame's schema with further columns."""
+    return T.StructType([*frame.schema.fields, *T.StructType.fromDDL(ddl).fields])

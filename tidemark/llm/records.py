@@ -4,7 +4,7 @@ A record is the payload's length (8 bytes), its masked checksum (4), the payload
 checksum (4), all little-endian. The checksum is CRC-32, rotated right by 15 bits plus a constant, so that a
 checksum over data that hold checksums stays telling. A payload is a flag byte (1: the id is null), the id
 (8 bytes), the bytes of one token id (2 or 4), and the token ids. Beside each data file lies an index of
-fixed-size entries (offset, length, tokens, first token in the file), and ``_manifest.json`` names the files
+fixed-size entries (offset, length, tokens, first token in the file), and ``manifest.json`` names the files
 of a folder in order.
 """
 
@@ -122,7 +122,7 @@ class RecordWriter(DataSourceArrowWriter):
         for file in files:
             file["start"] = start
             start += file["tokens"]
-        with store.open_output_stream(f"{root}/_manifest.json") as out:
+        with store.open_output_stream(f"{root}/manifest.json") as out:
             out.write("".join(json.dumps(file) + "\n" for file in files).encode())
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -157,7 +157,7 @@ def read_records(spark: SparkSession, url: str, shuffle_seed: int | None = None)
     come in a random order that the seed fixes.
     """
     schema = "part int, number int, name string, records bigint, tokens bigint, start bigint"
-    files = spark.read.schema(schema).json(f"{url}/_manifest.json")
+    files = spark.read.schema(schema).json(f"{url}/manifest.json")
     runs = files.select(
         "name", "start", "records", F.explode(F.sequence(F.lit(0), F.col("records") - 1, F.lit(READ_RECORDS))).alias("first")
     )
