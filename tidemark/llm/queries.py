@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, records, rlz, sharding, simhash, suffix, topk
+from tidemark.llm import bpe, decontam, extract, records, rlz, sharding, simhash, suffix, topk
 
 QUERIES = {
     "op1_relative_lempel_ziv": rlz.op1,
+    "op2_decontamination": decontam.op2,
     "op3_exact_top_k": topk.op3,
     "op4_suffix_array": suffix.op4,
     "op5_hypergeometric_shards": sharding.op5,
     "op6_framed_records": records.op6,
     "op7_byte_pair_round_trip": bpe.op7,
     "op8_simhash_components": simhash.op8,
+    "op9_page_text": extract.op9,
 }
 
 SQL = {"op3_exact_top_k": topk.OP3_SQL}
