@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontam, extract, records, rlz, sharding, simhash, suffix, topk
+from tidemark.llm import bpe, decontam, extract, records, rlz, sharding, simhash, suffix, topk, toxicity
 
 QUERIES = {
     "op1_relative_lempel_ziv": rlz.op1,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_byte_pair_round_trip": bpe.op7,
     "op8_simhash_components": simhash.op8,
     "op9_page_text": extract.op9,
+    "op10_toxicity": toxicity.op10,
 }
 
 SQL = {"op3_exact_top_k": topk.OP3_SQL}

@@ -44,15 +44,18 @@ def fingerprint(data: bytes, width: int = 3, seed: int = 42) -> int:
     return int(np.packbits(counts * 2 > len(spans), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(documents: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id and ``fp``, the 64 bits as a signed long."""
+def fingerprints(documents: DataFrame, width: int = 3, keys: list[str] | None = None) -> DataFrame:
+    """doc_id, ``fp`` (the 64 bits as a signed long) and further columns of longs."""
+    names = ["doc_id", "fp", *(keys or [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             found = [fingerprint(utf8(text.as_py()), width) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            codes = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), codes, *batch.columns[2:]], names)
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    rows = documents.select(F.col("doc_id").cast("long"), "text", *(keys or []))
+    return rows.mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -218,6 +221,26 @@ def near_duplicates(documents: DataFrame, width: int = 3, distance: int = 2) ->
     return marked.join(mapped, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_first(documents: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
+    """One row, all columns, of each component: that of the smallest doc_id (null ids last, then by text hash).
+
+    Of rows that agree in id and text one stays. Components are those of ``near_duplicates``.
+    """
+    spark = documents.sparkSession
+    clean = documents.drop("_k", "_l")
+    keys = [F.xxhash64(F.lit(salt), "doc_id", F.col("doc_id").isNull(), F.coalesce("text", F.lit(""))) for salt in (1, 2)]
+    keyed = clean.withColumn("_k", keys[0]).withColumn("_l", keys[1])
+    marked = materialise(spark, fingerprints(keyed, width, ["_k", "_l"]), "simhash")
+    codes = marked.select("fp").distinct()
+    stars = components(spark, near_links(codes, distance))
+    rooted = codes.join(stars.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_k", "_l")
+    # The first of each fingerprint, then of each component: hot fingerprints shrink before the join.
+    first = marked.groupBy("fp").agg(F.min(order).alias("first"))
+    kept = first.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first._k", "first._l")
+    return keyed.join(kept, ["_k", "_l"], "left_semi").dropDuplicates(["_k", "_l"]).select(*clean.columns)
+
+
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its fingerprint and its component of fingerprints at most two bits apart."""
     from tidemark.llm.common import table
