@@ -23,14 +23,19 @@ def join_chain(fact: DataFrame, *steps: tuple[DataFrame, str] | tuple[DataFrame,
     """Join ``fact`` to a chain of look-up tables, shuffling it once at most.
 
     A step is ``(table, key)`` or ``(table, key, how)``: the key is unique in the table and a column
-    of the table before, so an inner or left join may be regrouped. Tables up to the last one too
+    of the table before; ``how`` is inner or left. The rows are those of joining step by step. A left
+    step before an inner one is an inner one too, as its unmatched rows have no key for the later
+    step; inner steps followed by left ones may be regrouped freely. So tables up to the last one too
     large to broadcast are joined among themselves first and meet the fact as one; the small ones
     behind them are attached to the fact in turn, where Spark broadcasts them. Joining small tables
     among themselves would hide their size from Spark, which estimates a join by the product of
-    its inputs.
+    its inputs. Only the plan depends on sizes, never the rows.
     """
     tables, keys = [step[0] for step in steps], [step[1] for step in steps]
     hows = [step[2] if len(step) == 3 else "inner" for step in steps]
+    if set(hows) - {"inner", "left"}:
+        raise ValueError(f"a step is an inner or a left join: {hows}")
+    hows = ["inner" if "inner" in hows[i:] else "left" for i in range(len(hows))]
     last = max((i for i in range(1, len(steps)) if not broadcastable(tables[i])), default=0)
     nested = tables[last]
     for i in range(last, 0, -1):
@@ -50,14 +55,23 @@ def anti_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     return splittable_join(left, right.select(on).distinct(), on, "left_anti")
 
 
+# Parts that a hot key of a left join's right side is dealt over.
+SALTS = 32
+
+
 def left_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-    """LEFT JOIN in which one key may hold many rows of ``right``.
+    """LEFT JOIN in which one key may hold many rows on either side.
 
-    Of a left join Spark splits a hot key on the left side only. An inner join is split on both
-    sides, so the matches come from one and the rows without a partner from an anti join. Where
-    ``on`` is unique in ``right``, a plain left join does less work.
+    Of a left join Spark splits a hot key on the left side only. So the rows of ``right`` get a salt from
+    their values, each left row is told the salts of its key, SALTS at most, and both meet on key and salt.
+    ``left`` is read once, ``right`` once more for its keys. Where ``on`` is unique in ``right``, a plain
+    left join does less work.
     """
-    return left.join(right, on).unionByName(anti_join(left, right, on), allowMissingColumns=True)
+    salted = right.withColumn("on_salt", F.pmod(F.xxhash64(*right.columns), F.lit(SALTS)).cast("int"))
+    salts = salted.filter(F.col(on).isNotNull()).groupBy(on).agg(F.collect_set("on_salt").alias("on_salts"))
+    told = splittable_join(left, salts, on, "left")
+    each = told.withColumn("on_salt", F.explode(F.coalesce("on_salts", F.array(F.lit(-1))))).drop("on_salts")
+    return each.join(salted, [on, "on_salt"], "left").drop("on_salt")
 
 
 def group_count(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:
@@ -70,15 +84,19 @@ def group_distinct(df: DataFrame, keys: list[str | Column], counted: str, name:
 
 
 def rounded_mean(amount: str) -> Column:
-    """Mean of a decimal column to two places, half away from zero.
+    """Mean of a decimal column to two places, half away from zero; NULL where no amount is known.
 
-    Computed on whole cents: Spark's decimal mean is itself rounded, so rounding it again can be
-    one cent off. NULL where no amount is known.
+    Exact at the column's scale (up to 6 places): Spark's decimal mean is itself rounded, so rounding it
+    again can be one cent off. Whole cents of the quotient come from an integer division, and what that
+    leaves decides about one more.
     """
     n = F.nullif(F.count(amount), F.lit(0))
-    cents = (F.sum(amount) * 100).cast("decimal(37,0)")
-    magnitude = F.call_function("div", F.abs(cents) * 2 + n, n * 2)
-    return (F.signum(cents).cast("int") * magnitude.cast("decimal(20,0)") / 100).cast("decimal(22,2)")
+    total = F.sum(amount)
+    scaled = F.abs(total) * 100
+    cents = F.call_function("div", scaled, n)
+    rest = scaled - (cents.cast("decimal(20,0)") * n.cast("decimal(12,0)")).cast("decimal(28,0)")
+    magnitude = cents + F.when(rest * 2 >= n, 1).otherwise(0)
+    return (F.signum(total).cast("int") * magnitude.cast("decimal(20,0)") / 100).cast("decimal(22,2)")
 
 
 def amount_stats(amount: str) -> list[Column]:
@@ -100,7 +118,8 @@ def null_extended_counts(parent: DataFrame, child: DataFrame, on: str) -> DataFr
     """
     counted = group_count(child.filter(F.col(on).isNotNull()), on, name="matches")
     matches = F.coalesce("matches", F.lit(0))
-    return parent.join(counted, on, "left").select(
+    # ``on`` need not be unique in the parent, so a hot key there must stay splittable.
+    return splittable_join(parent, counted, on, "left").select(
         *[F.col(name) for name in parent.columns],
         F.greatest(matches, F.lit(1)).alias("joined_rows"),
         matches.alias("matches"),

@@ -40,3 +40,8 @@ def intersection(a: DataFrame, b: DataFrame) -> DataFrame:
 def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct rows in exactly one of the two."""
     return _membership(a, b).filter("in_a <> in_b").select(*a.columns)
+
+
+def only_in_second(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The side of the symmetric difference that lies in ``b``, from the same single grouping."""
+    return _membership(a, b).filter("in_b AND NOT in_a").select(*a.columns)

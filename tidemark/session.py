@@ -55,11 +55,21 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def materialise(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+    """Write ``df`` once to the shared folder and read it back: this runs a job while a query is being built.
 
     For a frame that several branches use and that is dear to compute: the files outlive a lost
-    executor, and each branch scans them instead of repeating the work.
+    executor, and each branch scans them instead of repeating the work. They stay until ``discard``
+    removes them, as the frames built on them may run at any later time.
     """
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.scratch_path = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Remove the files of a frame that ``materialise`` returned, once nothing will read them any more."""
+    spark = stored.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(stored.scratch_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -122,14 +122,14 @@ def _(t):
     return q.flights_among(flights(t), ("F", "P"))
 
 
-CENTS = "CAST(round({0} * 100) AS BIGINT)"
 PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
 
 
 def mean_sql(amount: str) -> str:
-    """Rounded mean of positive amounts in whole cents."""
-    cents = CENTS.format(amount)
-    return f"CAST((2 * sum({cents}) + count(*)) // (2 * count(*)) AS BIGINT)"
+    """Rounded mean, in whole cents, of positive amounts: exact in decimals over the known ones."""
+    known = f"CAST({amount} AS DECIMAL(18,2))"
+    units = f"CAST(sum({known}) * 100 AS HUGEINT)"
+    return f"CAST((2 * {units} + count({amount})) // (2 * count({amount})) AS BIGINT)"
 
 
 @register("l11_booking_count", "SELECT count(*) AS n FROM orders")

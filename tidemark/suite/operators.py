@@ -44,9 +44,9 @@ def _(t):
     return c.select(F.col("c.c_custkey").alias("customer_id"), F.col("c.c_name").alias("customer_name"))
 
 
-@register("p04_literal_tag", "SELECT o_orderkey, 'Planned' AS st FROM orders WHERE o_orderstatus = 'P'")
+@register("p04_literal_tag", "SELECT o_orderkey, 'Booked' AS st FROM orders")
 def _(t):
-    return t.orders.filter(F.col("o_orderstatus") == "P").select("o_orderkey", F.lit("Planned").alias("st"))
+    return t.orders.select("o_orderkey", F.lit("Booked").alias("st"))
 
 
 @register("p05_arithmetic_over_aggregate", f"""
@@ -432,17 +432,22 @@ def _(t):
 # --- set operations --------------------------------------------------------------------------
 
 
-def _buyers(t: Tables, month: str):
-    in_month = F.date_trunc("month", "o_orderdate") == F.lit(month).cast("timestamp_ntz")
-    return t.orders.filter(in_month).select("o_custkey")
+# All orders, split at a date into an earlier and a later half; the range reaches the scan.
+SPLIT = "1998-05-01"
 
 
-def _buyers_sql(month: str) -> str:
-    return f"SELECT o_custkey FROM orders WHERE date_trunc('month', o_orderdate) = TIMESTAMP '{month}'"
+def _buyers(t: Tables, later: bool):
+    split = F.lit(SPLIT).cast("timestamp_ntz")
+    half = F.col("o_orderdate") >= split if later else F.col("o_orderdate") < split
+    return t.orders.filter(half).select("o_custkey")
 
 
-JAN, FEB = "1995-01-01", "1995-02-01"
-JAN_SQL, FEB_SQL = _buyers_sql(JAN), _buyers_sql(FEB)
+def _buyers_sql(sign: str) -> str:
+    return f"SELECT o_custkey FROM orders WHERE o_orderdate {sign} TIMESTAMP '{SPLIT}'"
+
+
+EARLY, LATE = False, True
+EARLY_SQL, LATE_SQL = _buyers_sql("<"), _buyers_sql(">=")
 
 
 @register("u01_union_of_tagged_aggregates", """
@@ -459,14 +464,14 @@ def _(t):
     return united.orderBy(*[ordering.asc(name) for name in united.columns])
 
 
-@register("u02_union_distinct", f"{JAN_SQL} UNION {FEB_SQL}")
+@register("u02_union_distinct", f"{EARLY_SQL} UNION {LATE_SQL}")
 def _(t):
-    return setops.union_distinct(_buyers(t, JAN), _buyers(t, FEB))
+    return setops.union_distinct(_buyers(t, EARLY), _buyers(t, LATE))
 
 
-@register("u03_union_all", f"{JAN_SQL} UNION ALL {FEB_SQL}")
+@register("u03_union_all", f"{EARLY_SQL} UNION ALL {LATE_SQL}")
 def _(t):
-    return setops.union_all(_buyers(t, JAN), _buyers(t, FEB))
+    return setops.union_all(_buyers(t, EARLY), _buyers(t, LATE))
 
 
 @register("l23_union_of_constants", "SELECT 1 AS one FROM orders UNION SELECT 1 AS one FROM lineitem")
@@ -500,25 +505,24 @@ def _(t):
     return ordering.top_per_condition(totals, "c_mktsegment", "balance", ["first", "second"])
 
 
-@register("u05_difference", f"{JAN_SQL} EXCEPT {FEB_SQL}")
+@register("u05_difference", f"{EARLY_SQL} EXCEPT {LATE_SQL}")
 def _(t):
-    return setops.difference(_buyers(t, JAN), _buyers(t, FEB))
+    return setops.difference(_buyers(t, EARLY), _buyers(t, LATE))
 
 
-@register("u06_intersection", f"{JAN_SQL} INTERSECT {FEB_SQL}")
+@register("u06_intersection", f"{EARLY_SQL} INTERSECT {LATE_SQL}")
 def _(t):
-    return setops.intersection(_buyers(t, JAN), _buyers(t, FEB))
+    return setops.intersection(_buyers(t, EARLY), _buyers(t, LATE))
 
 
-@register("u07_symmetric_difference", f"({JAN_SQL} EXCEPT {FEB_SQL}) UNION ALL ({FEB_SQL} EXCEPT {JAN_SQL})")
+@register("u07_symmetric_difference", f"({EARLY_SQL} EXCEPT {LATE_SQL}) UNION ALL ({LATE_SQL} EXCEPT {EARLY_SQL})")
 def _(t):
-    return setops.symmetric_difference(_buyers(t, JAN), _buyers(t, FEB))
+    return setops.symmetric_difference(_buyers(t, EARLY), _buyers(t, LATE))
 
 
-@register("u08_one_side_of_symmetric_difference", f"{FEB_SQL} EXCEPT {JAN_SQL}")
+@register("u08_one_side_of_symmetric_difference", f"{LATE_SQL} EXCEPT {EARLY_SQL}")
 def _(t):
-    only = setops.symmetric_difference(_buyers(t, JAN), _buyers(t, FEB))
-    return setops.intersection(only, _buyers(t, FEB))
+    return setops.only_in_second(_buyers(t, EARLY), _buyers(t, LATE))
 
 
 # --- subqueries ------------------------------------------------------------------------------
