@@ -2,12 +2,14 @@
 
 import datetime as dt
 import json
+import os
+from urllib.parse import quote
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_dir
+from tidemark.session import discard, materialise, scratch_dir
 from tidemark.sources import keyed, landing, transfer
 
 JAN = [dt.date(2021, 1, d) for d in range(1, 32)]
@@ -54,6 +56,38 @@ class Service:
             yield document
 
 
+class LineFiles:
+    """Fetcher over text files laid out as ``<root>/<field>=<key>/<part>``, one document per line and a split per file."""
+    def __init__(self, root: str, field: str):
+        self.root = root
+        self.field = field
+
+    def _open(self):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(self.root)
+
+    def connect(self):
+        return self._open()[0]
+
+    def expired(self, error: Exception) -> bool:
+        return False
+
+    def splits(self, key) -> list[str] | None:
+        from pyarrow import fs
+
+        system, root = self._open()
+        found = system.get_file_info(fs.FileSelector(f"{root}/{self.field}={quote(str(key), safe='')}", allow_not_found=True))
+        return sorted(f.path for f in found if f.is_file and not f.base_name.startswith(("_", "."))) or None
+
+    def fetch(self, session, key, split):
+        import io
+
+        with session.open_input_stream(split) as raw, io.TextIOWrapper(raw, "utf-8", newline="\n") as lines:
+            for line in lines:
+                yield line.rstrip("\n")
+
+
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
@@ -134,6 +168,57 @@ def test_documents_take_one_line():
     assert keyed.one_line('{\n  "a": 1\n}') == '{"a":1}'
 
 
+@pytest.mark.parametrize("pages", [1, 2, 5])
+def test_s12_a_key_is_skipped_as_a_whole_whatever_its_splits(spark, pages):
+    days = {"EUR": [{"n": n} for n in range(7)], "GBP": [{"n": n} for n in range(7)]}
+    service = Service(days, broken=("GBP",), pages=pages)
+    found = keyed.read_keys(spark, service, ["EUR", "GBP"], skip_errors=(ConnectionError,))
+    assert {r.key for r in found.collect()} == {"EUR"} and found.count() == 7
+
+
+def test_s11_renewals_do_not_depend_on_how_many_requests_share_a_task(spark):
+    service = Service({d: documents(d) for d in JAN[:4]}, expiries={d: 3 for d in JAN[:4]})
+    for tasks in (4, 1):
+        assert payloads(keyed.read_days(spark, service, JAN[0], JAN[3], max_tasks=tasks)) == expected(JAN[:4])
+
+
+def test_s13_rows_without_day_payload_or_key_are_refused(spark):
+    for row, why in (((None, "{}"), "no day"), ((JAN[0], None), "no payload")):
+        with pytest.raises(PySparkException, match=why):
+            landing.land(spark.createDataFrame([row], "ds date, payload string"), scratch_dir(spark, "land"))
+    for key in (None, ""):
+        docs = spark.createDataFrame([(key, "{}")], "key string, payload string")
+        with pytest.raises(PySparkException, match="no key"):
+            landing.land_by_key(docs, scratch_dir(spark, "land"))
+
+
+def test_s12_keys_with_signs_come_back(spark):
+    root = scratch_dir(spark, "land")
+    docs = spark.createDataFrame([("a:b", "1"), ("c/d", "2")], "key string, payload string")
+    landing.land_by_key(docs, root)
+    assert rows(landing.read_by_key(spark, root).select("key", "payload")) == [("a:b", "1"), ("c/d", "2")]
+    assert rows(keyed.read_keys(spark, LineFiles(root, "key"), ["a:b", "c/d", "e"])) == [("a:b", "1"), ("c/d", "2")]
+
+
+def test_s14_a_loader_is_a_source_too(spark):
+    root = scratch_dir(spark, "land")
+    docs = spark.createDataFrame([(d, str(d.day)) for d in JAN[:3]], "ds date, payload string")
+
+    def load(days):
+        return docs.filter(F.col("ds").isin(days))
+
+    assert landing.daily_load(spark, load, root, JAN[0], JAN[1]) == JAN[:2]
+    assert landing.daily_load(spark, load, root, JAN[0], JAN[5], force=False) == [JAN[2]]
+    assert len(rows(landing.read_landed(spark, root, JAN[0], JAN[5]))) == 3
+
+
+def test_scratch_files_can_be_removed(spark):
+    stored = materialise(spark, spark.range(5), "test")
+    assert stored.count() == 5 and os.path.isdir(stored.scratch_path.removeprefix("file:"))
+    discard(stored)
+    assert not os.path.exists(stored.scratch_path.removeprefix("file:"))
+
+
 def test_s12_named_errors_skip_a_key_and_others_stop(spark):
     service = Service({"EUR": [{"base": "EUR"}], "USD": [{"base": "USD"}]}, broken=("GBP",))
     found = keyed.read_keys(spark, service, ["EUR", "GBP", "USD", "PLN"], skip_errors=(ConnectionError,))
@@ -245,7 +330,7 @@ def test_s17_daily_load_forced_or_not(spark):
 def test_landing_feeds_the_line_fetcher(spark):
     first, second = scratch_dir(spark, "land"), scratch_dir(spark, "land")
     landing.refresh(spark, Service({d: documents(d) for d in JAN[:3]}), first, JAN[0], JAN[2])
-    landing.refresh(spark, keyed.LineFiles(first, "ds"), second, JAN[0], JAN[30])
+    landing.refresh(spark, LineFiles(first, "ds"), second, JAN[0], JAN[30])
     assert payloads(landing.read_landed(spark, second, JAN[0], JAN[30])) == expected(JAN[:3])
 
 

@@ -8,9 +8,11 @@ The service is reached through a *fetcher*, any picklable object with
     expired(error)               -> whether an error of ``fetch`` calls for a new session
 
 A document is decoded JSON, or its text. Pages or files are natural splits: they let a day that
-holds a third of all documents be read by many tasks. Every (key, split) is one task until there
-are ``max_tasks`` of them; a lower cap respects a rate limit, or gives fewer and larger files when
-landed. Documents stream through a task and are never held together.
+holds a third of all documents be read by many tasks. Splits are listed by tasks of their own.
+Every (key, split) is one task until there are ``max_tasks`` of them; a lower cap respects a rate
+limit, or gives fewer and larger files when landed. Documents leave a task in batches of bounded
+size. Where keys may be skipped, a key is one task and its documents wait on disk until all of its
+splits are there, so that it is skipped as a whole or not at all, however many splits it has.
 """
 
 from __future__ import annotations
@@ -18,19 +20,23 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import json
+import pickle
 import sys
+import tempfile
 from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidemark.functions.dates import days_between
 
-# Fixed value: session renewals allowed per task.
+# Fixed value: session renewals allowed per request, whatever else its task does.
 MAX_RENEWALS = 5
 
 MAX_TASKS = 20_000
+BATCH_BYTES = 4 << 20
 
 # Executors receive these classes, and those of the fetcher, by value: they need no copy of the code.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -54,47 +60,98 @@ def one_line(document) -> str:
 
 
 class KeyedReader(DataSourceReader):
-    def __init__(self, fetcher, keys: Sequence, skip_errors: tuple, max_tasks: int):
+    """``work`` lists requests (key, splits): one split, or all splits of a key that may be skipped."""
+
+    def __init__(self, fetcher, work: list, key_type: pa.DataType, names: list[str], skip_errors: tuple, max_tasks: int):
         self.fetcher = fetcher
-        self.keys = keys
+        self.work = work
+        self.key_type = key_type
+        self.names = names
         self.skip_errors = skip_errors
         self.max_tasks = max_tasks
 
     def partitions(self) -> list[Batch]:
-        work = []
-        for key in self.keys:
-            try:
-                splits = self.fetcher.splits(key)
-            except self.skip_errors:
-                continue
-            work += [(key, split, len(splits)) for split in splits or ()]
         # Neighbouring requests share a task, so a task touches few keys.
-        size = -(-len(work) // self.max_tasks) or 1
-        return [Batch(work[i : i + size]) for i in range(0, len(work), size)] or [Batch([])]
+        size = -(-len(self.work) // self.max_tasks) or 1
+        return [Batch(self.work[i : i + size]) for i in range(0, len(self.work), size)] or [Batch([])]
 
-    def read(self, partition: Batch) -> Iterator[tuple]:
+    def read(self, partition: Batch) -> Iterator[pa.RecordBatch]:
         if not partition.work:
             return
-        session = self.fetcher.connect()
-        renewals = MAX_RENEWALS
-        for key, split, parts in partition.work:
-            sent = 0
+        self.session = self.fetcher.connect()
+        keys, lines, size = [], [], 0
+        for key, splits in partition.work:
+            found = self._spooled(key, splits) if self.skip_errors else self._documents(key, splits)
+            for line in found:
+                keys.append(key)
+                lines.append(line)
+                size += len(line)
+                if size >= BATCH_BYTES:
+                    yield self._batch(keys, lines)
+                    keys, lines, size = [], [], 0
+        if keys:
+            yield self._batch(keys, lines)
+
+    def _batch(self, keys: list, lines: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys, self.key_type), pa.array(lines, pa.string())], self.names)
+
+    def _documents(self, key, splits: list) -> Iterator[str]:
+        """Every document of the splits once; after a renewal a split goes on behind the last one."""
+        for split in splits:
+            sent, renewals = 0, MAX_RENEWALS
             while True:
                 try:
-                    documents = self.fetcher.fetch(session, key, split)
+                    documents = self.fetcher.fetch(self.session, key, split)
                     for document in itertools.islice(documents or (), sent, None):
-                        yield key, one_line(document)
+                        line = one_line(document)
                         sent += 1
+                        yield line
                     break
                 except Exception as error:
-                    if renewals and self.fetcher.expired(error):
-                        renewals -= 1
-                        session = self.fetcher.connect()
-                    elif isinstance(error, self.skip_errors) and not sent and parts == 1:
-                        # A key is skipped as a whole or not at all.
-                        break
-                    else:
+                    if not renewals or not self.fetcher.expired(error):
                         raise
+                    renewals -= 1
+                    self.session = self.fetcher.connect()
+
+    def _spooled(self, key, splits: list) -> Iterator[str]:
+        """The documents of a key once all of them are there; none if one of its requests is to be skipped."""
+        with tempfile.SpooledTemporaryFile(max_size=BATCH_BYTES) as held:
+            try:
+                count = 0
+                for line in self._documents(key, splits):
+                    pickle.dump(line, held)
+                    count += 1
+            except self.skip_errors:
+                return
+            held.seek(0)
+            for _ in range(count):
+                yield pickle.load(held)
+
+
+def _requests(spark: SparkSession, fetcher, keys: Sequence, skip_errors: tuple) -> list:
+    """(key, splits) of every request, listed by tasks; a key whose listing fails with ``skip_errors`` has none."""
+
+    def split_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for place in batch.column(0).to_pylist():
+                try:
+                    splits = list(fetcher.splits(keys[place]) or ())
+                except skip_errors:
+                    splits = []
+                found.append(pickle.dumps(splits))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "splits"])
+
+    tasks = max(1, min(len(keys), spark.sparkContext.defaultParallelism))
+    listed = spark.range(0, len(keys), 1, tasks).mapInArrow(split_lists, "id long, splits binary").collect()
+    work = []
+    for row in sorted(listed):
+        splits = pickle.loads(row.splits)
+        if skip_errors:
+            work += [(keys[row.id], splits)] if splits else []
+        else:
+            work += [(keys[row.id], [split]) for split in splits]
+    return work
 
 
 def _read(
@@ -102,6 +159,9 @@ def _read(
 ) -> DataFrame:
     for part in type(fetcher).__mro__[:-1]:
         cloudpickle.register_pickle_by_value(sys.modules[part.__module__])
+    work = _requests(spark, fetcher, keys, skip_errors)
+    key_type = pa.date32() if " date," in schema else pa.string()
+    names = [column.split()[0] for column in schema.split(",")]
 
     class KeyedSource(DataSource):
         @classmethod
@@ -112,7 +172,7 @@ def _read(
             return schema
 
         def reader(self, schema) -> DataSourceReader:
-            return KeyedReader(fetcher, keys, skip_errors, max_tasks)
+            return KeyedReader(fetcher, work, key_type, names, skip_errors, max_tasks)
 
     spark.dataSource.register(KeyedSource)
     return spark.read.format(name).load()
@@ -147,40 +207,3 @@ def read_keys(
 ) -> DataFrame:
     """``(key, payload)`` for each key; a key whose request fails with ``skip_errors`` is left out."""
     return _read(spark, "tidemark_keyed", "key string, payload string", fetcher, list(keys), skip_errors, max_tasks)
-
-
-class LineFiles:
-    """Fetcher over text files laid out as ``<root>/<field>=<key>/<part>``, one document per line.
-
-    Each file is a split. ``root`` is an absolute path or a URI that Arrow's file systems know;
-    executors must be able to reach it.
-    """
-
-    def __init__(self, root: str, field: str):
-        self.root = root
-        self.field = field
-
-    def _open(self):
-        from pyarrow import fs
-
-        return fs.FileSystem.from_uri(self.root)
-
-    def connect(self):
-        return self._open()[0]
-
-    def expired(self, error: Exception) -> bool:
-        return False
-
-    def splits(self, key) -> list[str] | None:
-        from pyarrow import fs
-
-        system, root = self._open()
-        found = system.get_file_info(fs.FileSelector(f"{root}/{self.field}={key}", allow_not_found=True))
-        return sorted(f.path for f in found if f.is_file and not f.base_name.startswith(("_", "."))) or None
-
-    def fetch(self, session, key, split) -> Iterator[str]:
-        import io
-
-        with session.open_input_stream(split) as raw, io.TextIOWrapper(raw, "utf-8", newline="\n") as lines:
-            for line in lines:
-                yield line.rstrip("\n")

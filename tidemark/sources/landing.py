@@ -2,13 +2,17 @@
 
 Days are replaced with dynamic partition overwrite: a day is replaced when its load commits, other
 days stay, and a load that brings no document for a day leaves that day alone. The file commit is
-not atomic, so a reader that runs beside a refresh should wait for it.
+not atomic, so a reader that runs beside a refresh should wait for it. A row without a day or key, or
+without a payload, is refused: it would come back as another one.
+
+Loads take a *source*: a fetcher (see ``keyed``), or a function from a list of days to a frame of
+``(ds, payload)``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +24,15 @@ FIELD = "ds"
 MAX_DOCUMENTS_PER_FILE = 5_000_000
 
 
+def _refused(broken: Column, why: str, column: Column) -> Column:
+    return F.when(broken, F.raise_error(F.lit(why))).otherwise(column)
+
+
 def _single_line() -> Column:
-    """The payload; a line break in it would come back as two documents, so it is refused."""
+    """The payload; a line break in it would come back as two documents, and no payload as an empty one."""
     payload = F.col("payload")
-    broken = payload.contains("\n") | payload.contains("\r")
-    return F.when(broken, F.raise_error(F.lit("a document spans lines"))).otherwise(payload).alias("payload")
+    whole = _refused(payload.contains("\n") | payload.contains("\r"), "a document spans lines", payload)
+    return _refused(payload.isNull(), "a document has no payload", whole).alias("payload")
 
 
 def land(documents: DataFrame, root: str, gather: bool = True) -> list[dt.date]:
@@ -35,7 +43,7 @@ def land(documents: DataFrame, root: str, gather: bool = True) -> list[dt.date]:
     days it holds.
     """
     seen = Observation()
-    rows = documents.select(_single_line(), FIELD)
+    rows = documents.select(_single_line(), _refused(F.col(FIELD).isNull(), "a document has no day", F.col(FIELD)).alias(FIELD))
     (
         (rows.hint("rebalance", FIELD) if gather else rows)
         .observe(seen, F.collect_set(FIELD).alias("days"))
@@ -72,27 +80,34 @@ def read_landed(spark: SparkSession, root: str, start: dt.date, end: dt.date | N
     return landed.filter(F.col(FIELD).between(F.lit(days[0]), F.lit(days[-1])))
 
 
-def _load(spark: SparkSession, fetcher, root: str, days: Iterable[dt.date], max_tasks: int) -> list[dt.date]:
+Source = Callable[[list[dt.date]], DataFrame] | object
+
+
+def _load(spark: SparkSession, source: Source, root: str, days: Iterable[dt.date], max_tasks: int) -> list[dt.date]:
     """A fetching task holds one day, a part of one or a few neighbouring ones, so it writes them itself."""
     days = list(days)
-    return land(read_listed_days(spark, fetcher, days, max_tasks), root, gather=False) if days else []
+    if not days:
+        return []
+    if callable(source):
+        return land(source(days), root)
+    return land(read_listed_days(spark, source, days, max_tasks), root, gather=False)
 
 
 def refresh(
     spark: SparkSession,
-    fetcher,
+    source: Source,
     root: str,
     start: dt.date,
     end: dt.date | None = None,
     max_tasks: int = MAX_TASKS,
 ) -> list[dt.date]:
     """Fetch every day of the range again and replace it; returns the days that had data."""
-    return _load(spark, fetcher, root, days_between(start, end), max_tasks)
+    return _load(spark, source, root, days_between(start, end), max_tasks)
 
 
 def fill_gaps(
     spark: SparkSession,
-    fetcher,
+    source: Source,
     root: str,
     start: dt.date,
     end: dt.date | None = None,
@@ -100,25 +115,25 @@ def fill_gaps(
 ) -> list[dt.date]:
     """Fetch only the days not landed yet; returns those that had data."""
     present = set(landed_days(spark, root))
-    return _load(spark, fetcher, root, [d for d in days_between(start, end) if d not in present], max_tasks)
+    return _load(spark, source, root, [d for d in days_between(start, end) if d not in present], max_tasks)
 
 
 def read_through(
     spark: SparkSession,
-    fetcher,
+    source: Source,
     root: str,
     start: dt.date,
     end: dt.date | None = None,
     max_tasks: int = MAX_TASKS,
 ) -> DataFrame:
     """Documents of the range, fetched and landed first where missing."""
-    fill_gaps(spark, fetcher, root, start, end, max_tasks)
+    fill_gaps(spark, source, root, start, end, max_tasks)
     return read_landed(spark, root, start, end)
 
 
 def daily_load(
     spark: SparkSession,
-    fetcher,
+    source: Source,
     root: str,
     start: dt.date,
     end: dt.date | None = None,
@@ -130,7 +145,7 @@ def daily_load(
     ``force`` refetches landed days, as the nightly run does; otherwise only gaps are filled.
     """
     load = refresh if force else fill_gaps
-    return load(spark, fetcher, root, start, end, max_tasks)
+    return load(spark, source, root, start, end, max_tasks)
 
 
 def clear(spark: SparkSession, root: str, confirm: bool = False) -> bool:
@@ -146,8 +161,10 @@ def clear(spark: SparkSession, root: str, confirm: bool = False) -> bool:
 
 def land_by_key(documents: DataFrame, root: str) -> None:
     """Write ``(key, payload)`` as text lines below ``<root>/key=.../``, replacing the keys written."""
+    key = F.col("key")
+    named = _refused(key.isNull() | (key == ""), "a document has no key", key).alias("key")
     (
-        documents.select(_single_line(), "key")
+        documents.select(_single_line(), named)
         .hint("rebalance", "key")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 # A CSV file whose values may hold line breaks, and a JSON file that is one array, are read by one
 # task each. Writers bound the file size so that such reads stay parallel.
 MAX_RECORDS_PER_FILE = 1_000_000
+# Tables of a snapshot that are written at one time.
+SIDE_BY_SIDE = 4
 
 _QUOTING = {
     "header": True,
@@ -49,14 +52,15 @@ def import_csv(
 def snapshot(tables: Mapping[str, DataFrame], root: str, dialect: Mapping = EXACT) -> list[str]:
     """Write each table to ``<root>/<table>``, replacing it; returns the paths.
 
-    Tables are independent jobs. Over a database connection they are separate reads, not one
+    Tables are independent jobs, some of them side by side. Over a database connection they are separate reads, not one
     consistent state.
     """
-    paths = []
-    for name, table in tables.items():
-        export_csv(table, f"{root}/{name}", dialect=dialect)
-        paths.append(f"{root}/{name}")
-    return paths
+    paths = {name: f"{root}/{name}" for name in tables}
+    with ThreadPoolExecutor(max_workers=max(1, min(len(tables), SIDE_BY_SIDE))) as pool:
+        jobs = [pool.submit(export_csv, table, paths[name], dialect=dialect) for name, table in tables.items()]
+        for job in jobs:
+            job.result()
+    return list(paths.values())
 
 
 # --- tables ----------------------------------------------------------------------------------

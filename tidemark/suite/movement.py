@@ -1,12 +1,12 @@
 """Files, landing areas and loads, each read back so that the result can be compared.
 
-The daily service is played by files of JSON lines, one folder per day or key, that Spark first
-writes from the given tables to the shared scratch folder.
+Landing areas are fed by a loader over the given tables: whole rows as documents.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,21 +14,34 @@ from pyspark.sql import functions as F
 from tidemark.functions import payloads
 from tidemark.functions.dates import day
 from tidemark.session import scratch_dir
-from tidemark.sources import keyed, landing, transfer
+from tidemark.sources import landing, transfer
 from tidemark.suite.registry import Tables, money, register
 
-# The events cover January 2024; the range asked for is wider, so some days have no data.
-START, END = dt.date(2023, 12, 30), dt.date(2024, 2, 2)
-EVENT = "event_id bigint, value double"
-EVENT_SQL = "SELECT strftime(ts, '%Y-%m-%d') AS ds, event_id, value FROM events"
+# Times travel as text: JSON timestamps would lose the fraction of a second.
+EVENT = "event_id bigint, ts string, user_id bigint, event_type string, value double, props string"
+EVENT_COLUMNS = "strftime(ts, '%Y-%m-%d') AS ds, event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type"
+EVENT_SQL = f"SELECT {EVENT_COLUMNS}, value, props FROM events"
 
 
-def _daily_service(t: Tables, factor: int = 1) -> keyed.LineFiles:
-    """A service with one document per event; ``factor`` tells two versions of the data apart."""
-    root = scratch_dir(t.spark, "service")
-    events = t.events.withColumn("ds", day("ts")).withColumn("value", F.col("value") * factor)
-    landing.land(events.select("ds", payloads.encode(F.struct("event_id", "value")).alias("payload")), root)
-    return keyed.LineFiles(root, "ds")
+def _daily_documents(t: Tables, factor: int = 1) -> Callable[[list[dt.date]], DataFrame]:
+    """A loader with one document per event; ``factor`` tells two versions of the data apart."""
+    fields = ["event_id", F.col("ts").cast("string").alias("ts"), "user_id", "event_type"]
+    document = F.struct(*fields, (F.col("value") * factor).alias("value"), "props")
+
+    def load(days: list[dt.date]) -> DataFrame:
+        start, end = F.lit(min(days)), F.lit(max(days))
+        # The range reaches the scan; the list also leaves out days between that are not asked for.
+        asked = t.events.filter((F.col("ts") >= start.cast("timestamp_ntz")) & (F.col("ts") < F.date_add(end, 1)))
+        dated = asked.withColumn("ds", day("ts")).filter(F.col("ds").isin(days))
+        return dated.select("ds", payloads.encode(document).alias("payload"))
+
+    return load
+
+
+def _range(t: Tables) -> tuple[dt.date, dt.date]:
+    """Two days more than the events cover on either side, so some days have no data."""
+    first, last = t.events.agg(F.min(day("ts")), F.max(day("ts"))).first()
+    return first - dt.timedelta(2), last + dt.timedelta(2)
 
 
 def _events_of(documents: DataFrame) -> DataFrame:
@@ -77,36 +90,52 @@ def _(t):
     return t.spark.read.schema(CATEGORY).parquet(table)
 
 
-SNAPSHOT_KEYS = {
-    "customer": "c_custkey",
-    "orders": "o_orderkey",
-    "part": "p_partkey",
-    "supplier": "s_suppkey",
-    "documents": "doc_id",
+SNAPSHOT = ["customer", "orders", "part", "supplier", "documents"]
+# One line per row of any table: its name and all columns as text.
+SNAPSHOT_ROWS = {
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
 }
-SNAPSHOT_SQL = " UNION ALL ".join(
-    f"SELECT '{table}' AS name, count(*) AS n, CAST(sum({key}) AS BIGINT) AS key_sum FROM {table}"
-    for table, key in SNAPSHOT_KEYS.items()
-)
+# Fixed value: doubles are compared as whole cents, which every engine prints alike.
+DOUBLES = ["c_acctbal", "o_totalprice", "p_retailprice", "s_acctbal", "value"]
+
+
+def _line_sql(table: str, columns: list[str]) -> str:
+    texts = [
+        f"CAST(CAST(round({c} * 100) AS BIGINT) AS VARCHAR)" if c in DOUBLES else f"CAST({c} AS VARCHAR)" for c in columns
+    ]
+    joined = " || '|' || ".join(f"coalesce({text}, '-')" for text in texts)
+    return f"SELECT '{table}' AS name, md5({joined}) AS line FROM {table}"
+
+
+SNAPSHOT_SQL = " UNION ALL ".join(_line_sql(table, columns) for table, columns in SNAPSHOT_ROWS.items())
+
+
+def _lines(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """A digest of every column of every row, so that a damaged value of any column shows."""
+    texts = [F.round(F.col(c) * 100).cast("bigint").cast("string") if c in DOUBLES else F.col(c).cast("string") for c in columns]
+    joined = F.concat_ws("|", *[F.coalesce(text, F.lit("-")) for text in texts])
+    return df.select(F.lit(name).alias("name"), F.md5(joined.cast("binary")).alias("line"))
 
 
 @register("s06_snapshot", SNAPSHOT_SQL)
 def _(t):
-    root = scratch_dir(t.spark, "snapshot")
-    tables = {name: getattr(t, name) for name in SNAPSHOT_KEYS}
-    transfer.snapshot(tables, root)
-    return _snapshot_totals(t, tables, root)
+    return _snapshot_lines(t)
 
 
-def _snapshot_totals(t: Tables, tables: dict[str, DataFrame], root: str) -> DataFrame:
-    totals = None
+def _snapshot_lines(t: Tables) -> DataFrame:
+    """Every row of the written snapshot, as a digest."""
+    root = scratch_dir(t.spark, "snapshot")
+    tables = {name: getattr(t, name) for name in SNAPSHOT}
+    transfer.snapshot(tables, root)
+    lines = None
     for name, table in tables.items():
-        read = transfer.import_csv(t.spark, f"{root}/{name}", table.schema)
-        one = read.agg(
-            F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), F.sum(SNAPSHOT_KEYS[name]).alias("key_sum")
-        )
-        totals = one if totals is None else totals.unionByName(one)
-    return totals
+        one = _lines(transfer.import_csv(t.spark, f"{root}/{name}", table.schema), name, SNAPSHOT_ROWS[name])
+        lines = one if lines is None else lines.unionByName(one)
+    return lines
 
 
 CAR = "model string, make string, year double"
@@ -159,95 +188,77 @@ def _(t):
     return t.spark.read.schema(CATEGORY).parquet(table)
 
 
-# --- the daily service and its landing area --------------------------------------------------
-
-
-@register("s11_daily_source", EVENT_SQL)
-def _(t):
-    return _events_of(keyed.read_days(t.spark, _daily_service(t), START, END))
-
+# --- the landing area ------------------------------------------------------------------------
 
-# The keys asked for. The last one is unknown to the service.
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "NONE"]
+CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
 
-class RefusingFiles(keyed.LineFiles):
-    """A service that answers one key with an error."""
-
-    refused = "BUILDING"
-
-    def splits(self, key):
-        if key == self.refused:
-            raise LookupError(key)
-        return super().splits(key)
-
-
-CUSTOMER = "c_custkey bigint, c_acctbal double"
-SEGMENT_SQL = "SELECT c_mktsegment AS key, c_custkey, c_acctbal FROM customer WHERE c_mktsegment <> 'BUILDING'"
-
-
-def _segment_documents(t: Tables) -> DataFrame:
-    root = scratch_dir(t.spark, "service")
-    document = payloads.encode(F.struct("c_custkey", "c_acctbal"))
+@register("d5_documents_per_key", """
+    SELECT c_mktsegment AS key, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def _(t):
+    root = scratch_dir(t.spark, "keyed")
+    document = payloads.encode(F.struct(*t.customer.columns))
     landing.land_by_key(t.customer.select(F.col("c_mktsegment").alias("key"), document.alias("payload")), root)
-    return keyed.read_keys(t.spark, RefusingFiles(root, "key"), SEGMENTS, skip_errors=(LookupError,))
+    landed = landing.read_by_key(t.spark, root)
+    return landed.select("key", payloads.decode("payload", CUSTOMER).alias("c")).select("key", "c.*")
 
 
-def _customers_of(documents: DataFrame) -> DataFrame:
-    return documents.select("key", payloads.decode("payload", CUSTOMER).alias("c")).select("key", "c.*")
+RATES = "base string, rates map<string,double>, date string"
 
 
-@register("s12_keyed_source", SEGMENT_SQL)
+@register("f09_nested_documents", """
+    SELECT s.s_name AS base, n.n_name AS currency, s.s_acctbal + n.n_nationkey AS rate, '2024-01-01' AS date
+    FROM supplier s, nation n WHERE n.n_regionkey = s.s_nationkey % 5""")
 def _(t):
-    return _customers_of(_segment_documents(t))
-
-
-@register("d5_documents_per_key", SEGMENT_SQL)
-def _(t):
-    root = scratch_dir(t.spark, "keyed")
-    landing.land_by_key(_segment_documents(t), root)
-    return _customers_of(landing.read_by_key(t.spark, root))
+    """Documents with a map of varying keys, landed, decoded and turned into one row per key."""
+    root = scratch_dir(t.spark, "rates")
+    # One small map per group, bounded by the nations of a region.
+    names = t.nation.groupBy("n_regionkey").agg(
+        F.map_from_entries(F.collect_list(F.struct("n_name", "n_nationkey"))).alias("nations")
+    )
+    suppliers = t.supplier.withColumn("n_regionkey", F.col("s_nationkey") % 5).join(names, "n_regionkey")
+    rates = F.transform_values("nations", lambda name, number: F.col("s_acctbal") + number)
+    document = F.struct(F.col("s_name").alias("base"), rates.alias("rates"), F.lit("2024-01-01").alias("date"))
+    landing.land_by_key(suppliers.select((F.col("s_suppkey") % 10).cast("string").alias("key"), payloads.encode(document).alias("payload")), root)
+    decoded = landing.read_by_key(t.spark, root).select(payloads.decode("payload", RATES).alias("d"))
+    return decoded.select("d.base", F.explode("d.rates").alias("currency", "rate"), "d.date")
 
 
 @register("s13_daily_landing", EVENT_SQL)
 def _(t):
-    root = scratch_dir(t.spark, "landing")
-    landing.land(keyed.read_days(t.spark, _daily_service(t), START, END), root)
-    return _events_of(landing.read_landed(t.spark, root, START, END))
+    root, (start, end) = scratch_dir(t.spark, "landing"), _range(t)
+    landing.land(_daily_documents(t)([start + dt.timedelta(n) for n in range((end - start).days + 1)]), root)
+    return _events_of(landing.read_landed(t.spark, root, start, end))
 
 
-@register("s14_refresh", """
-    SELECT strftime(ts, '%Y-%m-%d') AS ds, event_id,
-           CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
-           THEN value * 2 ELSE value END AS value
+@register("s14_refresh", f"""
+    SELECT {EVENT_COLUMNS}, CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
+           THEN value * 2 ELSE value END AS value, props
     FROM events""")
 def _(t):
-    """Three days are fetched again after their documents changed."""
-    root = scratch_dir(t.spark, "landing")
-    landing.refresh(t.spark, _daily_service(t), root, START, END)
-    landing.refresh(t.spark, _daily_service(t, factor=2), root, dt.date(2024, 1, 10), dt.date(2024, 1, 12))
-    return _events_of(landing.read_landed(t.spark, root, START, END))
+    """Three days are loaded again after their documents changed."""
+    root, (start, end) = scratch_dir(t.spark, "landing"), _range(t)
+    landing.refresh(t.spark, _daily_documents(t), root, start, end)
+    landing.refresh(t.spark, _daily_documents(t, factor=2), root, dt.date(2024, 1, 10), dt.date(2024, 1, 12))
+    return _events_of(landing.read_landed(t.spark, root, start, end))
 
 
-@register("s15_read_through", """
-    SELECT strftime(ts, '%Y-%m-%d') AS ds, event_id,
-           CASE WHEN CAST(ts AS DATE) <= DATE '2024-01-15' THEN value ELSE value * 2 END AS value
+@register("s15_read_through", f"""
+    SELECT {EVENT_COLUMNS}, CASE WHEN CAST(ts AS DATE) <= DATE '2024-01-15' THEN value ELSE value * 2 END AS value, props
     FROM events""")
 def _(t):
-    """Days landed before the documents changed are kept; the others come from the service."""
-    root = scratch_dir(t.spark, "landing")
-    landing.refresh(t.spark, _daily_service(t), root, START, dt.date(2024, 1, 15))
-    return _events_of(landing.read_through(t.spark, _daily_service(t, factor=2), root, START, END))
+    """Days landed before the documents changed are kept; the others are loaded when they are read."""
+    root, (start, end) = scratch_dir(t.spark, "landing"), _range(t)
+    landing.refresh(t.spark, _daily_documents(t), root, start, dt.date(2024, 1, 15))
+    return _events_of(landing.read_through(t.spark, _daily_documents(t, factor=2), root, start, end))
 
 
-@register("s16_clear", "SELECT count(*) AS before, CAST(0 AS BIGINT) AS after FROM events")
+@register("s16_clear", "SELECT CAST(0 AS BIGINT) AS after FROM events HAVING count(*) > 0")
 def _(t):
-    root = scratch_dir(t.spark, "landing")
-    landing.refresh(t.spark, _daily_service(t), root, START, END)
-    before = landing.read_landed(t.spark, root, START, END).count()
+    root, (start, end) = scratch_dir(t.spark, "landing"), _range(t)
+    landing.refresh(t.spark, _daily_documents(t), root, start, end)
     landing.clear(t.spark, root, confirm=True)
-    after = landing.read_landed(t.spark, root, START, END).agg(F.count(F.lit(1)).alias("after"))
-    return after.select(F.lit(before).cast("bigint").alias("before"), "after")
+    return landing.read_landed(t.spark, root, start, end).agg(F.count(F.lit(1)).alias("after"))
 
 
 DAY_SQL = """SELECT strftime(ts, '%Y-%m-%d') AS ds, count(*) AS n,
@@ -261,29 +272,27 @@ def _per_day(documents: DataFrame) -> DataFrame:
 @register("s17_daily_load", DAY_SQL)
 def _(t):
     """A backfill in two runs, the second one filling the gaps."""
-    root, service = scratch_dir(t.spark, "landing"), _daily_service(t)
-    landing.daily_load(t.spark, service, root, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
-    landing.daily_load(t.spark, service, root, START, END, force=False)
-    return _per_day(landing.read_landed(t.spark, root, START, END))
+    root, (start, end) = scratch_dir(t.spark, "landing"), _range(t)
+    landing.daily_load(t.spark, _daily_documents(t), root, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+    landing.daily_load(t.spark, _daily_documents(t), root, start, end, force=False)
+    return _per_day(landing.read_landed(t.spark, root, start, end))
 
 
 @register("d1_land_range", EVENT_SQL + " WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-09'")
 def _(t):
     """The command-line job: ISO text in, the landed days out."""
     start, end = dt.date.fromisoformat("2024-01-03"), dt.date.fromisoformat("2024-01-09")
-    landed = landing.read_through(t.spark, _daily_service(t), scratch_dir(t.spark, "landing"), start, end)
+    landed = landing.read_through(t.spark, _daily_documents(t), scratch_dir(t.spark, "landing"), start, end)
     return _events_of(landed)
 
 
-@register("d2_daily_load_and_snapshot", f"""
-    {SNAPSHOT_SQL} UNION ALL SELECT 'events', count(*), CAST(sum(event_id) AS BIGINT) FROM events""")
+LOADED = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+@register("d2_daily_load_and_snapshot", f"{SNAPSHOT_SQL} UNION ALL {_line_sql('events', LOADED)}")
 def _(t):
     """Both scheduled jobs; they are independent of each other."""
-    land, root = scratch_dir(t.spark, "landing"), scratch_dir(t.spark, "snapshot")
-    landing.daily_load(t.spark, _daily_service(t), land, START, END)
-    tables = {name: getattr(t, name) for name in SNAPSHOT_KEYS}
-    transfer.snapshot(tables, root)
-    landed = _events_of(landing.read_landed(t.spark, land, START, END)).agg(
-        F.lit("events").alias("name"), F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("key_sum")
-    )
-    return _snapshot_totals(t, tables, root).unionByName(landed)
+    root, (start, end) = scratch_dir(t.spark, "landing"), _range(t)
+    landing.daily_load(t.spark, _daily_documents(t), root, start, end)
+    landed = _events_of(landing.read_landed(t.spark, root, start, end))
+    return _snapshot_lines(t).unionByName(_lines(landed, "events", LOADED))

@@ -51,7 +51,8 @@ def comparable(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.DateType):
             return F.date_format(column, "yyyy-MM-dd").alias(field.name)
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            return F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(field.name)
+            # With the fraction of a second, where there is one.
+            return column.cast("string").alias(field.name)
         return column
 
     return df.select(*[plain(field) for field in df.schema.fields])
