@@ -136,15 +136,17 @@ def tickets_with_flight(ticket_flights: DataFrame, flights: DataFrame, aircrafts
 
 
 def _ticket_counts(tickets: DataFrame, *more: str | Column) -> DataFrame:
-    keys = [day("scheduled_departure").alias("day"), "model", "fare_conditions", *more]
-    return group_distinct(tickets, keys, "ticket_no", "ticket_count")
+    return group_distinct(tickets, ["day", "model", "fare_conditions", *more], "ticket_no", "ticket_count")
 
 
 def _tickets_of(
     ticket_flights: DataFrame, flights: DataFrame, aircrafts: DataFrame, how: str = "inner"
 ) -> DataFrame:
-    """Tickets with their flight, if it is among ``flights``, and the model of its aircraft, if known."""
-    columns = ["flight_id", "aircraft_code", "scheduled_departure", "status"]
+    """Tickets with the day and status of their flight, if it is among ``flights``, and its model, if known.
+
+    The day is taken of each flight before it meets its tickets.
+    """
+    columns = ["flight_id", "aircraft_code", day("scheduled_departure").alias("day"), "status"]
     return join_chain(
         ticket_flights,
         (flights.select(*columns), "flight_id", how),
@@ -177,8 +179,9 @@ def tickets_per_day_tagged(
     tag = F.lit(None).cast("string")
     for status, label in tags.items():
         tag = F.when(F.col("status") == status, F.lit(label)).otherwise(tag)
-    counts = _ticket_counts(tickets, tag.alias("st")).select(
-        "day", "model", "fare_conditions", "ticket_count", "st"
+    # Statuses are shorter than tags, so they are grouped and the tags attached to the groups.
+    counts = _ticket_counts(tickets, "status").select(
+        "day", "model", "fare_conditions", "ticket_count", tag.alias("st")
     )
     return counts.orderBy(asc("day"), asc("model"), asc("fare_conditions"), asc("st"))
 

@@ -307,7 +307,7 @@ def _(t):
 
 
 INTERVAL_SQL = """
-    SELECT l_suppkey, CAST(sum(date_diff('microsecond', o_orderdate, l_shipdate)) AS DOUBLE) AS micros
+    SELECT l_suppkey, CAST(sum(date_diff('microsecond', o_orderdate, l_shipdate)) AS VARCHAR) AS micros
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1"""
 
 
@@ -316,9 +316,14 @@ def _lags(t: Tables):
     return lines.groupBy("l_suppkey").agg(intervals.elapsed_sum("l_shipdate", "o_orderdate").alias("micros"))
 
 
+def _as_text(lags):
+    """Sums beyond 2^53 keep all their digits as text only."""
+    return lags.withColumn("micros", F.col("micros").cast("decimal(38,0)").cast("string"))
+
+
 @register("a11_interval_sum", INTERVAL_SQL)
 def _(t):
-    return _lags(t)
+    return _as_text(_lags(t))
 
 
 @register("a12_two_level_aggregate", f"""
@@ -424,9 +429,9 @@ def _(t):
     return t.lineitem.limit(2).agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("o10_sort_by_interval", INTERVAL_SQL + " ORDER BY 2 DESC NULLS FIRST, 1 LIMIT 10")
+@register("o10_sort_by_interval", INTERVAL_SQL + " ORDER BY CAST(micros AS HUGEINT) DESC NULLS FIRST, 1 LIMIT 10")
 def _(t):
-    return ordering.top_n(_lags(t), 10, "micros", tie="l_suppkey")
+    return _as_text(ordering.top_n(_lags(t), 10, "micros", tie="l_suppkey"))
 
 
 # --- set operations --------------------------------------------------------------------------
