@@ -1,0 +1,120 @@
+"""Operators 6 and 7 against the tokenizers library."""
+
+import os
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from corpus_fixtures import documents  # noqa: F401
+from tidemark.llm import bpe, records
+from tidemark.session import scratch_dir
+
+BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+ODD = [
+    "", None, " ", "\n\n", "  a  b \n\n c\x1cd.\x1d .", "<|endoftext|>x<|endoftext|> y", "a" * 700, "don't I'll 'S it's 　zz ",
+    "日本語テキスト 🙂🙂 é é ﬁ", "\x85\xa0a \xa0 b", "Σας ΟΔΟΣ İstanbul 123 4567 x1y2", " trailing \n ", "#" * 50 + "\t\t",
+]
+letters = st.sampled_from(["a", "b", " ", "  ", "\n", "'s", "'", "1", "é", "́", "\x1c", "\xa0", "<|endoftext|>", "日", "A", "Σ", ".", "\t", "🙂"])
+text = st.lists(letters, max_size=40).map("".join)
+
+
+@given(st.lists(text, max_size=5))
+@settings(max_examples=120, deadline=None)
+def test_byte_pairs_equal_the_library(texts):
+    tokenizer, codec = Tokenizer.from_file(BYTES), bpe.codec(BYTES)
+    for value, ids in zip(texts, codec.encode_batch(texts)):
+        wanted = tokenizer.encode(value, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == wanted
+        assert codec.decode(ids) == tokenizer.decode(wanted, skip_special_tokens=False) == value
+
+
+@given(st.lists(st.integers(0, 50_256), max_size=12))
+@settings(max_examples=100, deadline=None)
+def test_decoding_any_ids(ids):
+    wanted = Tokenizer.from_file(BYTES).decode(ids, skip_special_tokens=False)
+    assert bpe.codec(BYTES).decode(np.array(ids, "<u4").tobytes()) == wanted
+
+
+@given(st.lists(text, max_size=5))
+@settings(max_examples=120, deadline=None)
+def test_words_equal_the_library(texts):
+    tokenizer, found = Tokenizer.from_file(WORDS), records.word_tokenizer(WORDS).encode_batch(texts)
+    for value, ids in zip(texts, found):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(value, add_special_tokens=False).ids
+
+
+def test_round_trip_of_a_frame(documents):
+    rows = [(i, value) for i, value in enumerate(ODD)] + [(None, "x"), (0, ""), (0, ""), (77, "long text " * 100_000)]
+    frame = documents(rows).withColumnsRenamed({"lang": "ids", "source": "decoded"})
+    done = bpe.decode(bpe.encode(frame, BYTES), BYTES)
+    assert done.columns == ["doc_id", "text", "n_chars", "ids", "n_tokens", "decoded"]
+    tokenizer = Tokenizer.from_file(BYTES)
+    found = done.collect()
+    assert len(found) == len(rows)
+    for row in found:
+        assert row.decoded == (row.text or "")
+        assert np.frombuffer(row.ids, "<u4").tolist() == tokenizer.encode(row.text or "", add_special_tokens=False).ids
+        assert row.n_tokens == len(row.ids) // 4
+    assert bpe.decode(bpe.encode(documents([]), BYTES), BYTES).collect() == []
+
+
+@pytest.mark.parametrize("file_bytes, run", [(records.FILE_BYTES, records.READ_RECORDS), (600, 3)])
+def test_records_come_back_in_order(spark, documents, monkeypatch, file_bytes, run):
+    monkeypatch.setattr(records, "FILE_BYTES", file_bytes)
+    monkeypatch.setattr(records, "READ_RECORDS", run)
+    rng = random.Random(1)
+    rows = [(i, value) for i, value in enumerate(ODD)] + [(200 - i, "some words " * rng.randint(0, 60)) for i in range(60)]
+    rows += [(None, "null id"), (7, "twice"), (7, "twice")]
+    rng.shuffle(rows)
+    url = scratch_dir(spark, "records")
+    frame = documents(rows).withColumnRenamed("doc_id", "id")
+    records.tokenize_to_records(frame, WORDS, 1, url)
+    found = sorted((tuple(r) for r in records.read_records(spark, url).collect()), key=lambda r: r[1])
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    tokenizer, start = Tokenizer.from_file(WORDS), 0
+    assert len(found) == len(ordered)
+    for (key, at, ids), (wanted, value) in zip(found, ordered):
+        expected = tokenizer.encode(value or "", add_special_tokens=False).ids + [1]
+        assert (key, at, np.frombuffer(ids, "<u4").tolist()) == (wanted, start, expected)
+        start += len(expected)
+    mixed = records.read_records(spark, url, shuffle_seed=5).collect()
+    assert sorted(map(str, mixed)) == sorted(map(str, records.read_records(spark, url).collect()))
+    assert [r.start for r in mixed] != sorted(r.start for r in mixed)
+
+
+def test_an_empty_table_of_records(spark, documents):
+    url = scratch_dir(spark, "records")
+    records.tokenize_to_records(documents([]).withColumnRenamed("doc_id", "id"), WORDS, 1, url)
+    assert records.read_records(spark, url).collect() == []
+
+
+def test_a_damaged_record_is_an_error(spark, documents):
+    url = scratch_dir(spark, "records")
+    records.tokenize_to_records(documents([(1, "a few words")]).withColumnRenamed("doc_id", "id"), WORDS, 1, url)
+    root = url.removeprefix("file:")
+    name = next(n for n in os.listdir(root) if n.endswith(".records"))
+    with open(f"{root}/{name}", "r+b") as file:
+        file.seek(15)
+        byte = file.read(1)
+        file.seek(15)
+        file.write(bytes([byte[0] ^ 1]))
+    with pytest.raises(Exception, match="damaged record"):
+        records.read_records(spark, url).collect()
+
+
+@given(st.binary(max_size=40))
+def test_frames(payload):
+    assert records.unframe(records.frame(payload)) == payload
+    assert records.masked(payload) != zlib.crc32(payload)
+
+
+@given(st.one_of(st.none(), st.integers(-(2**63), 2**63 - 1)), st.lists(st.integers(0, 2**32 - 1), max_size=5))
+def test_payloads(key, ids):
+    found, tokens = records.unpack(records.pack(key, np.array(ids, "<u4")))
+    assert (found, tokens.tolist()) == (key, ids)

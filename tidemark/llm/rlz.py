@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import extended, slices, utf8
-from tidemark.llm.windows import Units, covered, in_blocks, kept_runs, repeated, row_key, runs_of, single_windows, spans
+from tidemark.llm.windows import Units, covered, in_blocks, kept_runs, marked_places, narrowed, repeated, row_key, spans
 
 WORDS = 50
 GRAM = 8
@@ -98,14 +98,12 @@ def duplicate_spans(documents: DataFrame, width: int = WORDS, gram: int = GRAM)
     units = Units("words", width, gram)
     found = repeated(documents, units)
     parsed = in_blocks(found.few, solver(units))
-    single = single_windows(found.many, units)
-    source = single.groupBy("h", "w").agg(F.min("doc_id").alias("source"))
     later = (F.col("source") < F.col("doc_id")) | (F.col("doc_id").isNull() & F.col("source").isNotNull())
-    crowded = runs_of(single.join(source, ["h", "w"]).where(later))
-    lz = parsed.unionByName(crowded)
+    crowded = narrowed(found.many, units, lambda n: later)
+    lz = parsed if crowded is None else parsed.unionByName(crowded)
     sources = found.contents.select("h", "c", F.col("doc_id").alias("source")).join(lz, ["h", "c"], "left")
     whole = F.array(F.struct(F.lit(0).alias("a"), (F.col("windows") - 1).alias("b")))
-    marks = found.places.join(sources, ["h", "c"]).withColumn("runs", F.when(later, whole).otherwise(F.col("runs")))
+    marks = marked_places(found.places, sources).withColumn("runs", F.when(later, whole).otherwise(F.col("runs")))
     return spans(marks.where("runs IS NOT NULL"), units)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices, utf8
-from tidemark.llm.windows import Units, covered, in_blocks, kept_runs, repeated, row_key, runs_of, single_windows, spans
+from tidemark.llm.windows import Units, covered, in_blocks, kept_runs, marked_places, narrowed, repeated, row_key, spans
 
 LENGTH = 400
 GRAM = 16
@@ -140,12 +140,11 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     units = Units("bytes", length, gram)
     found = repeated(documents, units)
     sorted_out = in_blocks(found.few, solver(length))
-    single = single_windows(found.many, units)
-    often = single.groupBy("h", "w").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h", "w")
-    runs = sorted_out.unionByName(runs_of(single.join(often, ["h", "w"], "left_semi")))
+    crowded = narrowed(found.many, units, lambda n: F.col(n) > 1)
+    runs = sorted_out if crowded is None else sorted_out.unionByName(crowded)
     contents = found.contents.select("h", "c", "n").join(runs, ["h", "c"], "left")
     whole = F.array(F.struct(F.lit(0).alias("a"), (F.col("windows") - 1).alias("b")))
-    marks = found.places.join(contents, ["h", "c"]).withColumn("runs", F.when(F.col("n") > 1, whole).otherwise(F.col("runs")))
+    marks = marked_places(found.places, contents).withColumn("runs", F.when(F.col("n") > 1, whole).otherwise(F.col("runs")))
     return spans(marks.where("runs IS NOT NULL"), units)
 
 

@@ -26,16 +26,17 @@ def usable(vector: Column) -> Column:
     return F.coalesce(F.forall(vector, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf"))), F.lit(False))
 
 
-def products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Exact integer matrix product: in floating point while every partial sum is below 2^53."""
+def products(queries: np.ndarray, candidates: np.ndarray, allowed: np.ndarray) -> np.ndarray:
+    """Exact integer matrix product, zero where not allowed: in floating point while every sum is below 2^53."""
     if not queries.shape[1]:
-        return np.zeros((len(queries), len(candidates)), np.int64)
-    bound = queries.shape[1] * int(np.abs(queries).max()) * int(np.abs(candidates).max())
-    if bound < 2**53:
-        return np.rint(queries.astype(np.float64) @ candidates.T.astype(np.float64)).astype(np.int64)
-    if bound < 2**63:
-        return queries @ candidates.T
-    raise OverflowError("inner products of these vectors leave 64 bits")
+        return np.zeros(allowed.shape, np.int64)
+    left, right = queries.astype(np.float64), candidates.T.astype(np.float64)
+    if queries.shape[1] * np.abs(left).max() * np.abs(right).max() < 2**53:
+        return np.where(allowed, np.rint(left @ right).astype(np.int64), 0)
+    # Rounding can only matter where the sum of magnitudes is next to the limit itself.
+    if (allowed & (np.abs(left) @ np.abs(right) >= 2.0**63 * (1 - 1e-12))).any():
+        raise OverflowError("inner products of these vectors leave 64 bits")
+    return np.where(allowed, queries @ candidates.T, 0)
 
 
 def best(scores: np.ndarray, allowed: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -97,8 +98,8 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int, query_tile: int =
                 out = [[], [], []]
                 for start in range(0, len(query_ids), 256):
                     some = slice(start, start + 256)
-                    scores = products(query_rows[some], candidates)
                     allowed = query_ids[some, None] != ids[None, :]
+                    scores = products(query_rows[some], candidates, allowed)
                     for i, columns in best(scores, allowed, k):
                         out[0].append(np.full(len(columns), query_ids[start + i]))
                         out[1].append(ids[columns])

@@ -19,9 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices, utf8, words_of
-from tidemark.session import materialise
+from tidemark.operators.skew import splittable_join
+from tidemark.session import discard, materialise
 
-#: Contents of one anchor that a block compares; anchors with more are compared window by window.
+#: Contents of one anchor that a block compares; anchors with more are narrowed down first.
 MAX_CONTENTS = 1_000
 #: Bytes of segments that one block holds.
 BLOCK_BYTES = 1 << 20
@@ -42,6 +43,11 @@ class Units:
     width: int
     gram: int
 
+    @property
+    def class_sizes(self) -> list[int]:
+        """Windows that one class of a crowded anchor holds, step by step; fewer than a window has units."""
+        return sorted({max(1, self.width // 6), max(1, self.width // 48), 1}, reverse=True)
+
     def load(self, text: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
         """Canonical bytes, where each unit starts and ends in them, and a hash of each unit."""
         if self.kind == "bytes":
@@ -130,14 +136,15 @@ def segments(documents: DataFrame, units: Units) -> DataFrame:
 
 
 def texts_of(documents: DataFrame, wanted: DataFrame, units: Units) -> DataFrame:
-    """The bytes of the wanted segments (h, c, doc_id, t, first, windows); each keeps h, c and doc_id."""
-    lists = wanted.groupBy("doc_id", "t").agg(F.collect_list(F.struct("h", "c", "first", "windows")).alias("parts"))
+    """The bytes of the wanted segments (h, c, doc_id, t, first, windows, crowded), with h, c, doc_id and crowded."""
+    part = F.struct("h", "c", "first", "windows", "crowded")
+    lists = wanted.groupBy("doc_id", "t").agg(F.collect_list(part).alias("parts"))
     lists = lists.withColumnsRenamed({"doc_id": "_doc", "t": "_t"})
     joined = documents.join(lists, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for row in range(batch.num_rows):
                 data, starts, ends, _ = units.load(utf8(batch.column(1)[row].as_py()))
                 for part in batch.column(2)[row].as_py():
@@ -147,15 +154,15 @@ def texts_of(documents: DataFrame, wanted: DataFrame, units: Units) -> DataFrame
                     out[2].append(batch.column(0)[row].as_py())
                     out[3].append(part["windows"])
                     out[4].append(data[starts[part["first"]] : ends[last]])
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+                    out[5].append(part["crowded"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, kind) for x, kind in zip(out, kinds)], ["h", "c", "doc_id", "windows", "data"]
+                [pa.array(x, kind) for x, kind in zip(out, kinds)], ["h", "c", "doc_id", "windows", "data", "crowded"]
             )
 
-    found = joined.select("doc_id", "text", "parts").mapInArrow(
-        run, "h long, c long, doc_id long, windows int, data binary"
+    return joined.select("doc_id", "text", "parts").mapInArrow(
+        run, "h long, c long, doc_id long, windows int, data binary, crowded boolean"
     )
-    return found
 
 
 def in_blocks(parts: DataFrame, solve: Callable[[list[dict]], list[list[tuple[int, int]]]]) -> DataFrame:
@@ -188,31 +195,74 @@ def in_blocks(parts: DataFrame, solve: Callable[[list[dict]], list[list[tuple[in
     return ordered.mapInArrow(run, "h long, c long, runs array<struct<a: int, b: int>>")
 
 
-def single_windows(parts: DataFrame, units: Units) -> DataFrame:
-    """A row (h, c, doc_id, at, w) per window, w a hash of its content, for anchors with too many contents."""
+def classes(parts: DataFrame, units: Units, size: int) -> DataFrame:
+    """Runs a to b of ``size`` windows at most of every range of (h, c, doc_id, windows, data, ranges).
+
+    Windows of one anchor are dealt to classes by the anchor's place in them. ``k`` is a hash of what all the
+    windows of a class have in common, ``f`` of all that they cover: only runs of one k can share a window,
+    and runs of one f share every window.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
-                out: list[list] = [[], [], [], [], []]
+                out: list[list] = [[], [], [], [], [], [], []]
                 for item in batch.slice(start, 512).to_pylist():
-                    data, starts, ends, _ = units.load(item["data"])
-                    for at in range(item["windows"]):
-                        key = digest(data[starts[at] : ends[at + units.width - 1]])
-                        for column, value in zip(out, (item["h"], item["c"], item["doc_id"], at, key - (key >> 63 << 64))):
-                            column.append(value)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], ["h", "c", "doc_id", "at", "w"])
-
-    return parts.select("h", "c", "doc_id", "windows", "data").mapInArrow(run, "h long, c long, doc_id long, at int, w long")
-
-
-def runs_of(places: DataFrame) -> DataFrame:
-    """(h, c, at) as (h, c, runs): a content has a bounded number of windows."""
-    return places.groupBy("h", "c").agg(
-        F.collect_set(F.struct(F.col("at").alias("a"), F.col("at").alias("b"))).alias("runs")
-    )
+                    data, starts, ends, hashes = units.load(item["data"])
+                    offset = int((units.grams(data, hashes).view(np.int64) == item["h"]).argmax())
+                    ranges = item["ranges"] or [{"a": 0, "b": item["windows"] - 1}]
+                    for low, high in sorted({(r["a"], r["b"]) for r in ranges}):
+                        for number in range((offset - high) // size, (offset - low) // size + 1):
+                            # The windows whose anchor stands at number * size to number * size + size - 1.
+                            first, last = offset - number * size - size + 1, offset - number * size
+                            a, b = max(first, low), min(last, high)
+                            common = data[starts[last] : ends[first + units.width - 1]]
+                            whole = data[starts[a] : ends[b + units.width - 1]]
+                            k, f = digest(common, number), digest(whole, a - first << 16 | b - first)
+                            row = (item["h"], item["c"], item["doc_id"], a, b, k - (k >> 63 << 64), f - (f >> 63 << 64))
+                            for column, value in zip(out, row):
+                                column.append(value)
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+                names = ["h", "c", "doc_id", "a", "b", "k", "f"]
+                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, kinds)], names)
+
+    schema = "h long, c long, doc_id long, a int, b int, k long, f long"
+    # Dealt out evenly: a crowded anchor may lie in one file.
+    return parts.repartition("h", "c").select("h", "c", "doc_id", "windows", "data", "ranges").mapInArrow(run, schema)
+
+
+def narrowed(parts: DataFrame, units: Units, repeats: Callable[[str], Column]) -> DataFrame | None:
+    """Runs of windows (h, c, runs) for anchors with too many contents; None where there are none.
+
+    Contents are cut into classes of fewer and fewer windows. Runs that agree in all they cover are one from then
+    on: ``repeats`` says, for each against the first of them (``source``, count ``n``), whether its windows are
+    marked. What shares only its common part with others goes on to the next size; at size 1 a run is a window.
+    """
+    if parts.isEmpty():
+        return None
+    marks, current = [], parts.withColumn("ranges", F.lit(None).cast("array<struct<a: int, b: int>>"))
+    for size in units.class_sizes:
+        runs = materialise(parts.sparkSession, classes(current, units, size), "classes")
+        place = F.struct(F.col("doc_id").isNull(), "doc_id", "c", "a", "b")
+        same = runs.groupBy("h", "k", "f").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+        bit = F.pmod(F.hash("h", "k", "f"), F.lit(2))
+        told = same.withColumn("source", F.col("first.doc_id")).withColumn("bit", bit)
+        joined = runs.withColumn("bit", bit).join(told, ["h", "k", "f", "bit"])
+        hit = F.coalesce(repeats("n"), F.lit(False))
+        marks.append(joined.where(hit).select("h", "c", F.struct("a", "b").alias("r")))
+        if size == 1:
+            break
+        mixed = same.groupBy("h", "k").agg(F.count(F.lit(1)).alias("forms")).where("forms > 1").select("h", "k")
+        # A marked run is done, unless it stands for its form against the others.
+        open_runs = joined.where(~hit | ((F.col("c") == F.col("first.c")) & (F.col("a") == F.col("first.a"))))
+        left = open_runs.select("h", "k", "c", F.struct("a", "b").alias("r")).join(mixed, ["h", "k"], "left_semi")
+        ranges = left.groupBy("h", "c").agg(F.collect_set("r").alias("ranges"))
+        current = parts.join(ranges, ["h", "c"])
+    united = marks[0]
+    for other in marks[1:]:
+        united = united.unionByName(other)
+    return united.groupBy("h", "c").agg(F.collect_set("r").alias("runs"))
 
 
 @dataclass
@@ -230,7 +280,8 @@ def repeated(documents: DataFrame, units: Units) -> Repeated:
     spark = documents.sparkSession
     found = materialise(spark, segments(documents, units), "segments")
     anchor = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), (F.min("c") != F.max("c")).alias("mixed"))
-    places = materialise(spark, found.join(anchor.where("n > 1").drop("n"), "h"), "places")
+    places = materialise(spark, splittable_join(anchor.where("n > 1").drop("n"), found, "h"), "places")
+    discard(found)
     # Nulls last: a null id is never the first place while there is another.
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "t", "first", "windows")
     contents = places.groupBy("h", "c").agg(
@@ -238,9 +289,16 @@ def repeated(documents: DataFrame, units: Units) -> Repeated:
     )
     contents = materialise(spark, contents.select("h", "c", "n", "mixed", "p.doc_id", "p.t", "p.first", "p.windows"), "contents")
     mixed = contents.where("mixed")
-    parts = materialise(spark, texts_of(documents, mixed, units), "parts")
-    width = parts.groupBy("h").agg(F.count(F.lit(1)).alias("contents")).where(F.col("contents") > MAX_CONTENTS)
-    return Repeated(places, contents, parts.join(width, "h", "left_anti"), parts.join(width, "h", "left_semi"))
+    crowd = mixed.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > MAX_CONTENTS)
+    tagged = splittable_join(mixed, crowd, "h", "left").withColumn("crowded", F.col("m").isNotNull())
+    parts = materialise(spark, texts_of(documents, tagged, units), "parts")
+    return Repeated(places, contents, parts.where("NOT crowded"), parts.where("crowded"))
+
+
+def marked_places(places: DataFrame, contents: DataFrame) -> DataFrame:
+    """Places beside what is known of their content; a content with many places is split."""
+    bit = F.pmod(F.hash("h", "c"), F.lit(2))
+    return places.withColumn("bit", bit).join(contents.withColumn("bit", bit), ["h", "c", "bit"])
 
 
 def spans(marks: DataFrame, units: Units) -> DataFrame:
