@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -39,6 +40,7 @@ HEADLINE = [
     "l25_tickets_per_day_and_status",
     "l28_largest_booking",
     "l29_tickets_keeping_unmatched",
+    "a13_null_extended_count",
     "u05_difference",
     "u07_symmetric_difference",
     "r04_distinct_items",
@@ -62,6 +64,8 @@ def main() -> None:
         master=f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
+        spark__checkpoint__dir=os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="tidemark-bench-"),
+        spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -58,7 +59,13 @@ def main() -> None:
     from tidemark.suite import QUERIES, SQL
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+    spark = build_session(
+        master="local[8]",
+        spark__sql__shuffle__partitions="8",
+        spark__driver__memory="8g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="tidemark-compare-"),
+        spark__ui__showConsoleProgress="false",
+    )
     spark.sparkContext.setLogLevel("ERROR")
     engine = connect(folder)
     failed = 0

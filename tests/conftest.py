@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,7 +12,14 @@ from tidemark.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="4g")
+    session = build_session(
+        "tests",
+        master="local[8]",
+        spark__sql__shuffle__partitions="8",
+        spark__driver__memory="4g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="tidemark-tests-"),
+        spark__ui__showConsoleProgress="false",
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -25,7 +25,7 @@ from tidemark.functions.intervals import elapsed_micros, justify_interval, micro
 from tidemark.operators.ordering import sort_desc, top_k_with_ties, top_n, top_per_condition
 from tidemark.operators.relational import anti_join, group_count, join_chain
 from tidemark.operators.skew import roll_up
-from tidemark.session import materialise
+from tidemark.session import checkpointed
 
 Tables = Mapping[str, DataFrame]
 
@@ -96,7 +96,7 @@ def top_actors_in_category(
     written once: threshold and rows both need them, and Spark does not always share the joins
     behind them, for one when it splits a hot key.
     """
-    counts = materialise(t["actor"].sparkSession, films_per_actor(t, category), "film-counts")
+    counts = checkpointed(films_per_actor(t, category))
     top = top_k_with_ties(counts, k, "film_count", strict_threshold)
     return sort_desc(top, "film_count", tie="actor_id").select("first_name", "last_name", "film_count")
 
@@ -145,8 +145,7 @@ def customers_by_state_per_group(t: Tables) -> DataFrame:
     A city with both kinds of customers therefore appears more than once. The grouped rows are
     written once, because each of the three uses would otherwise repeat the aggregation.
     """
-    spark = t["city"].sparkSession
-    groups = materialise(spark, customer_groups(t), "customer-groups")
+    groups = checkpointed(customer_groups(t))
     active = groups.filter(F.col("active") == 1).select("city_id", F.col("customer_count").alias("active_n"))
     passive = groups.filter(F.col("active") != 1).select("city_id", F.col("customer_count").alias("passive_n"))
     rows = groups.join(active, "city_id", "left").join(passive, "city_id", "left")

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
+    # Files of a checkpoint go when nothing refers to its frame any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -54,6 +56,17 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{scratch_root(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once (a job runs now) into the shared folder, for several uses in one query.
+
+    The frame owns the files: Spark removes them after the last query on it is forgotten.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_root(df.sparkSession))
+    return df.checkpoint()
+
+
 def materialise(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: this runs a job while a query is being built.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dates, intervals, payloads
 from tidemark.operators import ordering, relational, setops, skew
-from tidemark.session import materialise
+from tidemark.session import checkpointed
 from tidemark.suite import flights as bound
 from tidemark.suite import rental as bound_rental
 from tidemark.suite.registry import Tables, money, register
@@ -229,7 +229,7 @@ def _(t):
     FROM g LEFT JOIN g AS f ON f.k = g.k AND f.s = 'F' LEFT JOIN g AS o ON o.k = g.k AND o.s = 'O'""")
 def _(t):
     groups = relational.group_count(t.orders, F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("s"))
-    g = materialise(t.spark, groups, "order-groups")
+    g = checkpointed(groups)
     f = g.filter("s = 'F'").select("k", F.col("n").alias("f_n"))
     o = g.filter("s = 'O'").select("k", F.col("n").alias("o_n"))
     return g.join(f, "k", "left").join(o, "k", "left").select(
