@@ -174,22 +174,26 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
+def encode(documents: DataFrame, path: str, text: str = "text", verify: bool = False) -> DataFrame:
     """All columns, with ``ids`` (binary: little-endian unsigned 32-bit token ids) and ``n_tokens`` (long).
 
-    A null or empty text has no tokens. Columns of these names in the input are replaced. Whole texts are
-    encoded at any length; equal rows give equal results.
+    With ``verify`` also ``round_trip``: whether the ids decode to the text. A null or empty text has no tokens.
+    Columns of these names in the input are replaced. Whole texts are encoded at any length; equal rows give
+    equal results.
     """
-    frame = documents.drop("ids", "n_tokens")
-    schema = extended(frame, "ids binary, n_tokens long")
+    added = ["ids", "n_tokens", *(["round_trip"] if verify else [])]
+    frame = documents.drop(*added)
+    schema = extended(frame, "ids binary, n_tokens long" + (", round_trip boolean" if verify else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
         for batch in slices(batches, text, 2 << 20):
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            ids = coder.encode_batch([value or "" for value in texts])
-            sizes = pa.array([len(x) // 4 for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary()), sizes], [*batch.schema.names, "ids", "n_tokens"])
+            texts = [value or "" for value in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            ids = coder.encode_batch(texts)
+            columns = [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+            if verify:
+                columns.append(pa.array([coder.decode(x) == value for x, value in zip(ids, texts)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *added])
 
     return frame.mapInArrow(run, schema)
 
