@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import materialise
+from tidemark.session import discard, materialise
 
 
 def _summary(edges: DataFrame) -> tuple:
@@ -28,8 +28,9 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = materialise(spark, small.unionByName(low.withColumnRenamed("m", "v")).distinct(), "stars")
-        after = _summary(edges)
+        following = materialise(spark, small.unionByName(low.withColumnRenamed("m", "v")).distinct(), "stars")
+        discard(edges)
+        edges, after = following, _summary(following)
         if after == before:
             break
         before = after

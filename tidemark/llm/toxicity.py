@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import extended, slices
-from tidemark.session import materialise
+from tidemark.session import discard, materialise
 
 #: Most labelled rows that a model is fitted on (a fixed share by hash where there are more).
 FIT_ROWS = 20_000
@@ -228,7 +228,8 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> Toxic
     rows = with_features(examples, lexicon).select(
         array_to_vector("_features").alias("_vector"), F.col("toxic").cast("double").alias("_label"), "fold"
     )
-    rows = materialise(spark, rows, "features").coalesce(4)
+    stored = materialise(spark, rows, "features")
+    rows = stored.coalesce(4)
     booster = GBTClassifier(
         featuresCol="_vector", labelCol="_label", maxIter=20, maxDepth=4, stepSize=0.2, maxBins=64, minInstancesPerNode=5, seed=7
     )
@@ -239,6 +240,8 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> Toxic
     if calibrating is not None and calibrating["bad"] not in (0, calibrating["n"]):
         held = trees.transform(rows.where("fold = 1")).select("_label", vector_to_array("_p")[1].alias("_margin"))
         calibration = IsotonicRegression(featuresCol="_margin", labelCol="_label", predictionCol="score").fit(held)
+    discard(examples)
+    discard(stored)
     return ToxicityModel(lexicon, trees, calibration, base)
 
 
