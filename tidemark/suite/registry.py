@@ -21,13 +21,19 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        key = (path, _modified(self.spark, path))
+        if key not in _SCHEMAS:
+            _SCHEMAS[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
-# Reading a schema from the files is a Spark job of its own, so it is done once per table.
-_SCHEMAS: dict[str, T.StructType] = {}
+# Reading a schema from the files is a Spark job of its own, so it is done once for each state of a table.
+_SCHEMAS: dict[tuple[str, int], T.StructType] = {}
+
+
+def _modified(spark: SparkSession, path: str) -> int:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).getModificationTime()
 
 
 def register(name: str, sql: str | None = None):
