@@ -50,9 +50,10 @@ def removed_bytes(texts, length):
 @pytest.mark.parametrize("crowded", [False, True])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_duplicate_words_equal_brute_force(documents, mixed_texts, monkeypatch, seed, crowded):
-    """Also where every anchor counts as crowded, with a null id and two rows of one id."""
+    """Also where every anchor counts as crowded and texts come in pieces, with a null id and two rows of one id."""
     if crowded:
         monkeypatch.setattr(windows, "MAX_CONTENTS", 1)
+        monkeypatch.setattr(windows, "PIECE", 37)
     texts = [*enumerate(mixed_texts(seed)), (None, mixed_texts(seed)[0]), (3, mixed_texts(seed)[5])]
     random.Random(seed).shuffle(texts)
     frame = documents(texts).withColumnsRenamed({"lang": "spans"})
@@ -73,6 +74,7 @@ def test_duplicate_words_equal_brute_force(documents, mixed_texts, monkeypatch,
 def test_repeated_bytes_equal_brute_force(documents, mixed_texts, monkeypatch, seed, crowded):
     if crowded:
         monkeypatch.setattr(windows, "MAX_CONTENTS", 1)
+        monkeypatch.setattr(windows, "PIECE", 37)
     texts = [*enumerate(mixed_texts(seed)), (None, mixed_texts(seed)[2]), (4, mixed_texts(seed)[4])]
     done = suffix.remove_repeats(documents(texts), length=60)
     found = sorted((str(r.doc_id), r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in done.collect())

@@ -26,6 +26,8 @@ from tidemark.session import discard, materialise
 MAX_CONTENTS = 1_000
 #: Bytes of segments that one block holds.
 BLOCK_BYTES = 1 << 20
+#: Windows of one text that are held at a time.
+PIECE = 1 << 18
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -59,10 +61,33 @@ class Units:
         digest = xxhash.xxh64_intdigest
         return b" ".join(words), starts, ends, np.array([digest(word) for word in words], np.uint64)
 
+    def pieces(self, text: bytes) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
+        """The text in pieces of PIECE windows at most: the first window's place, then what ``load`` gives.
+
+        A run of windows with one anchor may be cut in two; each window is in one piece.
+        """
+        reach = PIECE + self.width - 1
+        if self.kind == "bytes":
+            for base in range(0, len(text) - self.width + 1, PIECE):
+                yield base, *self.load(text[base : base + reach])
+            return
+        data, starts, ends, hashes = self.load(text)
+        for base in range(0, len(starts) - self.width + 1, PIECE):
+            part = slice(base, base + reach)
+            yield base, data, starts[part], ends[part], hashes[part]
+
+    def cutter(self, text: bytes) -> Callable[[int, int], bytes]:
+        """The canonical bytes of units first to stop - 1."""
+        if self.kind == "bytes":
+            return lambda first, stop: text[first:stop]
+        data, starts, ends, _ = self.load(text)
+        return lambda first, stop: data[starts[first] : ends[stop - 1]]
+
     def grams(self, data: bytes, hashes: np.ndarray) -> np.ndarray:
         """A hash of the ``gram`` units from each place on."""
         count = len(hashes) - self.gram + 1
         if self.kind == "bytes":
+            # Eight bytes from every place, without a copy.
             eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
             return _mixed(_mixed(eight[:count] * _MIX) + eight[self.gram - 8 :][:count])
         total = np.zeros(count, np.uint64)
@@ -103,32 +128,39 @@ def row_key(text: Column) -> Column:
 def segments(documents: DataFrame, units: Units) -> DataFrame:
     """One row per anchor of every text: anchor hash h, content hash c, the row's keys, first window, windows."""
 
+    names = ["h", "c", "doc_id", "t", "first", "windows"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reach = units.width - units.gram + 1
+        digest = xxhash.xxh3_64_intdigest
         for batch in slices(batches, "text", 4 << 20):
             out: list[list] = [[], [], [], [], []]
+            held = 0
+
+            def result() -> pa.RecordBatch:
+                h, c, row, first, windows = (np.concatenate(x) for x in out)
+                row = pa.array(row)
+                keys = [batch.column(0).take(row), batch.column(1).take(row)]
+                hashes = [pa.array(h.view(np.int64)), pa.array(c.view(np.int64))]
+                numbers = [pa.array(x.astype(np.int32)) for x in (first, windows)]
+                return pa.RecordBatch.from_arrays([*hashes, *keys, *numbers], names)
+
             for row in range(batch.num_rows):
-                data, starts, ends, hashes = units.load(utf8(batch.column(2)[row].as_py()))
-                if len(starts) < units.width:
-                    continue
-                grams = units.grams(data, hashes)
-                first, last, place = anchors(grams, reach)
-                begin, stop = starts[first].tolist(), ends[last + units.width - 1].tolist()
-                digest = xxhash.xxh3_64_intdigest
-                out[0].append(grams[place])
-                out[1].append(np.array([digest(data[a:b]) for a, b in zip(begin, stop)], np.uint64))
-                out[2].append(np.full(len(first), row))
-                out[3].append(first)
-                out[4].append(last - first + 1)
-            if not out[0]:
-                continue
-            h, c, row, first, windows = (np.concatenate(x) for x in out)
-            row = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), batch.column(0).take(row), batch.column(1).take(row)]
-                + [pa.array(x.astype(np.int32)) for x in (first, windows)],
-                ["h", "c", "doc_id", "t", "first", "windows"],
-            )
+                for base, data, starts, ends, hashes in units.pieces(utf8(batch.column(2)[row].as_py())):
+                    grams = units.grams(data, hashes)
+                    first, last, place = anchors(grams, reach)
+                    begin, stop = starts[first].tolist(), ends[last + units.width - 1].tolist()
+                    out[0].append(grams[place])
+                    out[1].append(np.array([digest(data[a:b]) for a, b in zip(begin, stop)], np.uint64))
+                    out[2].append(np.full(len(first), row))
+                    out[3].append(first + base)
+                    out[4].append(last - first + 1)
+                    held += len(first)
+                    if held >= PIECE:
+                        yield result()
+                        out, held = [[], [], [], [], []], 0
+            if held:
+                yield result()
 
     return documents.select("doc_id", "t", "text").mapInArrow(
         run, "h long, c long, doc_id long, t long, first int, windows int"
@@ -146,14 +178,14 @@ def texts_of(documents: DataFrame, wanted: DataFrame, units: Units) -> DataFrame
         for batch in slices(batches, "text", 4 << 20):
             out: list[list] = [[], [], [], [], [], []]
             for row in range(batch.num_rows):
-                data, starts, ends, _ = units.load(utf8(batch.column(1)[row].as_py()))
+                cut = units.cutter(utf8(batch.column(1)[row].as_py()))
                 for part in batch.column(2)[row].as_py():
-                    last = part["first"] + part["windows"] + units.width - 2
+                    stop = part["first"] + part["windows"] + units.width - 1
                     out[0].append(part["h"])
                     out[1].append(part["c"])
                     out[2].append(batch.column(0)[row].as_py())
                     out[3].append(part["windows"])
-                    out[4].append(data[starts[part["first"]] : ends[last]])
+                    out[4].append(cut(part["first"], stop))
                     out[5].append(part["crowded"])
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
