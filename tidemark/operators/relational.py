@@ -67,7 +67,9 @@ def left_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     ``left`` is read once, ``right`` once more for its keys. Where ``on`` is unique in ``right``, a plain
     left join does less work.
     """
-    salted = right.withColumn("on_salt", F.pmod(F.xxhash64(*right.columns), F.lit(SALTS)).cast("int"))
+    # Maps have no hash.
+    hashed = [name for name, kind in right.dtypes if "map<" not in kind]
+    salted = right.withColumn("on_salt", F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int"))
     salts = salted.filter(F.col(on).isNotNull()).groupBy(on).agg(F.collect_set("on_salt").alias("on_salts"))
     told = splittable_join(left, salts, on, "left")
     each = told.withColumn("on_salt", F.explode(F.coalesce("on_salts", F.array(F.lit(-1))))).drop("on_salts")
