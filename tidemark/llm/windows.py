@@ -288,7 +288,10 @@ def narrowed(parts: DataFrame, units: Units, repeats: Callable[[str], Column]) -
         mixed = same.groupBy("h", "k").agg(F.count(F.lit(1)).alias("forms")).where("forms > 1").select("h", "k")
         # A marked run is done, unless it stands for its form against the others.
         open_runs = joined.where(~hit | ((F.col("c") == F.col("first.c")) & (F.col("a") == F.col("first.a"))))
-        left = open_runs.select("h", "k", "c", F.struct("a", "b").alias("r")).join(mixed, ["h", "k"], "left_semi")
+        # A partitioning of its own, so that a common part with many runs can be split.
+        part = F.pmod(F.hash("h", "k"), F.lit(2))
+        left = open_runs.select("h", "k", "c", F.struct("a", "b").alias("r"), part.alias("part"))
+        left = left.join(mixed.withColumn("part", part), ["h", "k", "part"], "left_semi")
         ranges = left.groupBy("h", "c").agg(F.collect_set("r").alias("ranges"))
         current = parts.join(ranges, ["h", "c"])
     united = marks[0]
