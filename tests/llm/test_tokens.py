@@ -19,8 +19,9 @@ BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.pa
 ODD = [
     "", None, " ", "\n\n", "  a  b \n\n c\x1cd.\x1d .", "<|endoftext|>x<|endoftext|> y", "a" * 700, "don't I'll 'S it's 　zz ",
     "日本語テキスト 🙂🙂 é é ﬁ", "\x85\xa0a \xa0 b", "Σας ΟΔΟΣ İstanbul 123 4567 x1y2", " trailing \n ", "#" * 50 + "\t\t",
+    "The, ÉTÉ. ça*** ß%%% AÀÖ naïve- ÿ I a(b) x-- \"Q\" [z] ×÷ é́té l'été Straße&&&",
 ]
-letters = st.sampled_from(["a", "b", " ", "  ", "\n", "'s", "'", "1", "é", "́", "\x1c", "\xa0", "<|endoftext|>", "日", "A", "Σ", ".", "\t", "🙂"])
+letters = st.sampled_from(["a", "b", " ", "  ", "\n", "'s", "'", "1", "é", "́", "\x1c", "\xa0", "<|endoftext|>", "日", "A", "Σ", ".", "\t", "🙂", "É", "ß", "the", "***", ","])
 text = st.lists(letters, max_size=40).map("".join)
 
 

@@ -13,6 +13,8 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from tidemark.llm.bpe import byte_letters
 from tidemark.llm.common import slices
 from tidemark.session import scratch_dir
 
@@ -37,6 +40,7 @@ PREFIX = 10
 #: A data file is closed once it has this many bytes; a reader's task takes this many records.
 FILE_BYTES = 128 << 20
 READ_RECORDS = 4_096
+MAX_READERS = 10_000
 
 
 def masked(data: bytes) -> int:
@@ -161,10 +165,12 @@ def read_records(spark: SparkSession, url: str, shuffle_seed: int | None = None)
     runs = files.select(
         "name", "start", "records", F.explode(F.sequence(F.lit(0), F.col("records") - 1, F.lit(READ_RECORDS))).alias("first")
     )
-    if shuffle_seed is None:
-        runs = runs.repartition("name", "first")
-    else:
-        runs = runs.repartition("name", "first").sortWithinPartitions(F.xxhash64(F.lit(shuffle_seed), "name", "first"))
+    # A number of its own: runs are small rows for much work, which would else be put together into few tasks.
+    wanted = files.agg(F.sum(F.ceil(F.col("records") / READ_RECORDS))).first()[0] or 1
+    order = F.xxhash64(F.lit(shuffle_seed or 0), "name", "first")
+    runs = runs.repartition(max(1, min(int(wanted), MAX_READERS)), order)
+    if shuffle_seed is not None:
+        runs = runs.sortWithinPartitions(order)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(url)
@@ -196,14 +202,22 @@ def _batch(keys: list, starts: list, ids: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(starts, pa.int64()), pa.array(ids, pa.binary())], ["id", "start", "ids"])
 
 
+SEPARATORS = re.compile("[\x1c-\x1f]")
+
+
 class WordTokenizer:
     """The tokenizers library over the distinct words of a batch.
 
     In this kind of tokenizer white space only separates: no token, normal form or special token spans it,
     so a text's ids are its words' ids one after the other, and frequent words need no second call.
+    A word of plain letters with signs behind it is two of the tokenizer's own pieces already (its lower case is
+    its normal form), so the library's model gets the letters without the library's search for pieces;
+    every other word goes through the whole of it.
     """
 
-    REMEMBERED = 400_000
+    #: Words that a generation of the memory holds; words not asked for in two generations are forgotten.
+    REMEMBERED = 250_000
+    PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*#%$&()\[\]\"-]*)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -212,23 +226,56 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
         self.seen: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in found]
+
+    def spell(self, letters: str) -> bytes:
+        """Ids of lower-case letters, from the library's model."""
+        spelled = letters if letters.isascii() else "".join([self.letters[byte] for byte in letters.encode()])
+        tokens = [token.id for token in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(tokens)}I", *tokens)
+
+    def learn(self, words: set[str]) -> None:
+        """Take up words that are not remembered."""
+        seen, cores, plain = self.seen, self.cores, self.PLAIN.fullmatch
+        others = []
+        for word in words:
+            found = plain(word)
+            if found is None:
+                others.append(word)
+                continue
+            letters, signs = found.groups()
+            letters = letters.lower()
+            core = cores.get(letters)
+            if core is None:
+                core = cores[letters] = self.spell(letters)
+            if signs:
+                if signs not in seen:
+                    seen[signs] = self.ids([signs])[0]
+                core += seen[signs]
+            seen[word] = core
+        for start in range(0, len(others), 8_192):
+            some = others[start : start + 8_192]
+            seen.update(zip(some, self.ids(some)))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         # Four control characters separate words for str.split but not for the tokenizer.
-        rows = [None if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split() for text in texts]
+        rows = [None if SEPARATORS.search(text) else text.split() for text in texts]
         if len(self.seen) > self.REMEMBERED:
-            self.seen.clear()
-        unknown = {word for row in rows if row for word in row}.difference(self.seen)
-        # White-space-free texts of any length are words too; huge ones are not kept.
-        words = sorted(unknown)
-        for start in range(0, len(words), 8_192):
-            some = words[start : start + 8_192]
-            self.seen.update(zip(some, self.ids(some)))
+            self.seen, self.before = {}, self.seen
+        if len(self.cores) > 2 * self.REMEMBERED:
+            self.cores = {}
+        unknown: set[str] = set().union(*[row for row in rows if row]).difference(self.seen)
+        known = unknown.intersection(self.before)
+        self.seen.update({word: self.before[word] for word in known})
+        self.learn(unknown - known)
         get = self.seen.__getitem__
         return [self.ids([text])[0] if row is None else b"".join(map(get, row)) for row, text in zip(rows, texts)]
 
@@ -258,7 +305,9 @@ def tokenize_to_records(documents: DataFrame, path: str, end: int, url: str) ->
     The texts are dealt out by ranges of ids before they are encoded, so each is encoded once, by the
     task that writes it. An empty table gives an empty manifest.
     """
-    ordered = documents.select(F.col("id").cast("long"), "text").repartitionByRange("id", "text").sortWithinPartitions("id", "text")
+    rows = documents.select(F.col("id").cast("long"), "text")
+    # Ranges of ids alone: the driver gets a sample of what they are made of.
+    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
     write_records(tokenized(ordered, path, end), url)
 
 
