@@ -76,7 +76,7 @@ def test_scores_find_toxic_texts(spark, documents):
     odd = [(9000, None), (9001, ""), (9002, " \n"), (9003, "grobol snarkel"), (None, "plain words"), (5, docs[5][1]), (9004, "word " * 100_000)]
     frame = documents(docs + odd).withColumnsRenamed({"lang": "score", "source": "predicted"})
     known = spark.createDataFrame([*labels, (1, 0, None), (None, 1, 1), (2, 0, labels[2][2])], "doc_id long, quality int, toxic int")
-    scored = toxicity.score_documents(frame, known)
+    scored = toxicity.score_documents(frame, known, rounds=6)
     assert scored.columns == ["doc_id", "text", "n_chars", "score", "predicted"]
     rows = scored.withColumn("held", toxicity.remainder(F.col("doc_id")) == 2).collect()
     assert len(rows) == len(docs) + len(odd) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
@@ -93,7 +93,7 @@ def test_scores_do_not_depend_on_held_out_labels(spark, documents):
     held = {r.doc_id for r in spark.createDataFrame(labels, schema).where(toxicity.remainder(F.col("doc_id")) == 2).collect()}
     turned = [(k, 1 - q, 1 - t if k in held else t) for k, q, t in labels]
     one, two = (
-        {r.doc_id: r.score for r in toxicity.score_documents(documents(docs), spark.createDataFrame(x, schema)).collect()}
+        {r.doc_id: r.score for r in toxicity.score_documents(documents(docs), spark.createDataFrame(x, schema), rounds=3).collect()}
         for x in (labels, turned)
     )
     assert one == two and len(held) > 30

@@ -28,6 +28,8 @@ STEMS = (4, 5, 6, 7, 8)
 #: Logarithm of how much more often an entry stands in toxic text, from which it counts, and counts as strong.
 WEAK, STRONG = 1.5, 3.0
 THRESHOLD = 0.3
+#: Trees of the model.
+ROUNDS = 20
 NEAR = 6
 
 # Second-person words, and signs that stand for letters.
@@ -201,7 +203,7 @@ class ToxicityModel:
         return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-def fit(documents: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> ToxicityModel:
+def fit(documents: DataFrame, labels: DataFrame, limit: int = FIT_ROWS, rounds: int = ROUNDS) -> ToxicityModel:
     """Fit on labelled documents whose ``remainder`` is not 2, at most about ``limit`` of them by a hash of the id.
 
     Remainders 0 and 3 grow the lexicon and the trees, remainder 1 the calibration. Null labels, ids and texts are no
@@ -231,7 +233,7 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> Toxic
     stored = materialise(spark, rows, "features")
     rows = stored.coalesce(4)
     booster = GBTClassifier(
-        featuresCol="_vector", labelCol="_label", maxIter=20, maxDepth=4, stepSize=0.2, maxBins=64, minInstancesPerNode=5, seed=7
+        featuresCol="_vector", labelCol="_label", maxIter=rounds, maxDepth=4, stepSize=0.2, maxBins=64, minInstancesPerNode=5, seed=7
     )
     trees = booster.fit(rows.where("fold <> 1"))
     trees.setProbabilityCol("_p").setRawPredictionCol("").setPredictionCol("")
@@ -245,9 +247,9 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> Toxic
     return ToxicityModel(lexicon, trees, calibration, base)
 
 
-def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def score_documents(documents: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """All columns of the documents with ``score`` and ``predicted``, by a model fitted on the labelled ones."""
-    return fit(documents, labels).score(documents)
+    return fit(documents, labels, rounds=rounds).score(documents)
 
 
 def op10(spark: SparkSession, folder: str) -> DataFrame:
