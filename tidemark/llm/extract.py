@@ -40,6 +40,8 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Elements that end an open paragraph or one of their own kind.
+CLOSING = HEADINGS | frozenset("p li td th tr dt dd".split())
 # Words of class and id names that mark what surrounds an article.
 MARKS = frozenset(
     """
@@ -56,7 +58,7 @@ LINKED = 0.4
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.DOTALL,
 )
 NAMES = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
@@ -130,6 +132,9 @@ def blocks(page: str) -> list[Block]:
                         pass
                 heading = False
             else:
+                if name in CLOSING:
+                    while stack and stack[-1][0] in ("p", *HEADINGS, name):
+                        stack.pop()
                 _, outside, article = stack[-1] if stack else ("", False, 0)
                 if name in ARTICLE and not article:
                     # An article never lies in a menu: what was open before has lost its end.
@@ -138,19 +143,10 @@ def blocks(page: str) -> list[Block]:
                 elif name in OUTSIDE and not (name == "header" and article):
                     outside = True
                 named = " ".join(NAMES.findall(found["attributes"])) if found["attributes"] else ""
-                if named and name not in ("body", "html") and MARKS.intersection(w.lower() for w in PART.findall(named)):
+                if named and name != "body" and MARKS.intersection(w.lower() for w in PART.findall(named)):
                     outside = True
                 heading = name in HEADINGS
                 if name not in VOID:
-                    if name in ("p", *HEADINGS) or name in ("li", "td", "th", "tr", "dt", "dd"):
-                        # These end at the next of their kind.
-                        while stack and stack[-1][0] in ("p", *HEADINGS, name) and stack[-1][0] not in ("div",):
-                            _ = stack.pop()
-                            if not stack:
-                                break
-                        base = stack[-1] if stack else ("", False, 0)
-                        marked = outside and not base[1] and bool(named)
-                        outside, article = base[1] or marked, base[2]
                     stack.append((name, outside, article))
         elif name in ("option", "label", "input"):
             parts.append(" ")
