@@ -216,7 +216,7 @@ class WordTokenizer:
     """
 
     #: Words that a generation of the memory holds; words not asked for in two generations are forgotten.
-    REMEMBERED = 250_000
+    REMEMBERED = 120_000
     PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*#%$&()\[\]\"-]*)")
 
     def __init__(self, path: str):

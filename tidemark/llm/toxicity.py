@@ -167,10 +167,12 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
 
     counted = rows.select("text", "toxic").mapInArrow(count, "entry string, bad long, good long, holders long")
     counted = counted.groupBy("entry").agg(*[F.sum(c).alias(c) for c in ("bad", "good", "holders")])
+    counted = materialise(rows.sparkSession, counted, "entries")
     toxic = rows.agg(F.sum("toxic")).first()[0] or 0
     words = F.when(F.col("entry").startswith("="), F.struct("bad", "good"))
     total = counted.agg(F.sum(words["bad"]).alias("bad"), F.sum(words["good"]).alias("good")).first()
     if not total["bad"] or not total["good"]:
+        discard(counted)
         return {}
     odds = F.log((F.col("bad") + 0.5) / total["bad"]) - F.log((F.col("good") + 0.5) / total["good"])
     best = (
@@ -179,8 +181,10 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
         .where(F.col("odds") >= WEAK)
         .orderBy(F.desc(F.col("odds") * F.col("holders")), "entry")
         .limit(LEXICON_ENTRIES)
+        .collect()
     )
-    return {row["entry"]: row["odds"] for row in best.collect()}
+    discard(counted)
+    return {row["entry"]: row["odds"] for row in best}
 
 
 @dataclass
