@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import html
+import itertools
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,8 @@ STOP_WORDS = frozenset(
 SKIPPED = frozenset("script style noscript template iframe svg canvas object select textarea button head title audio video map".split())
 OUTSIDE = frozenset("nav footer aside form menu dialog header".split())
 ARTICLE = frozenset("article main".split())
+# Of these, those in which an article is not the page's; a form may stand around the whole page.
+BESIDE = frozenset("nav footer aside".split())
 BLOCKS = frozenset(
     """
     address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer
@@ -73,12 +76,28 @@ class Block:
     heading: bool
     outside: bool
     article: int
+    share: float = 0.0
+
+    def free(self) -> bool:
+        return self.linked <= LINKED * len(self.text)
+
+    def prose(self) -> bool:
+        """Long, dense and not linked: text of an article wherever it stands."""
+        return len(self.text) >= LONG and self.share >= STOP_HIGH and self.free()
+
+
+def stop_share(text: str) -> float:
+    words = LETTERS.findall(text.lower())
+    return sum(word in STOP_WORDS for word in words) / len(words) if words else 0.0
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of text in page order, with linked characters and where they stand."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # name, outside the article, number of the article
+    # Name, outside the article, number of the article, outside but for the article, articles before it if those in it have no weight.
+    stack: list[tuple[str, bool, int, bool, int | None]] = []
+    void: list[tuple[int, int]] = []  # ranges of articles that lie in a closed menu, aside or marked element
+    around: list[bool] = []
     parts: list[str] = []
     linked, links, heading, articles, breaks = 0, 0, False, 0, 0
 
@@ -86,8 +105,9 @@ def blocks(page: str) -> list[Block]:
         nonlocal parts, linked, heading, breaks
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            _, outside, article = stack[-1] if stack else ("", False, 0)
-            out.append(Block(text, min(linked, len(text)), heading, outside, article))
+            _, outside, article, beyond, _ = stack[-1] if stack else ("", False, 0, False, None)
+            out.append(Block(text, min(linked, len(text)), heading, outside, article, stop_share(text)))
+            around.append(beyond)
         parts, linked, breaks = [], 0, 0
 
     place, size = 0, len(page)
@@ -128,79 +148,105 @@ def blocks(page: str) -> list[Block]:
             links = 0
             if closing:
                 if any(entry[0] == name for entry in stack):
-                    while stack.pop()[0] != name:
+                    while (entry := stack.pop())[0] != name:
                         pass
+                    if entry[4] is not None and articles > entry[4]:
+                        void.append((entry[4], articles))
                 heading = False
             else:
                 if name in CLOSING:
                     while stack and stack[-1][0] in ("p", *HEADINGS, name):
                         stack.pop()
-                _, outside, article = stack[-1] if stack else ("", False, 0)
-                if name in ARTICLE and not article:
-                    # An article never lies in a menu: what was open before has lost its end.
+                _, outside, article, beyond, _ = stack[-1] if stack else ("", False, 0, False, None)
+                named = " ".join(NAMES.findall(found["attributes"])) if found["attributes"] else ""
+                marked = bool(named) and name != "body" and not MARKS.isdisjoint(w.lower() for w in PART.findall(named))
+                leads = marked or (name in OUTSIDE and not (name == "header" and article))
+                if leads:
+                    outside = beyond = True
+                elif name in ARTICLE and not article:
+                    # Of an open menu that is never closed the end is lost; an article in a closed one has no weight.
                     articles += 1
                     outside, article = False, articles
-                elif name in OUTSIDE and not (name == "header" and article):
-                    outside = True
-                named = " ".join(NAMES.findall(found["attributes"])) if found["attributes"] else ""
-                if named and name != "body" and MARKS.intersection(w.lower() for w in PART.findall(named)):
-                    outside = True
                 heading = name in HEADINGS
                 if name not in VOID:
-                    stack.append((name, outside, article))
+                    stack.append((name, outside, article, beyond, articles if marked or (leads and name in BESIDE) else None))
         elif name in ("option", "label", "input"):
             parts.append(" ")
     flush()
+    steps = [0] * (articles + 2)
+    for low, high in void:
+        steps[low + 1] += 1
+        steps[high + 1] -= 1
+    inside = list(itertools.accumulate(steps))
+    for block, beyond in zip(out, around):
+        if block.article and inside[block.article]:
+            block.outside, block.article = block.outside or beyond, 0
     return out
 
 
-def first_pass(block: Block) -> bool | None:
-    """True: article, False: not, None: undecided."""
-    if block.outside or block.linked > LINKED * len(block.text):
+def first_pass(block: Block, tagged: bool = False) -> bool | None:
+    """True: article, False: not, None: undecided. ``tagged``: other text of the page lies in a marked article."""
+    if block.outside or not block.free():
         return False
-    words = LETTERS.findall(block.text.lower())
-    share = sum(word in STOP_WORDS for word in words) / len(words) if words else 0.0
     if len(block.text) < SHORT or block.heading:
         return None
-    if share >= STOP_HIGH:
+    if tagged and not block.article:
+        # Beside a marked article only what is long and dense speaks for itself.
+        return True if block.prose() else None if block.share >= STOP_LOW else False
+    if block.share >= STOP_HIGH:
         return True
-    if share >= STOP_LOW and len(block.text) >= LONG:
+    if block.share >= STOP_LOW and len(block.text) >= LONG:
         return True
     # Few function words: no verdict inside a marked article, where the language may be unknown.
-    return None if block.article or share >= STOP_LOW else (False if len(block.text) < LONG else None)
+    return None if block.article or block.share >= STOP_LOW else (False if len(block.text) < LONG else None)
 
 
-def main_text(page: str | None) -> str:
-    """Blocks of the article joined by line feeds."""
-    found = blocks(page or "")
-    labels = [first_pass(block) for block in found]
-    marked = any(block.article for block in found)
-    decided = list(labels)
+def weighty(found: list[Block]) -> bool:
+    """Whether the marked articles hold as much dense text as the rest of the page (all text if none is dense)."""
+    dense, rest, plain = 0, 0, 0
+    for block in found:
+        verdict = first_pass(block)
+        if block.article and not block.outside and block.free():
+            dense += len(block.text) if verdict else 0
+            plain += len(block.text)
+        elif verdict:
+            rest += len(block.text)
+    return (dense or plain) >= max(rest, 1)
+
+
+def decide(found: list[Block]) -> list[bool]:
+    """Both passes over all blocks; <article> and <main> are a weight, and none if the rest has more dense text."""
+    tagged = weighty(found)
+    if not tagged:
+        found = [replace(block, article=0) for block in found]
+    labels = [first_pass(block, tagged) for block in found]
+    decided = [bool(label) for label in labels]
+    known = {block.article for block, label in zip(found, labels) if label}
     # Second pass: an undecided block takes the label of the nearest decided one of its article; of two at one
     # distance both must be article, and the page's edges are none. A heading goes with what follows.
     before: list[tuple[int, bool] | None] = []
     last: dict[int, tuple[int, bool]] = {}
-    for place, (block, label) in enumerate(zip(found, labels)):
+    # Marked parts in an article say nothing about the text between them.
+    speaks = [label is not None and not (block.article and block.outside) for block, label in zip(found, labels)]
+    for place, block in enumerate(found):
         before.append(last.get(block.article))
-        if label is not None:
-            last[block.article] = place, label
+        if speaks[place]:
+            last[block.article] = place, decided[place]
     after: list[tuple[int, bool] | None] = [None] * len(found)
     last = {}
     for place in range(len(found) - 1, -1, -1):
         after[place] = last.get(found[place].article)
-        if labels[place] is not None:
-            last[found[place].article] = place, labels[place]
+        if speaks[place]:
+            last[found[place].article] = place, decided[place]
     for place, block in enumerate(found):
         if labels[place] is not None:
             continue
         left, right = before[place], after[place]
         if block.article:
-            # Links and marked parts in an article say nothing about the text between them.
-            decided[place] = True
-        elif marked:
-            decided[place] = False
+            # The article's weight: either neighbour or edge will do, and all will in a language without stop words.
+            decided[place] = block.article not in known or not left or not right or left[1] or right[1]
         elif left is None and right is None:
-            decided[place] = len(block.text) >= SHORT
+            decided[place] = not tagged and len(block.text) >= SHORT
         elif block.heading:
             decided[place] = bool(right and right[1])
         elif left is None or right is None:
@@ -209,8 +255,16 @@ def main_text(page: str | None) -> str:
             decided[place] = left[1] and right[1]
         else:
             decided[place] = left[1] if place - left[0] < right[0] - place else right[1]
-    if marked:
-        decided = [keep and bool(block.article) for block, keep in zip(found, decided)]
+    return decided
+
+
+def main_text(page: str | None) -> str:
+    """Blocks of the article joined by line feeds."""
+    found = blocks(page or "")
+    decided = decide(found)
+    if not any(decided) and any(block.outside and block.prose() for block in found):
+        # All prose of the page lies in menus, asides or marked elements: their names are wrong.
+        decided = decide([replace(block, outside=False) for block in found])
     return "\n".join(block.text for block, keep in zip(found, decided) if keep)
 
 
