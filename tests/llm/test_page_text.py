@@ -30,3 +30,33 @@ LINKS = "<ul><li><a href=x>One link of the page</a></li></ul>"
 )
 def test_article_tags_are_a_weight(page, text):
     assert extract.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div class='layout has-sidebar'><p>{PROSE}</p></div>", PROSE),
+        (f"<html class='has-navbar'><body><p>{PROSE}</p></body></html>", PROSE),
+        (f"<html class=navbar><body class=modal><main class=sidebar><p>{PROSE}</p></main></body></html>", PROSE),
+        (f'<div class="elementor-widget elementor-widget-text-editor"><p>{PROSE}</p></div>', PROSE),
+        (f'<article class="post tag-social comments-open"><h1>Title</h1><p>{PROSE}</p><p>Yes.</p></article>', f"Title\n{PROSE}\nYes."),
+        # Other attributes, and values that look like one.
+        (f"<div data-id=share data-class='ad' title='class=ad id=ad'><p>{PROSE}</p></div>", PROSE),
+        # Prose in marked elements; a mark in them holds still, and one without prose.
+        (f"<div class='widget'><h2>Title</h2><p>{LONG}</p><div class='share'><p>Share</p></div><p>{LONG}.</p></div><div class='promo'>{PROSE}</div>", f"Title\n{LONG}\n{LONG}."),
+        (f"<article class='widget'><p>{PROSE}</p></article>", PROSE),
+        (f"<form><p>{LONG}</p></form>", LONG),
+        # Comments and notices are written like an article; names of known words are marks.
+        (f"<article><p>{PROSE}</p><ol class='comment-list'><li>{LONG}</ol><div id=cookie-notice>{LONG}</div></article><article class=comment>{LONG}</article>", PROSE),
+        (f"<div CLASS = \"main-nav ad-1\">{PROSE}</div><p>{PROSE}.</p><div role=navigation>{PROSE}</div>", f"{PROSE}."),
+        (f"<div class=comments><p>{LONG}</p></div>", LONG),
+        # An open menu whose end is lost.
+        (f"<div class=menu>Menu<article><p>{PROSE}</article>", PROSE),
+    ],
+)
+def test_names_mark_whole_and_not_for_good(page, text):
+    assert extract.main_text(page) == text
+
+
+def test_nested_marks_do_not_slow_extraction():
+    assert extract.main_text("<div class=ad>" * 50_000 + f"<p>{LONG}</p>") == LONG

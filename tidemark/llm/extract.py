@@ -45,6 +45,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements that end an open paragraph or one of their own kind.
 CLOSING = HEADINGS | frozenset("p li td th tr dt dd".split())
+# Elements whose names say nothing about what they hold.
+WHOLE = frozenset("html body main".split())
 # Words of class and id names that mark what surrounds an article.
 MARKS = frozenset(
     """
@@ -53,6 +55,15 @@ MARKS = frozenset(
     share sharing sidebar signup social sponsor sponsored subscribe toolbar widget
     """.split()
 )
+# Of these, those of text that is written like an article and is none.
+FOREIGN = frozenset("comment comments consent cookie disqus".split())
+# Words that make a name of several words with a mark (share-box, comment-list); with others it is none (has-sidebar).
+BESIDES = frozenset(
+    """
+    area bar block body bottom box button buttons entry form group header icons inner item items left link links list main
+    page post posts primary reply respond right secondary section site thread top wrap
+    """.split()
+)
 
 #: Characters up to which a block is short, from which it is long; stop-word shares; largest share of linked text.
 SHORT, LONG = 70, 200
@@ -64,8 +75,9 @@ TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.DOTALL,
 )
-NAMES = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
-PART = re.compile(r"[A-Za-z]+")
+ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+NAMES = frozenset("class id role".split())
+PART = re.compile(r"[^\W\d_]+")
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -91,13 +103,28 @@ def stop_share(text: str) -> float:
     return sum(word in STOP_WORDS for word in words) / len(words) if words else 0.0
 
 
+def marks(attributes: str) -> tuple[bool, bool]:
+    """Whether a name of the class, id or role is a mark, and whether it is one of foreign text."""
+    marked = foreign = False
+    for found in ATTRIBUTE.finditer(attributes):
+        if found[1].lower() in NAMES and found[2]:
+            for name in found[2].strip("\"'").lower().split():
+                words = set(PART.findall(name))
+                if words & MARKS and words <= MARKS | BESIDES:
+                    marked, foreign = True, foreign or bool(words & FOREIGN)
+    return marked, foreign
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks of text in page order, with linked characters and where they stand."""
     out: list[Block] = []
-    # Name, outside the article, number of the article, outside but for the article, articles before it if those in it have no weight.
-    stack: list[tuple[str, bool, int, bool, int | None]] = []
+    # Name, number of the ring, number of the article, articles before it if those in it have no weight.
+    stack: list[tuple[str, int, int, int | None]] = []
+    # An element outside the article, or an article that ends those around it: ring around it, whether prose in it
+    # cannot free it, number of the article.
+    rings: list[tuple[int, bool, int]] = [(0, False, 0)]
     void: list[tuple[int, int]] = []  # ranges of articles that lie in a closed menu, aside or marked element
-    around: list[bool] = []
+    around: list[int] = []
     parts: list[str] = []
     linked, links, heading, articles, breaks = 0, 0, False, 0, 0
 
@@ -105,9 +132,9 @@ def blocks(page: str) -> list[Block]:
         nonlocal parts, linked, heading, breaks
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            _, outside, article, beyond, _ = stack[-1] if stack else ("", False, 0, False, None)
-            out.append(Block(text, min(linked, len(text)), heading, outside, article, stop_share(text)))
-            around.append(beyond)
+            _, ring, article, _ = stack[-1] if stack else ("", 0, 0, None)
+            out.append(Block(text, min(linked, len(text)), heading, False, article, stop_share(text)))
+            around.append(ring)
         parts, linked, breaks = [], 0, 0
 
     place, size = 0, len(page)
@@ -150,26 +177,29 @@ def blocks(page: str) -> list[Block]:
                 if any(entry[0] == name for entry in stack):
                     while (entry := stack.pop())[0] != name:
                         pass
-                    if entry[4] is not None and articles > entry[4]:
-                        void.append((entry[4], articles))
+                    if entry[3] is not None and articles > entry[3]:
+                        void.append((entry[3], articles))
                 heading = False
             else:
                 if name in CLOSING:
                     while stack and stack[-1][0] in ("p", *HEADINGS, name):
                         stack.pop()
-                _, outside, article, beyond, _ = stack[-1] if stack else ("", False, 0, False, None)
-                named = " ".join(NAMES.findall(found["attributes"])) if found["attributes"] else ""
-                marked = bool(named) and name != "body" and not MARKS.isdisjoint(w.lower() for w in PART.findall(named))
-                leads = marked or (name in OUTSIDE and not (name == "header" and article))
-                if leads:
-                    outside = beyond = True
-                elif name in ARTICLE and not article:
-                    # Of an open menu that is never closed the end is lost; an article in a closed one has no weight.
-                    articles += 1
-                    outside, article = False, articles
+                _, ring, article, _ = stack[-1] if stack else ("", 0, 0, None)
+                marked, foreign = marks(found["attributes"]) if found["attributes"] and name not in WHOLE else (False, False)
+                if name in ARTICLE and not foreign:
+                    if not article and not marked:
+                        # Of an open menu that is never closed the end is lost; an article in a closed one has no weight.
+                        articles += 1
+                        article = articles
+                        rings.append((ring, False, article))
+                        ring = len(rings) - 1
+                    marked = False
+                elif marked or (name in OUTSIDE and not (name == "header" and article)):
+                    rings.append((ring, foreign or name in BESIDE, 0))
+                    ring = len(rings) - 1
                 heading = name in HEADINGS
                 if name not in VOID:
-                    stack.append((name, outside, article, beyond, articles if marked or (leads and name in BESIDE) else None))
+                    stack.append((name, ring, article, articles if marked or name in BESIDE else None))
         elif name in ("option", "label", "input"):
             parts.append(" ")
     flush()
@@ -178,9 +208,23 @@ def blocks(page: str) -> list[Block]:
         steps[low + 1] += 1
         steps[high + 1] -= 1
     inside = list(itertools.accumulate(steps))
-    for block, beyond in zip(out, around):
-        if block.article and inside[block.article]:
-            block.outside, block.article = block.outside or beyond, 0
+    # An article with weight stands outside no ring, one without is part of the ring around it.
+    within, firm = [0], [False]
+    for number, (ring, shut, article) in enumerate(rings[1:], 1):
+        within.append(number if not article else within[ring] if inside[article] else 0)
+        firm.append(firm[within[ring]] or shut)
+    # Prose frees the marked elements that it stands in.
+    freed = [True] + [False] * (len(rings) - 1)
+    for block, ring in zip(out, around):
+        ring = within[ring]
+        if block.prose() and not firm[ring]:
+            while not freed[ring]:
+                freed[ring] = True
+                ring = within[rings[ring][0]]
+    for block, ring in zip(out, around):
+        block.outside = not freed[within[ring]]
+        if inside[block.article]:
+            block.article = 0
     return out
 
 
