@@ -60,3 +60,27 @@ def test_names_mark_whole_and_not_for_good(page, text):
 
 def test_nested_marks_do_not_slow_extraction():
     assert extract.main_text("<div class=ad>" * 50_000 + f"<p>{LONG}</p>") == LONG
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # A headline that links to itself, in an article and without one.
+        (f"<article><h1><a href=x>Title</a></h1><p>{PROSE}</p></article>", f"Title\n{PROSE}"),
+        (f"<div><h1><a href=x>Title</a></h1><p>{PROSE}</p></div>", f"Title\n{PROSE}"),
+        # Linked lines between prose, and sources at an article's end; other links at its edges are none of it.
+        (f"<p>{PROSE}</p><p><a href=x>The report</a></p><p>{PROSE}.</p>", f"{PROSE}\nThe report\n{PROSE}."),
+        (f"<article>{LINKS}<p>{PROSE}</p><h2>Sources</h2><ul><li><a href=x>One</a><li><a href=y>Two</a></ul></article>", f"{PROSE}\nSources\nOne\nTwo"),
+        (f"<article>{LINKS}<p>{PROSE}</p>{LINKS}</article>", PROSE),
+        (f"<div>{LINKS}</div><p>{PROSE}</p>{LINKS}", PROSE),
+        (f"<article><p>{PROSE}</p><p><a href=x>{LONG}</a></p></article>", PROSE),
+        # Only a link has a href.
+        (f"<p><a name=x>{PROSE}</p>", PROSE),
+        (f"<p><a id=x data-href=y>{PROSE}</p>", PROSE),
+        # Characters as they are read.
+        (f"<p>{PROSE}<a href=x>\n{' ' * 200}here\n{' ' * 200}</a>.</p>", f"{PROSE} here ."),
+        (f"<p>{PROSE}<a href=x>{'&nbsp;&eacute;' * 9}</a></p>", f"{PROSE}{' é' * 9}"),
+    ],
+)
+def test_linked_text(page, text):
+    assert extract.main_text(page) == text

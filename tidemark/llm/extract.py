@@ -126,16 +126,21 @@ def blocks(page: str) -> list[Block]:
     void: list[tuple[int, int]] = []  # ranges of articles that lie in a closed menu, aside or marked element
     around: list[int] = []
     parts: list[str] = []
-    linked, links, heading, articles, breaks = 0, 0, False, 0, 0
+    anchors: list[str] = []  # the parts that are linked
+    links, heading, articles, breaks = False, False, 0, 0
+
+    def plain(pieces: list[str]) -> str:
+        return " ".join(html.unescape("".join(pieces)).split())
 
     def flush() -> None:
-        nonlocal parts, linked, heading, breaks
-        text = " ".join(html.unescape("".join(parts)).split())
+        nonlocal parts, anchors, heading, breaks
+        text = plain(parts)
         if text:
+            linked = len(plain(anchors))
             _, ring, article, _ = stack[-1] if stack else ("", 0, 0, None)
             out.append(Block(text, min(linked, len(text)), heading, False, article, stop_share(text)))
             around.append(ring)
-        parts, linked, breaks = [], 0, 0
+        parts, anchors, breaks = [], [], 0
 
     place, size = 0, len(page)
     while place < size:
@@ -145,7 +150,8 @@ def blocks(page: str) -> list[Block]:
             parts.append(text)
             if not text.isspace():
                 breaks = 0
-                linked += len(text) if links else 0
+            if links:
+                anchors.append(text)
         if not found:
             break
         place = found.end()
@@ -164,7 +170,7 @@ def blocks(page: str) -> list[Block]:
                     place = size
             parts.append(" ")
         elif name == "a":
-            links = 0 if closing else 1
+            links = not closing and any(a[1].lower() == "href" for a in ATTRIBUTE.finditer(found["attributes"]))
         elif name == "br":
             breaks += 1
             parts.append(" ")
@@ -172,7 +178,7 @@ def blocks(page: str) -> list[Block]:
                 flush()
         elif name in BLOCKS:
             flush()
-            links = 0
+            links = False
             if closing:
                 if any(entry[0] == name for entry in stack):
                     while (entry := stack.pop())[0] != name:
@@ -230,10 +236,12 @@ def blocks(page: str) -> list[Block]:
 
 def first_pass(block: Block, tagged: bool = False) -> bool | None:
     """True: article, False: not, None: undecided. ``tagged``: other text of the page lies in a marked article."""
-    if block.outside or not block.free():
+    if block.outside:
         return False
     if len(block.text) < SHORT or block.heading:
         return None
+    if not block.free():
+        return False
     if tagged and not block.article:
         # Beside a marked article only what is long and dense speaks for itself.
         return True if block.prose() else None if block.share >= STOP_LOW else False
@@ -258,30 +266,56 @@ def weighty(found: list[Block]) -> bool:
     return (dense or plain) >= max(rest, 1)
 
 
+Neighbour = tuple[int, bool] | None
+
+
+def neighbours(found: list[Block], labels: list[bool | None]) -> tuple[list[Neighbour], list[Neighbour]]:
+    """The decided blocks (place, label) before and after each block, nearest in its article."""
+    sides: list[list[Neighbour]] = []
+    for order in (range(len(found)), range(len(found) - 1, -1, -1)):
+        side: list[Neighbour] = [None] * len(found)
+        last: dict[int, tuple[int, bool]] = {}
+        for place in order:
+            block, label = found[place], labels[place]
+            side[place] = last.get(block.article)
+            # Marked parts in an article say nothing about the text between them.
+            if label is not None and not (block.article and block.outside):
+                last[block.article] = place, label
+        sides.append(side)
+    return sides[0], sides[1]
+
+
+def nearest(place: int, left: tuple[int, bool], right: tuple[int, bool]) -> bool:
+    """The label of the nearer one; of two at one distance both must be article."""
+    if place - left[0] == right[0] - place:
+        return left[1] and right[1]
+    return left[1] if place - left[0] < right[0] - place else right[1]
+
+
 def decide(found: list[Block]) -> list[bool]:
     """Both passes over all blocks; <article> and <main> are a weight, and none if the rest has more dense text."""
     tagged = weighty(found)
     if not tagged:
         found = [replace(block, article=0) for block in found]
     labels = [first_pass(block, tagged) for block in found]
-    decided = [bool(label) for label in labels]
     known = {block.article for block, label in zip(found, labels) if label}
-    # Second pass: an undecided block takes the label of the nearest decided one of its article; of two at one
-    # distance both must be article, and the page's edges are none. A heading goes with what follows.
-    before: list[tuple[int, bool] | None] = []
-    last: dict[int, tuple[int, bool]] = {}
-    # Marked parts in an article say nothing about the text between them.
-    speaks = [label is not None and not (block.article and block.outside) for block, label in zip(found, labels)]
+    # Second pass: an undecided block takes the label of the nearest decided one of its article, and the page's
+    # edges are none. A heading goes with what follows.
+    before, after = neighbours(found, labels)
+    decided = list(labels)
+    # Short links first, the others see them decided. At the end of an article they need a heading: a list of sources.
+    head = -1
     for place, block in enumerate(found):
-        before.append(last.get(block.article))
-        if speaks[place]:
-            last[block.article] = place, decided[place]
-    after: list[tuple[int, bool] | None] = [None] * len(found)
-    last = {}
-    for place in range(len(found) - 1, -1, -1):
-        after[place] = last.get(found[place].article)
-        if speaks[place]:
-            last[found[place].article] = place, decided[place]
+        if block.heading or block.free():
+            head = place if block.heading else -1
+        elif labels[place] is None:
+            left, right = before[place], after[place]
+            if left and right:
+                decided[place] = nearest(place, left, right)
+            else:
+                decided[place] = bool(block.article and left and left[1] and head > left[0])
+    labels = list(decided)
+    before, after = neighbours(found, labels)
     for place, block in enumerate(found):
         if labels[place] is not None:
             continue
@@ -295,11 +329,9 @@ def decide(found: list[Block]) -> list[bool]:
             decided[place] = bool(right and right[1])
         elif left is None or right is None:
             decided[place] = False
-        elif place - left[0] == right[0] - place:
-            decided[place] = left[1] and right[1]
         else:
-            decided[place] = left[1] if place - left[0] < right[0] - place else right[1]
-    return decided
+            decided[place] = nearest(place, left, right)
+    return [bool(label) for label in decided]
 
 
 def main_text(page: str | None) -> str:
