@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+import warnings
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -21,7 +22,15 @@ SHORT = 20
 #: Characters of items that are broadcast and searched for together.
 BLOCK_CHARS = 16 << 20
 
+#: Items of fewer characters, and single words under SHORT, say too little to drop a document for.
+LEAST = 5
+
 NOT_WORD = re.compile(r"[\W_]+")
+# Signs that carry meaning: no punctuation of sentences, or one between digits.
+MEANT = re.compile(r"[^\w\s'’\-–.,;:!?\"“”„«»()…]|\d[^\w\s]\d")
+ENDS = " .,;:!?…\"“”„«»'’"
+# Scripts that write words without spaces between them, or endings straight behind them.
+JOINED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
 LEAKS = "array<struct<item_id: bigint, distance: int, budget: int, start: int, stop: int>>"
 
 
@@ -30,6 +39,34 @@ def plain(text: str | None) -> str:
     return NOT_WORD.sub(" ", (text or "").lower()).strip()
 
 
+def signed(text: str | None) -> str:
+    """Lower case with all signs, each run of white space as one space."""
+    return " ".join((text or "").lower().split())
+
+
+def item_form(text: str | None) -> tuple[str, bool]:
+    """What is searched for, and whether with its signs: an item of mostly signs, or a short one whose signs carry meaning."""
+    words, whole = plain(text), signed(text)
+    whole = whole.strip(ENDS) or whole
+    letters = sum(c.isalnum() for c in whole)
+    if 2 * letters <= len(whole.replace(" ", "")) or (len(words) < SHORT and MEANT.search(whole)):
+        return whole, True
+    return words, False
+
+
+def telling(text: str) -> bool:
+    """Whether an item is long enough to drop documents that hold it."""
+    return len(text) >= LEAST and (len(text) >= SHORT or " " in text or bool(JOINED.search(text)))
+
+
+def whole_words(text: str, start: int, stop: int) -> bool:
+    """Whether text[start:stop] begins and ends where words do."""
+    for place in (start, stop):
+        if 0 < place < len(text) and text[place - 1].isalnum() and text[place].isalnum() and not JOINED.search(text[place - 1 : place + 1]):
+            return False
+    return True
+
+
 def budget(length: int, rate: float = ERROR_RATE) -> int:
     return 0 if length < SHORT else max(1, int(length * rate))
 
@@ -102,6 +139,11 @@ class Matcher:
         out = []
         for number, begun in sorted(starts.items()):
             key, item, errors = self.items[number]
+            if not errors:
+                start = next((x for x in sorted(begun) if whole_words(text, x, x + len(item))), None)
+                if start is not None:
+                    out.append({"item_id": key, "distance": 0, "budget": 0, "start": start, "stop": start + len(item)})
+                continue
             if number not in self.patterns:
                 self.patterns[number] = Myers(item), Myers(item[::-1])
             forward, backward = self.patterns[number]
@@ -121,26 +163,30 @@ class Matcher:
         return out
 
 
+Items = tuple[tuple[int | None, str, bool], ...]
+
+
 @functools.lru_cache(maxsize=2)
-def matcher(items: tuple[tuple[int | None, str], ...], rate: float) -> Matcher:
-    """One per worker process and block."""
-    return Matcher(items, rate)
+def matchers(items: Items, rate: float) -> tuple[Matcher, Matcher]:
+    """One pair per worker process and block: items without signs, items with signs."""
+    plain_items, signed_items = (tuple((key, text) for key, text, signs in items if signs == kind) for kind in (False, True))
+    return Matcher(plain_items, rate), Matcher(signed_items, rate)
 
 
-def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[tuple[tuple[int | None, str], ...]]:
-    """The items (item_id, text) in blocks of bounded size, one after the other; one that has no letters is left out."""
+def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[Items]:
+    """The items (item_id, text) as ``item_form`` has them, in blocks of bounded size, one after the other."""
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(2 * size / block_chars))
     keyed = items.withColumn("_block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     for block in range(blocks):
         rows = keyed.where(F.col("_block") == block).select("item_id", "text").collect() if size else []
-        found = sorted({(row["item_id"], plain(row["text"])) for row in rows}, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        found = sorted({(row["item_id"], *item_form(row["text"])) for row in rows}, key=lambda r: (r[0] is None, r[0] or 0, *r[1:]))
         found = tuple(item for item in found if item[1])
         if found:
             yield found
 
 
-def with_leaks(documents: DataFrame, block: tuple[tuple[int | None, str], ...], rate: float = ERROR_RATE) -> DataFrame:
+def with_leaks(documents: DataFrame, block: Items, rate: float = ERROR_RATE) -> DataFrame:
     """All columns, with ``leaks``: the items of one block that the text holds (none: empty)."""
     clean = documents.drop("leaks")
     shared = documents.sparkSession.sparkContext.broadcast(block)
@@ -150,9 +196,10 @@ def with_leaks(documents: DataFrame, block: tuple[tuple[int | None, str], ...],
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = matcher(shared.value, rate)
+        search, with_signs = matchers(shared.value, rate)
         for batch in slices(batches, "text"):
-            found = [search.leaks(plain(text)) for text in batch.column(place).to_pylist()]
+            texts = batch.column(place).to_pylist()
+            found = [search.leaks(plain(text)) + ([] if with_signs.empty else with_signs.leaks(signed(text))) for text in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], [*batch.schema.names, "leaks"])
 
     return clean.mapInArrow(run, extended(clean, f"leaks {LEAKS}"))
@@ -163,7 +210,9 @@ def contaminated(documents: DataFrame, items: DataFrame, rate: float = ERROR_RAT
 
     An item occurs in a text if some part of the text is at most ``budget`` edits from it, both in lower case
     with runs of other characters as one space; start and stop count characters of that form. The budget is
-    ``rate`` edits a character, at least one; items under SHORT characters must occur unchanged. The search
+    ``rate`` edits a character, at least one; items under SHORT characters must occur unchanged and as whole words.
+    An item of mostly signs, or a short one whose signs carry meaning (2+2), is compared with its signs, in lower
+    case with runs of white space as one space; start and stop then count characters of that form. The search
     loses no occurrence: of budget + 1 pieces one is free of errors. Items come in blocks of bounded size,
     each searched for in all documents. Null and empty texts and items match nothing; repeated rows are
     reported as often as they stand; empty tables give no rows.
@@ -175,10 +224,18 @@ def contaminated(documents: DataFrame, items: DataFrame, rate: float = ERROR_RAT
 
 
 def remove_contaminated(documents: DataFrame, items: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """The documents, all columns, whose text holds no item (as ``contaminated`` defines it)."""
-    kept = documents
+    """The documents, all columns, whose text holds no item (as ``contaminated`` defines it).
+
+    Items that say too little (under LEAST characters, single words under SHORT) drop none: a warning names them.
+    """
+    kept, slight = documents, []
     for block in item_blocks(items):
-        kept = with_leaks(kept, block, rate).where(F.size("leaks") == 0).drop("leaks")
+        slight += [item for item in block if not telling(item[1])]
+        if block := tuple(item for item in block if telling(item[1])):
+            kept = with_leaks(kept, block, rate).where(F.size("leaks") == 0).drop("leaks")
+    if slight:
+        named = ", ".join(f"{key}: {text!r}" for key, text, _ in slight[:20])
+        warnings.warn(f"{len(slight)} items are too short to drop documents for ({named})", stacklevel=2)
     return kept
 
 
