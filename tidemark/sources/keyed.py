@@ -11,8 +11,8 @@ A document is decoded JSON, or its text. Pages or files are natural splits: they
 holds a third of all documents be read by many tasks. Splits are listed by tasks of their own.
 Every (key, split) is one task until there are ``max_tasks`` of them; a lower cap respects a rate
 limit, or gives fewer and larger files when landed. Documents leave a task in batches of bounded
-size. Where keys may be skipped, a key is one task and its documents wait on disk until all of its
-splits are there, so that it is skipped as a whole or not at all, however many splits it has.
+size. Where keys may be skipped, the documents are first written to the shared folder, and a split
+that is to be skipped says so in a row of its own: its key is then left out as a whole.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ import itertools
 import json
 import pickle
 import sys
-import tempfile
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -31,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidemark.functions.dates import days_between
+from tidemark.session import materialise
 
 # Fixed value: session renewals allowed per request, whatever else its task does.
 MAX_RENEWALS = 5
@@ -60,13 +60,12 @@ def one_line(document) -> str:
 
 
 class KeyedReader(DataSourceReader):
-    """``work`` lists requests (key, splits): one split, or all splits of a key that may be skipped."""
+    """``work`` lists requests (number of the key, key, split). With ``skip_errors`` a row has the number and ``skipped`` too."""
 
-    def __init__(self, fetcher, work: list, key_type: pa.DataType, names: list[str], skip_errors: tuple, max_tasks: int):
+    def __init__(self, fetcher, work: list, schema: pa.Schema, skip_errors: tuple, max_tasks: int):
         self.fetcher = fetcher
         self.work = work
-        self.key_type = key_type
-        self.names = names
+        self.schema = schema
         self.skip_errors = skip_errors
         self.max_tasks = max_tasks
 
@@ -79,57 +78,49 @@ class KeyedReader(DataSourceReader):
         if not partition.work:
             return
         self.session = self.fetcher.connect()
-        keys, lines, size = [], [], 0
-        for key, splits in partition.work:
-            found = self._spooled(key, splits) if self.skip_errors else self._documents(key, splits)
-            for line in found:
-                keys.append(key)
-                lines.append(line)
-                size += len(line)
+        rows, size = [], 0
+        for number, key, split in partition.work:
+            for line, skipped in self._lines(key, split):
+                rows.append((key, line, number, skipped))
+                size += len(line or "")
                 if size >= BATCH_BYTES:
-                    yield self._batch(keys, lines)
-                    keys, lines, size = [], [], 0
-        if keys:
-            yield self._batch(keys, lines)
-
-    def _batch(self, keys: list, lines: list[str]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(keys, self.key_type), pa.array(lines, pa.string())], self.names)
-
-    def _documents(self, key, splits: list) -> Iterator[str]:
-        """Every document of the splits once; after a renewal a split goes on behind the last one."""
-        for split in splits:
-            sent, renewals = 0, MAX_RENEWALS
-            while True:
-                try:
-                    documents = self.fetcher.fetch(self.session, key, split)
-                    for document in itertools.islice(documents or (), sent, None):
-                        line = one_line(document)
-                        sent += 1
-                        yield line
-                    break
-                except Exception as error:
-                    if not renewals or not self.fetcher.expired(error):
-                        raise
-                    renewals -= 1
-                    self.session = self.fetcher.connect()
-
-    def _spooled(self, key, splits: list) -> Iterator[str]:
-        """The documents of a key once all of them are there; none if one of its requests is to be skipped."""
-        with tempfile.SpooledTemporaryFile(max_size=BATCH_BYTES) as held:
+                    yield self._batch(rows)
+                    rows, size = [], 0
+        if rows:
+            yield self._batch(rows)
+
+    def _batch(self, rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, self.schema)], self.schema.names)
+
+    def _lines(self, key, split) -> Iterator[tuple[str | None, bool]]:
+        """The documents of a split; a last one without text if the request is to be skipped."""
+        try:
+            for line in self._documents(key, split):
+                yield line, False
+        except self.skip_errors:
+            yield None, True
+
+    def _documents(self, key, split) -> Iterator[str]:
+        """Every document of the split once; after a renewal it goes on behind the last one."""
+        sent, renewals = 0, MAX_RENEWALS
+        while True:
             try:
-                count = 0
-                for line in self._documents(key, splits):
-                    pickle.dump(line, held)
-                    count += 1
-            except self.skip_errors:
-                return
-            held.seek(0)
-            for _ in range(count):
-                yield pickle.load(held)
+                documents = self.fetcher.fetch(self.session, key, split)
+                for document in itertools.islice(documents or (), sent, None):
+                    line = one_line(document)
+                    sent += 1
+                    yield line
+                break
+            except Exception as error:
+                if not renewals or not self.fetcher.expired(error):
+                    raise
+                renewals -= 1
+                self.session = self.fetcher.connect()
 
 
 def _requests(spark: SparkSession, fetcher, keys: Sequence, skip_errors: tuple) -> list:
-    """(key, splits) of every request, listed by tasks; a key whose listing fails with ``skip_errors`` has none."""
+    """(number of the key, key, split) of every request, listed by tasks; a key whose listing fails with ``skip_errors`` has none."""
 
     def split_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,14 +135,7 @@ def _requests(spark: SparkSession, fetcher, keys: Sequence, skip_errors: tuple)
 
     tasks = max(1, min(len(keys), spark.sparkContext.defaultParallelism))
     listed = spark.range(0, len(keys), 1, tasks).mapInArrow(split_lists, "id long, splits binary").collect()
-    work = []
-    for row in sorted(listed):
-        splits = pickle.loads(row.splits)
-        if skip_errors:
-            work += [(keys[row.id], splits)] if splits else []
-        else:
-            work += [(keys[row.id], [split]) for split in splits]
-    return work
+    return [(row.id, keys[row.id], split) for row in sorted(listed) for split in pickle.loads(row.splits)]
 
 
 def _read(
@@ -161,7 +145,11 @@ def _read(
         cloudpickle.register_pickle_by_value(sys.modules[part.__module__])
     work = _requests(spark, fetcher, keys, skip_errors)
     key_type = pa.date32() if " date," in schema else pa.string()
-    names = [column.split()[0] for column in schema.split(",")]
+    fields = [(schema.split()[0], key_type), ("payload", pa.string())]
+    if skip_errors:
+        schema += ", number long, skipped boolean"
+        fields += [("number", pa.int64()), ("skipped", pa.bool_())]
+    arrow = pa.schema(fields)
 
     class KeyedSource(DataSource):
         @classmethod
@@ -172,7 +160,7 @@ def _read(
             return schema
 
         def reader(self, schema) -> DataSourceReader:
-            return KeyedReader(fetcher, work, key_type, names, skip_errors, max_tasks)
+            return KeyedReader(fetcher, work, arrow, skip_errors, max_tasks)
 
     spark.dataSource.register(KeyedSource)
     return spark.read.format(name).load()
@@ -205,5 +193,16 @@ def read_keys(
     skip_errors: tuple[type[Exception], ...] = (),
     max_tasks: int = MAX_TASKS,
 ) -> DataFrame:
-    """``(key, payload)`` for each key; a key whose request fails with ``skip_errors`` is left out."""
-    return _read(spark, "tidemark_keyed", "key string, payload string", fetcher, list(keys), skip_errors, max_tasks)
+    """``(key, payload)`` for each key; a key whose request fails with ``skip_errors`` is left out.
+
+    With ``skip_errors`` the service is read now, into the shared folder; ``discard`` removes the files.
+    """
+    found = _read(spark, "tidemark_keyed", "key string, payload string", fetcher, list(keys), skip_errors, max_tasks)
+    if not skip_errors:
+        return found
+    stored = materialise(spark, found, "keyed")
+    # Nothing is grouped below the join, so that a key with many documents can be split.
+    kept = stored.where("NOT skipped").join(stored.where("skipped").select("number"), "number", "left_anti")
+    kept = kept.select("key", "payload")
+    kept.scratch_path = stored.scratch_path
+    return kept
