@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -11,7 +12,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm.common import extended, slices
 
@@ -22,8 +22,10 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^S\p{L}\p{N}]+|[S]+(?![
 #: White space belongs to the word after it: no token goes from a word into the white space behind.
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 WORD = regex.compile(PATTERN)
-#: Chunks whose ids a worker remembers; the memory is emptied when full.
-REMEMBERED = 300_000
+#: Some signs that end a word of letters.
+SIGNS = frozenset(".,;:!?")
+#: Chunks of a generation whose ids a worker remembers; a full generation is kept until the next one is full.
+REMEMBERED = 250_000
 #: Symbols that one set of merge rounds takes together.
 ROUND_SYMBOLS = 1 << 18
 
@@ -60,7 +62,11 @@ class Codec:
             self.token[i] = bytes(letters[letter] for letter in token)
         for token, i in self.special.items():
             self.token[i] = token.encode()
+        sizes = np.array([len(token) for token in self.token], np.int64)
+        self.sizes, self.begins = sizes, np.cumsum(sizes) - sizes
+        self.bytes = np.frombuffer(b"".join(self.token), np.uint8)
         self.seen: dict[str, bytes] = {}
+        self.former: dict[str, bytes] = {}
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, ``none`` where it never merges."""
@@ -68,9 +74,9 @@ class Codec:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], self.none)
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
+    def merge(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word: in every round each word merges its lowest-rank pair wherever it stands."""
-        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(words)
+        finished: list[tuple[np.ndarray, np.ndarray]] = []
         lengths = np.array([len(word) for word in words], np.int64)
         symbols = self.first[np.frombuffer(b"".join(words), np.uint8)]
         owner = np.repeat(np.arange(len(words)), lengths)
@@ -81,9 +87,8 @@ class Codec:
             done = lowest == self.none
             sizes = np.diff(np.append(starts, len(symbols)))
             if done.any():
-                for start, size in zip(starts[done].tolist(), sizes[done].tolist()):
-                    out[owner[start]] = symbols[start : start + size]
                 keep = np.repeat(~done, sizes)
+                finished.append((owner[~keep], symbols[~keep]))
                 symbols, owner, ranks = symbols[keep], owner[keep], ranks[keep]
                 lowest, sizes = lowest[~done], sizes[~done]
                 if not len(symbols):
@@ -104,7 +109,12 @@ class Codec:
                 same = owner[inside] == owner[inside + 1]
                 ranks[at] = self.none
                 ranks[inside[same]] = self.rank(symbols[inside[same]], symbols[inside[same] + 1])
-        return out
+        if not finished:
+            return [b""] * len(words)
+        owners = np.concatenate([part[0] for part in finished])
+        flat = np.concatenate([part[1] for part in finished])[np.argsort(owners, kind="stable")].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(owners, minlength=len(words)))).tolist()
+        return [flat[start:end] for start, end in zip([0, *ends], ends)]
 
     def _pair_ranks(self, symbols: np.ndarray, owner: np.ndarray) -> np.ndarray:
         ranks = np.full(len(symbols), self.none, np.int64)
@@ -114,31 +124,29 @@ class Codec:
         return ranks
 
     def learn(self, chunks: Iterable[str]) -> None:
-        """Encode chunks not seen yet, many words to a batch of rounds."""
-        words: dict[bytes, int] = {}
-        held: list[tuple[str, list[int]]] = []
-        size = 0
-
-        def flush() -> None:
-            ids = self.merge(list(words))
-            for chunk, parts in held:
-                joined = ids[parts[0]] if len(parts) == 1 else np.concatenate([ids[p] for p in parts])
-                self.seen[chunk] = joined.astype("<u4").tobytes()
-
+        """Encode chunks not seen yet, many words to a batch of rounds. A word by itself is a chunk, too."""
+        cuts: dict[str, tuple[str, ...]] = {}
+        words: set[str] = set()
         for chunk in chunks:
-            parts = []
-            for word in WORD.findall(chunk):
-                data = word.encode("utf-8", "surrogatepass")
-                if data not in words:
-                    words[data] = len(words)
-                    size += len(data)
-                parts.append(words[data])
-            held.append((chunk, parts))
-            if size >= ROUND_SYMBOLS:
-                flush()
-                words, held, size = {}, [], 0
-        if held:
-            flush()
+            # Letters behind at most one blank are one word of the pattern, and a sign after them is the next.
+            body = chunk[:-1] if chunk[-1] in SIGNS else chunk
+            if (body[1:] if body[:1] == " " else body).isalpha():
+                if body is chunk:
+                    words.add(chunk)
+                else:
+                    cuts[chunk] = (body, chunk[-1])
+            else:
+                cuts[chunk] = tuple(WORD.findall(chunk))
+        words.update(*cuts.values())
+        fresh = [(word, word.encode("utf-8", "surrogatepass")) for word in words.difference(self.seen)]
+        sizes = np.cumsum([len(data) for _, data in fresh], dtype=np.int64)
+        starts = np.flatnonzero(np.diff(sizes // ROUND_SYMBOLS, prepend=-1)).tolist()
+        for start, end in zip(starts, [*starts[1:], len(fresh)]):
+            part = fresh[start:end]
+            self.seen.update(zip([word for word, _ in part], self.merge([data for _, data in part])))
+        get = self.seen.__getitem__
+        for chunk, cut in cuts.items():
+            self.seen[chunk] = b"".join(map(get, cut))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; special tokens in a text are tokens."""
@@ -154,18 +162,30 @@ class Codec:
                 start = found.end()
             parts.append(row + CHUNK.findall(text[start:]))
         if len(self.seen) > REMEMBERED:
-            self.seen.clear()
+            self.seen, self.former = {}, self.seen
         for token, i in self.special.items():
             self.seen[token] = np.array([i], "<u4").tobytes()
-        unknown = {chunk for row in parts for chunk in row}.difference(self.seen)
-        self.learn(sorted(unknown))
+        unknown = set().union(*parts).difference(self.seen)
+        known = unknown.intersection(self.former)
+        self.seen.update(zip(known, map(self.former.__getitem__, known)))
+        self.learn(unknown.difference(known))
         get = self.seen.__getitem__
         return [b"".join(map(get, row)) for row in parts]
 
     def decode(self, ids: bytes) -> str:
         """Text of ids; bytes that are not UTF-8 become U+FFFD."""
-        token = self.token
-        return b"".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        return self.decode_batch([ids])[0]
+
+    def decode_batch(self, rows: list[bytes]) -> list[str]:
+        """Text of each row of ids, all bytes gathered from one table of the tokens."""
+        ids = np.frombuffer(b"".join(rows), "<u4")
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        data = self.bytes[np.arange(total) + np.repeat(self.begins[ids] - ends + sizes, sizes)].tobytes()
+        last = np.cumsum([len(row) // 4 for row in rows])
+        stops = np.concatenate(([0], ends))[last].tolist()
+        return [data[start:stop].decode("utf-8", "replace") for start, stop in zip([0, *stops], stops)]
 
 
 @functools.cache
@@ -174,26 +194,36 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode(documents: DataFrame, path: str, text: str = "text", verify: bool = False) -> DataFrame:
+def encode(documents: DataFrame, path: str, text: str = "text", verify: bool = False, digests: bool = False) -> DataFrame:
     """All columns, with ``ids`` (binary: little-endian unsigned 32-bit token ids) and ``n_tokens`` (long).
 
-    With ``verify`` also ``round_trip``: whether the ids decode to the text. A null or empty text has no tokens.
-    Columns of these names in the input are replaced. Whole texts are encoded at any length; equal rows give
-    equal results.
+    With ``verify`` also ``round_trip``: whether the ids decode to the text. With ``digests`` the text and its ids
+    stay in the task, and ``ids_sha256`` and ``decoded_sha256`` (lowercase hex) come instead: of the ids, and of the
+    UTF-8 bytes of what they decode to. A null or empty text has no tokens. Columns of these names in the input are
+    replaced. Whole texts are encoded at any length; equal rows give equal results.
     """
-    added = ["ids", "n_tokens", *(["round_trip"] if verify else [])]
-    frame = documents.drop(*added)
-    schema = extended(frame, "ids binary, n_tokens long" + (", round_trip boolean" if verify else ""))
+    added = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids", "n_tokens"]
+    added += ["round_trip"] if verify else []
+    kinds = {"ids": "binary", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string", "round_trip": "boolean"}
+    frame = documents.drop(*[name for name in added if name != text])
+    kept = [name for name in frame.columns if not (digests and name == text)]
+    schema = extended(frame.select(*[f"`{name}`" for name in kept]), ", ".join(f"{name} {kinds[name]}" for name in added))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
         for batch in slices(batches, text, 2 << 20):
             texts = [value or "" for value in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             ids = coder.encode_batch(texts)
-            columns = [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+            columns = {"ids": pa.array(ids, pa.binary()) if not digests else None, "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64())}
+            if verify or digests:
+                decoded = coder.decode_batch(ids)
+            if digests:
+                columns["ids_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string())
+                columns["decoded_sha256"] = pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded], pa.string())
             if verify:
-                columns.append(pa.array([coder.decode(x) == value for x, value in zip(ids, texts)], pa.bool_()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *added])
+                columns["round_trip"] = pa.array([x == value for x, value in zip(decoded, texts)], pa.bool_())
+            own = [column for name, column in zip(batch.schema.names, batch.columns) if name in kept]
+            yield pa.RecordBatch.from_arrays([*own, *[columns[name] for name in added]], [*kept, *added])
 
     return frame.mapInArrow(run, schema)
 
@@ -206,7 +236,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
         for batch in slices(batches, "ids", 4 << 20):
-            texts = [coder.decode(ids or b"") for ids in batch.column(batch.schema.get_field_index("ids")).to_pylist()]
+            texts = coder.decode_batch([ids or b"" for ids in batch.column(batch.schema.get_field_index("ids")).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
     return frame.mapInArrow(run, schema)
@@ -220,11 +250,4 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    # The text has done its work once it is encoded.
-    done = decode(encode(documents, path).drop("text"), path)
-    return done.select(
-        "doc_id",
-        "n_tokens",
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
-    )
+    return encode(documents, path, digests=True).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
