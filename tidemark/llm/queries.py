@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontam, extract, records, rlz, sharding, simhash, suffix, topk, toxicity
+from tidemark.llm import audit, bpe, chat, decontam, extract, records, rlz, runs, sharding, simhash, suffix, topk, toxicity
 
 QUERIES = {
     "op1_relative_lempel_ziv": rlz.op1,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_simhash_components": simhash.op8,
     "op9_page_text": extract.op9,
     "op10_toxicity": toxicity.op10,
+    "op11_chat_format": chat.op11,
+    "op12_filter_audit": audit.op12,
+    "op13_periodic_runs": runs.op13,
 }
 
-SQL = {"op3_exact_top_k": topk.OP3_SQL}
+SQL = {"op3_exact_top_k": topk.OP3_SQL, "op11_chat_format": chat.OP11_SQL, "op12_filter_audit": audit.OP12_SQL}
