@@ -11,6 +11,11 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.selection import nth_largest
+
+#: From this rank on a value is searched for by counts; before, each task keeps as many rows.
+DEEP = 10_000
+
 
 def desc(name: str) -> Column:
     return F.desc_nulls_first(name)
@@ -36,7 +41,12 @@ def top_n(df: DataFrame, n: int, *by: str, tie: str) -> DataFrame:
 
 
 def kth_largest(df: DataFrame, k: int, by: str) -> DataFrame:
-    """One row with the ``k``-th largest ``by``, or no row where there are fewer than ``k``."""
+    """One row with the ``k``-th largest ``by``, or no row where there are fewer than ``k``.
+
+    A deep rank is searched for now, by jobs over ``df`` (see ``nth_largest``); a small one is part of the plan.
+    """
+    if k > DEEP:
+        return nth_largest(df, k, by)
     return df.select(by).orderBy(desc(by)).offset(k - 1).limit(1)
 
 
@@ -50,6 +60,10 @@ def top_k_with_ties(df: DataFrame, k: int, by: str, strict_threshold: bool = Fal
     if strict_threshold:
         return df.filter(F.col(by) >= kth_largest(df, k, by).scalar())
     known = df.filter(F.col(by).isNotNull())
+    if k > DEEP:
+        lowest = nth_largest(known, k, by)
+        # Fewer rows than that: all of them are kept.
+        return known.filter(F.col(by) >= lowest.scalar()) if lowest.take(1) else known
     lowest = known.select(by).orderBy(desc(by)).limit(k).agg(F.min(by))
     return known.filter(F.col(by) >= lowest.scalar())
 

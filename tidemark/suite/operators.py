@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, intervals, payloads
-from tidemark.operators import ordering, relational, setops, skew
+from tidemark.operators import ordering, relational, selection, setops, skew
 from tidemark.session import checkpointed
 from tidemark.suite import flights as bound
 from tidemark.suite import rental as bound_rental
@@ -424,6 +424,17 @@ def _(t):
     return ordering.top_k_with_ties(relational.group_count(t.orders, "o_custkey"), 4, "n", strict_threshold=True)
 
 
+@register("o08_half_of_the_groups_with_ties", """
+    WITH c AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total FROM lineitem GROUP BY 1)
+    SELECT l_orderkey, CAST(total AS DOUBLE) AS total FROM c
+    WHERE total >= (SELECT total FROM c ORDER BY total DESC LIMIT 1 OFFSET (SELECT count(*) // 2 FROM c))""")
+def _(t):
+    """Orders whose price reaches that of the middle one."""
+    totals = checkpointed(t.lineitem.groupBy("l_orderkey").agg(F.sum(money("l_extendedprice")).alias("total")))
+    middle = selection.nth_largest(totals, totals.count() // 2 + 1, "total")
+    return totals.filter(F.col("total") >= middle.scalar())
+
+
 @register("o09_limit_without_order", "SELECT count(*) AS n FROM (SELECT * FROM lineitem LIMIT 2)")
 def _(t):
     return t.lineitem.limit(2).agg(F.count(F.lit(1)).alias("n"))
@@ -563,6 +574,12 @@ def _(t):
     return ordering.kth_largest(t.orders, 4, "o_totalprice")
 
 
+@register("c04_nth_value_at_a_deep_offset", """
+    SELECT l_extendedprice FROM lineitem ORDER BY 1 DESC NULLS FIRST LIMIT 1 OFFSET (SELECT count(*) // 2 FROM lineitem)""")
+def _(t):
+    return selection.nth_largest(t.lineitem, t.lineitem.count() // 2 + 1, "l_extendedprice")
+
+
 # --- scalar functions ------------------------------------------------------------------------
 
 
