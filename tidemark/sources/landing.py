@@ -2,7 +2,8 @@
 
 Days are replaced with dynamic partition overwrite: a day is replaced when its load commits, other
 days stay, and a load that brings no document for a day leaves that day alone. The file commit is
-not atomic, so a reader that runs beside a refresh should wait for it. A row without a day or key, or
+not atomic, so a reader that runs beside a refresh should wait for it, or the loads be given the
+``published`` area as their ``store``, which publishes days in one step. A row without a day or key, or
 without a payload, is refused: it would come back as another one.
 
 Loads take a *source*: a fetcher (see ``keyed``), or a function from a list of days to a frame of
@@ -12,7 +13,9 @@ Loads take a *source*: a fetcher (see ``keyed``), or a function from a list of d
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Callable, Iterable
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -83,14 +86,21 @@ def read_landed(spark: SparkSession, root: str, start: dt.date, end: dt.date | N
 Source = Callable[[list[dt.date]], DataFrame] | object
 
 
-def _load(spark: SparkSession, source: Source, root: str, days: Iterable[dt.date], max_tasks: int) -> list[dt.date]:
+def _area(store: ModuleType | None) -> ModuleType:
+    """Where loads land: a module with ``land``, ``landed_days`` and ``read_landed``; this one unless named."""
+    return store or sys.modules[__name__]
+
+
+def _load(
+    spark: SparkSession, source: Source, root: str, days: Iterable[dt.date], max_tasks: int, store: ModuleType | None
+) -> list[dt.date]:
     """A fetching task holds one day, a part of one or a few neighbouring ones, so it writes them itself."""
-    days = list(days)
+    days, area = list(days), _area(store)
     if not days:
         return []
     if callable(source):
-        return land(source(days), root)
-    return land(read_listed_days(spark, source, days, max_tasks), root, gather=False)
+        return area.land(source(days), root)
+    return area.land(read_listed_days(spark, source, days, max_tasks), root, gather=False)
 
 
 def refresh(
@@ -100,9 +110,10 @@ def refresh(
     start: dt.date,
     end: dt.date | None = None,
     max_tasks: int = MAX_TASKS,
+    store: ModuleType | None = None,
 ) -> list[dt.date]:
     """Fetch every day of the range again and replace it; returns the days that had data."""
-    return _load(spark, source, root, days_between(start, end), max_tasks)
+    return _load(spark, source, root, days_between(start, end), max_tasks, store)
 
 
 def fill_gaps(
@@ -112,10 +123,11 @@ def fill_gaps(
     start: dt.date,
     end: dt.date | None = None,
     max_tasks: int = MAX_TASKS,
+    store: ModuleType | None = None,
 ) -> list[dt.date]:
     """Fetch only the days not landed yet; returns those that had data."""
-    present = set(landed_days(spark, root))
-    return _load(spark, source, root, [d for d in days_between(start, end) if d not in present], max_tasks)
+    present = set(_area(store).landed_days(spark, root))
+    return _load(spark, source, root, [d for d in days_between(start, end) if d not in present], max_tasks, store)
 
 
 def read_through(
@@ -125,10 +137,11 @@ def read_through(
     start: dt.date,
     end: dt.date | None = None,
     max_tasks: int = MAX_TASKS,
+    store: ModuleType | None = None,
 ) -> DataFrame:
     """Documents of the range, fetched and landed first where missing."""
-    fill_gaps(spark, source, root, start, end, max_tasks)
-    return read_landed(spark, root, start, end)
+    fill_gaps(spark, source, root, start, end, max_tasks, store)
+    return _area(store).read_landed(spark, root, start, end)
 
 
 def daily_load(
@@ -139,13 +152,14 @@ def daily_load(
     end: dt.date | None = None,
     force: bool = True,
     max_tasks: int = MAX_TASKS,
+    store: ModuleType | None = None,
 ) -> list[dt.date]:
     """The scheduled job, for one day or a backfill; rerunning it gives the same landing area.
 
     ``force`` refetches landed days, as the nightly run does; otherwise only gaps are filled.
     """
     load = refresh if force else fill_gaps
-    return load(spark, source, root, start, end, max_tasks)
+    return load(spark, source, root, start, end, max_tasks, store)
 
 
 def clear(spark: SparkSession, root: str, confirm: bool = False) -> bool:

@@ -3,15 +3,24 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from itertools import accumulate
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.sources import commits
 
 # A CSV file whose values may hold line breaks, and a JSON file that is one array, are read by one
 # task each. Writers bound the file size so that such reads stay parallel.
 MAX_RECORDS_PER_FILE = 1_000_000
+MAX_FILE_BYTES = 256 << 20
 # Tables of a snapshot that are written at one time.
 SIDE_BY_SIDE = 4
 
@@ -33,11 +42,67 @@ PLAIN = _QUOTING | {"nullValue": ""}
 # --- CSV -------------------------------------------------------------------------------------
 
 
+def _csv_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: its values as text, quotes twice, and signs around each."""
+    size = F.lit(3 * len(df.columns))
+    for field in df.schema.fields:
+        text = F.col(f"`{field.name}`").cast("string")
+        size = size + F.coalesce(F.octet_length(text), F.lit(2))
+        if isinstance(field.dataType, T.StringType):
+            size = size + F.coalesce(F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"'), F.lit(""))), F.lit(0))
+    return size.cast("long")
+
+
+def _free(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def dealt_by_bytes(df: DataFrame, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """The same rows in partitions whose CSV takes ``max_bytes`` and one row more at most.
+
+    Two passes: bytes of every input partition, one number each for the driver, then each row goes to the partition that its
+    place in the running sum over all bytes falls in. So long rows are spread like short ones, whatever the values.
+    A frame whose partitions are small enough, or whose columns have a fixed width, is returned as it is; nothing
+    is shuffled. The sums belong to the partitions of ``df``: where a second run would deal its rows anew, partitions may grow.
+    """
+    if not any(isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in df.schema.fields):
+        return df
+    held = df.select(F.spark_partition_id().alias("at"), _csv_bytes(df).alias("bytes")).groupBy("at").agg(F.sum("bytes").alias("bytes"))
+    sizes = dict(held.collect())
+    if max(sizes.values(), default=0) <= max_bytes:
+        return df
+    ordered = sorted(sizes)
+    begins = dict(zip(ordered, accumulate([0, *[sizes[at] for at in ordered[:-1]]])))
+    parts = sum(sizes.values()) // max_bytes + 1
+    size, part = _free(df, "bytes"), _free(df, "part")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        offset = begins.get(TaskContext.get().partitionId(), 0)
+        for batch in batches:
+            bytes_ = batch.column(batch.num_columns - 1)
+            ends = pc.cumulative_sum(bytes_, start=offset)
+            number = pc.divide(pc.subtract(ends, bytes_), max_bytes).cast(pa.int32())
+            offset = ends[-1].as_py() if batch.num_rows else offset
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], number], [*batch.schema.names[:-1], part])
+
+    schema = T.StructType([*df.schema.fields, T.StructField(part, T.IntegerType())])
+    return df.withColumn(size, _csv_bytes(df)).mapInArrow(place, schema).repartitionById(parts, F.col(part)).drop(part)
+
+
 def export_csv(
-    df: DataFrame, path: str, columns: Iterable[str] | None = None, dialect: Mapping = EXACT
+    df: DataFrame,
+    path: str,
+    columns: Iterable[str] | None = None,
+    dialect: Mapping = EXACT,
+    max_bytes: int = MAX_FILE_BYTES,
 ) -> None:
-    """Write the columns as a folder of CSV files with header, replacing what is there."""
-    chosen = df.select(*columns) if columns else df
+    """Write the columns as a folder of CSV files with header, replacing what is there.
+
+    A file has ``max_bytes`` and one row at most, by about the bytes its values take.
+    """
+    chosen = dealt_by_bytes(df.select(*columns) if columns else df, max_bytes)
     chosen.write.mode("overwrite").options(**dialect).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).csv(path)
 
 
@@ -63,6 +128,68 @@ def snapshot(tables: Mapping[str, DataFrame], root: str, dialect: Mapping = EXAC
     return list(paths.values())
 
 
+def _summary(df: DataFrame) -> list[Column]:
+    """Rows and a digest of all values that does not depend on their order."""
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.bit_xor(F.xxhash64(*[f"`{c}`" for c in df.columns])), F.lit(0)).alias("digest")]
+
+
+def _on_disk(spark: SparkSession, path: str) -> dict[str, int]:
+    where, files = commits.folder_of(spark, path)
+    if not files.exists(where):
+        return {"files": 0, "bytes": 0}
+    found = files.getContentSummary(where)
+    return {"files": found.getFileCount(), "bytes": found.getLength()}
+
+
+def publish_snapshot(tables: Mapping[str, DataFrame], root: str, dialect: Mapping = EXACT) -> dict[str, dict]:
+    """Write the tables as one state below ``root`` and return its manifest.
+
+    Each table goes to a folder of its own beside the former ones. When all are written, one commit (see ``commits``) names
+    for every table its folder, number of files, bytes and rows, and a digest of its values. Until then readers have the
+    former snapshot; a table that is not among ``tables`` is not part of the new one. Over a database connection
+    the tables are separate reads, not one consistent state. Maps have no digest, and CSV does not take them.
+    """
+    manifest: dict[str, dict] = {}
+
+    def write(name: str, table: DataFrame) -> None:
+        seen, folder = Observation(), commits.fresh(root)
+        # Summed on the way to the file, after rows have been dealt out.
+        export_csv(dealt_by_bytes(table).observe(seen, *_summary(table)), folder, dialect=dialect, max_bytes=1 << 62)
+        # Spark leaves the observation out of the plan of a table that it knows to be empty.
+        summed = {"rows": 0, "digest": 0} if table.isEmpty() else seen.get
+        manifest[name] = {"load": folder.rpartition("/")[2], **summed, **_on_disk(table.sparkSession, folder)}
+
+    with ThreadPoolExecutor(max_workers=max(1, min(len(tables), SIDE_BY_SIDE))) as pool:
+        for job in [pool.submit(write, name, table) for name, table in tables.items()]:
+            job.result()
+    if tables:
+        commits.commit(next(iter(tables.values())).sparkSession, root, lambda former: manifest)
+    return manifest
+
+
+def read_snapshot(
+    spark: SparkSession, root: str, schemas: Mapping[str, str | T.StructType], dialect: Mapping = EXACT, check: bool = False
+) -> dict[str, DataFrame]:
+    """Tables of the last published snapshot, all of one state.
+
+    A table that the manifest does not have, or whose files are not those of the manifest, is an error. ``check`` also
+    reads all values and compares rows and digest, for a dialect that keeps them.
+    """
+    manifest, tables = commits.state(spark, root), {}
+    for name, schema in schemas.items():
+        entry = manifest.get(name)
+        if entry is None:
+            raise RuntimeError(f"the snapshot {root} has no table {name}")
+        folder = f"{root}/data/{entry['load']}"
+        if (found := _on_disk(spark, folder)) != {key: entry[key] for key in found}:
+            raise RuntimeError(f"the snapshot {root} is damaged: {name} has {found}, its manifest {entry}")
+        table = import_csv(spark, folder, schema, dialect)
+        if check and (found := table.agg(*_summary(table)).first().asDict()) != {key: entry[key] for key in found}:
+            raise RuntimeError(f"the snapshot {root} is damaged: {name} has {found}, its manifest {entry}")
+        tables[name] = table
+    return tables
+
+
 # --- tables ----------------------------------------------------------------------------------
 
 
@@ -76,6 +203,37 @@ def insert_rows(spark: SparkSession, rows: Iterable[tuple], target: DataFrame, p
     append_table(spark.createDataFrame(list(rows), target.schema), path)
 
 
+def append_batch(df: DataFrame, root: str, batch: str) -> bool:
+    """Append to a ledger table what has not been appended under this batch id; whether it was now.
+
+    The batch's files count from the commit on that names them, so a job may be run again at any point, and one batch that
+    two jobs append at a time is there once.
+    """
+    spark = df.sparkSession
+    if batch in commits.state(spark, root):
+        return False
+    folder = commits.fresh(root)
+    df.write.parquet(folder)
+    load = folder.rpartition("/")[2]
+    after = commits.commit(spark, root, lambda ledger: None if batch in ledger else ledger | {batch: {"load": load}})
+    if after[batch]["load"] == load:
+        return True
+    commits.remove(spark, folder)
+    return False
+
+
+def insert_batch(spark: SparkSession, rows: Iterable[tuple], schema: str | T.StructType, root: str, batch: str) -> bool:
+    """Append literal rows under a batch id."""
+    return append_batch(spark.createDataFrame(list(rows), schema), root, batch)
+
+
+def read_batches(spark: SparkSession, root: str, schema: str | T.StructType) -> DataFrame:
+    """Rows of all batches that the ledger names, in one scan."""
+    folders = [f"{root}/data/{entry['load']}" for entry in commits.state(spark, root).values()]
+    reader = spark.read.schema(schema)
+    return reader.parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
 # --- databases -------------------------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ Landing areas are fed by a loader over the given tables: whole rows as documents
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import payloads
 from tidemark.functions.dates import day
 from tidemark.session import scratch_dir
-from tidemark.sources import landing, transfer
+from tidemark.sources import landing, published, transfer
 from tidemark.suite.registry import Tables, money, register
 
 # Times travel as text: JSON timestamps would lose the fraction of a second.
@@ -90,6 +91,19 @@ def _(t):
     return t.spark.read.schema(CATEGORY).parquet(table)
 
 
+@register("s04_append_of_repeated_batches", """
+    SELECT s_suppkey AS category_id, s_name AS name FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer
+    UNION ALL SELECT 100, 'inserted'""")
+def _(t):
+    """Every batch arrives twice, as from a job that is run again."""
+    table = scratch_dir(t.spark, "ledger")
+    for _ in range(2):
+        transfer.append_batch(_named(t.supplier, "s_suppkey", "s_name"), table, "suppliers")
+        transfer.append_batch(_named(t.customer, "c_custkey", "c_name"), table, "customers")
+        transfer.insert_batch(t.spark, [(100, "inserted")], CATEGORY, table, "one row")
+    return transfer.read_batches(t.spark, table, CATEGORY)
+
+
 SNAPSHOT = ["customer", "orders", "part", "supplier", "documents"]
 # One line per row of any table: its name and all columns as text.
 SNAPSHOT_ROWS = {
@@ -138,6 +152,18 @@ def _snapshot_lines(t: Tables) -> DataFrame:
     return lines
 
 
+@register("s06_published_snapshot", SNAPSHOT_SQL)
+def _(t):
+    """A second snapshot replaces the first as a whole; its values are checked against the manifest."""
+    root = scratch_dir(t.spark, "snapshot")
+    transfer.publish_snapshot({"customer": t.customer.limit(0), "orders": t.orders.limit(0)}, root)
+    tables = {name: getattr(t, name) for name in SNAPSHOT}
+    transfer.publish_snapshot(tables, root)
+    found = transfer.read_snapshot(t.spark, root, {name: table.schema for name, table in tables.items()}, check=True)
+    lines = [_lines(found[name], name, SNAPSHOT_ROWS[name]) for name in SNAPSHOT]
+    return functools.reduce(DataFrame.unionByName, lines)
+
+
 CAR = "model string, make string, year double"
 CAR_SQL = """
     SELECT p_name AS model, nullif(p_brand, 'Brand#1') AS make,
@@ -278,6 +304,19 @@ def _(t):
     return _per_day(landing.read_landed(t.spark, root, start, end))
 
 
+@register("s14_published_refresh", f"""
+    SELECT {EVENT_COLUMNS}, CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
+           THEN value * 2 ELSE value END AS value, props
+    FROM events""")
+def _(t):
+    """A backfill in two runs and a refresh, each published in one step."""
+    root, (start, end) = scratch_dir(t.spark, "published"), _range(t)
+    landing.daily_load(t.spark, _daily_documents(t), root, dt.date(2024, 1, 5), dt.date(2024, 1, 20), store=published)
+    landing.daily_load(t.spark, _daily_documents(t), root, start, end, force=False, store=published)
+    landing.refresh(t.spark, _daily_documents(t, factor=2), root, dt.date(2024, 1, 10), dt.date(2024, 1, 12), store=published)
+    return _events_of(published.read_landed(t.spark, root, start, end))
+
+
 @register("d1_land_range", EVENT_SQL + " WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-09'")
 def _(t):
     """The command-line job: ISO text in, the landed days out."""
