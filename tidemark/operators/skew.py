@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Pairs of rows that one cell of a grid joins, about.
+CELL_PAIRS = 16_000_000
+
 
 def splittable_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
     """Join of an input aggregated by ``on`` with one in which a key may be hot.
@@ -38,3 +43,32 @@ def roll_up(measures: DataFrame, link: DataFrame, on: str, to: str, many: bool =
     pairs = link.select(on, to)
     joined = splittable_join(measures, pairs, on) if many else measures.join(pairs, on)
     return joined.groupBy(to).agg(*[F.sum(name).alias(name) for name in measures.columns if name != on])
+
+
+def grid_join(left: DataFrame, right: DataFrame, on: str, cell_pairs: int = CELL_PAIRS) -> DataFrame:
+    """Inner join that returns all pairs of keys that may be hot on both sides.
+
+    A key with l rows here and r there makes l * r rows, so splitting one side leaves each part with all of the other. Keys with
+    more than ``cell_pairs`` pairs are laid out on a grid: a left row goes to one line of cells and is copied along it, a right
+    row to one column, and each pair meets in one cell of about the square root of ``cell_pairs`` rows a side. How many lines and
+    columns follows from the counts of the key; no other key is copied. Lines and columns come from the rows'
+    values, so a task that runs again deals them alike; equal rows share a cell, which Spark may still split.
+    """
+    side = max(1, math.isqrt(cell_pairs))
+    left, right = left.where(F.col(on).isNotNull()), right.where(F.col(on).isNotNull())
+    lefts = left.groupBy(on).agg(F.count(F.lit(1)).alias("lefts"))
+    rights = right.groupBy(on).agg(F.count(F.lit(1)).alias("rights"))
+    # As decimals, since two counts may have a product beyond 64 bits.
+    pairs = F.col("lefts").cast("decimal(19,0)") * F.col("rights").cast("decimal(19,0)")
+    lines, columns = (F.ceil(F.col(name) / side).cast("int") for name in ("lefts", "rights"))
+    grid = lefts.join(rights, on).where(pairs > cell_pairs).select(on, lines.alias("grid_lines"), columns.alias("grid_columns"))
+
+    def placed(df: DataFrame, own: str, other: str) -> DataFrame:
+        hashed = [f"`{name}`" for name, kind in df.dtypes if not ("map<" in kind or "variant" in kind)]
+        known = splittable_join(grid, df, on, "right")
+        at = F.pmod(F.xxhash64(*hashed), F.coalesce(f"grid_{own}s", F.lit(1))).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.coalesce(f"grid_{other}s", F.lit(1)) - 1))
+        return known.select(*[f"`{name}`" for name in df.columns], at.alias(f"grid_{own}"), copies.alias(f"grid_{other}"))
+
+    cells = [on, "grid_line", "grid_column"]
+    return placed(left, "line", "column").join(placed(right, "column", "line"), cells).drop("grid_line", "grid_column")

@@ -250,6 +250,35 @@ def _(t):
     return decoded.select("d.base", F.explode("d.rates").alias("currency", "rate"), "d.date")
 
 
+@register("f09_documents_of_any_shape", """
+    SELECT 'customer' AS kind, c_custkey AS id, 'name' AS key, '"' || c_name || '"' AS value FROM customer
+    UNION ALL SELECT 'customer', c_custkey, 'id', CAST(c_custkey AS VARCHAR) FROM customer
+    UNION ALL SELECT 'customer', c_custkey, 'nation', CAST(c_nationkey AS VARCHAR) FROM customer WHERE c_nationkey % 3 = 0
+    UNION ALL SELECT 'supplier', s_suppkey, 'id', '"' || s_suppkey || '"' FROM supplier
+    UNION ALL SELECT 'supplier', s_suppkey, 'home', '{"nation":' || s_nationkey || ',"near":[' || s_nationkey + 1 || ',null]}' FROM supplier
+    UNION ALL SELECT 'part', p_partkey, 'size-' || p_size % 7, CAST(p_size AS VARCHAR) FROM part""")
+def _(t):
+    """Documents of three kinds, whose keys and types differ, landed and taken apart without a schema."""
+    root = scratch_dir(t.spark, "shapes")
+    own = F.when(F.col("c_nationkey") % 3 == 0, F.col("c_nationkey")).alias("nation")
+    customers = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), own)
+    near = F.array(F.col("s_nationkey") + 1, F.lit(None).cast("int"))
+    home = F.struct(near.alias("near"), F.col("s_nationkey").alias("nation"))
+    suppliers = F.struct(F.col("s_suppkey").cast("string").alias("id"), home.alias("home"))
+    parts = F.create_map(F.concat(F.lit("size-"), F.col("p_size") % 7), F.col("p_size"))
+    kinds = {"customer": (t.customer, "c_custkey", customers), "supplier": (t.supplier, "s_suppkey", suppliers), "part": (t.part, "p_partkey", parts)}
+    documents = [
+        table.select(F.lit(kind).alias("key"), F.concat_ws(" ", key, payloads.encode(document)).alias("payload"))
+        for kind, (table, key, document) in kinds.items()
+    ]
+    landing.land_by_key(functools.reduce(DataFrame.unionByName, documents), root)
+    cut = F.split("payload", " ", 2)
+    landed = landing.read_by_key(t.spark, root).select(
+        F.col("key").alias("kind"), cut[0].cast("long").alias("id"), payloads.decode_any(cut[1]).alias("document")
+    )
+    return payloads.entries(landed, "document", "kind", "id")
+
+
 @register("s13_daily_landing", EVENT_SQL)
 def _(t):
     root, (start, end) = scratch_dir(t.spark, "landing"), _range(t)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, intervals, payloads
-from tidemark.operators import ordering, relational, selection, setops, skew
+from tidemark.operators import distinct, ordering, relational, selection, setops, skew
 from tidemark.session import checkpointed
 from tidemark.suite import flights as bound
 from tidemark.suite import rental as bound_rental
@@ -177,6 +177,14 @@ def _(t):
     return skew.roll_up(customers, t.supplier, on="s_nationkey", to="s_suppkey", many=True)
 
 
+@register("j03_many_to_many_rows", """
+    SELECT s_suppkey, c_custkey, c_acctbal FROM supplier JOIN customer ON s_nationkey = c_nationkey""")
+def _(t):
+    suppliers = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("nation"))
+    customers = t.customer.select("c_custkey", "c_acctbal", F.col("c_nationkey").alias("nation"))
+    return skew.grid_join(suppliers, customers, "nation").drop("nation")
+
+
 @register("j04_constant_in_join_condition", """
     SELECT o_orderkey, c_custkey FROM orders JOIN customer ON o_custkey = c_custkey AND c_mktsegment = 'BUILDING'""")
 def _(t):
@@ -300,6 +308,23 @@ def _(t):
     return relational.group_distinct(t.lineitem, ["l_returnflag", "l_linestatus"], "l_partkey", "parts")
 
 
+@register("a09_distinct_dense_keys", """
+    SELECT l_returnflag, l_linestatus, count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY 1, 2""")
+def _(t):
+    return distinct.group_distinct_dense(t.lineitem, ["l_returnflag", "l_linestatus"], "l_orderkey", "orders")
+
+
+@register("a09_distinct_of_merged_states", """
+    SELECT o_orderpriority, o_orderstatus, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY 1, 2""")
+def _(t):
+    """Each year's orders are counted into a state of its own; the states are merged, without the orders."""
+    keys, year = ["o_orderpriority", "o_orderstatus"], F.year("o_orderdate")
+    bounds = t.orders.agg(F.min(year), F.max(year)).first()
+    years = [t.orders.where(year == y) for y in range(bounds[0], bounds[1] + 1)]
+    states = [checkpointed(distinct.distinct_state(orders, keys, "o_custkey")) for orders in years]
+    return distinct.distinct_count(distinct.merge_states(*states), "customers")
+
+
 @register("a10_money_sum", f"""
     SELECT o_custkey, CAST(sum({PRICE}) AS DOUBLE) AS total FROM orders GROUP BY 1""")
 def _(t):
