@@ -47,3 +47,14 @@ def words_column(text: Column) -> Column:
 def extended(frame: DataFrame, ddl: str) -> T.StructType:
     """The frame's schema with further columns."""
     return T.StructType([*frame.schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
+def free_names(frame: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where the frame has such a column: Spark does not tell upper from lower case."""
+    taken, out = {column.lower() for column in frame.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import splittable_join
 from tidemark.session import discard, materialise
 
 
@@ -16,8 +17,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """node and root (the smallest node of its component) for every node of ``links`` (a, b) that is not a root.
 
     Each round hangs the larger neighbours of every node, then its smaller ones, under the smallest; rounds grow
-    with the logarithm of the number of nodes. Minima are aggregated before the shuffle and joined back, so
-    a hub's neighbours never meet in one group. Each round is written to the shared folder.
+    with the logarithm of the number of nodes. Minima are aggregated before the shuffle and joined back by joins that
+    may split a hub, so its neighbours need not meet in one task. Each round is written to the shared folder.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = materialise(spark, edges, "stars")
@@ -25,9 +26,9 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = splittable_join(low, both.where("v > u"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = splittable_join(low, large, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         following = materialise(spark, small.unionByName(low.withColumnRenamed("m", "v")).distinct(), "stars")
         discard(edges)
         edges, after = following, _summary(following)

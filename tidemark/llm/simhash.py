@@ -11,8 +11,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, utf8, words_of
+from tidemark.llm.common import free_names, slices, utf8, words_of
 from tidemark.llm.graph import components
+from tidemark.operators.skew import splittable_join
 from tidemark.session import materialise
 
 #: Fingerprints with equal bits in two of four 16-bit blocks form a bucket; larger ones take the flip path.
@@ -150,8 +151,10 @@ def near_links(codes: DataFrame, distance: int = 2) -> DataFrame:
     masks = [a | b for a, b in itertools.combinations(blocks, 2)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keyed = codes.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("combo", "value"))
-    size = keyed.groupBy("combo", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = keyed.join(size, ["combo", "value"])
+    keyed = keyed.select("fp", F.struct("combo", "value").alias("bucket"))
+    size = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # A bucket may hold many codes, so its join may be split.
+    shared = splittable_join(size, keyed, "bucket").select("bucket.*", "fp", "n")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -217,7 +220,7 @@ def near_duplicates(documents: DataFrame, width: int = 3, distance: int = 2) ->
     stars = components(spark, near_links(codes.select("fp"), distance))
     rooted = codes.join(stars.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    mapped = rooted.join(named, "root").select("fp", "component_id")
+    mapped = splittable_join(named, rooted, "root").select("fp", "component_id")
     return marked.join(mapped, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -227,18 +230,18 @@ def keep_first(documents: DataFrame, width: int = 3, distance: int = 2) -> DataF
     Of rows that agree in id and text one stays. Components are those of ``near_duplicates``.
     """
     spark = documents.sparkSession
-    clean = documents.drop("_k", "_l")
     keys = [F.xxhash64(F.lit(salt), "doc_id", F.col("doc_id").isNull(), F.coalesce("text", F.lit(""))) for salt in (1, 2)]
-    keyed = clean.withColumn("_k", keys[0]).withColumn("_l", keys[1])
-    marked = materialise(spark, fingerprints(keyed, width, ["_k", "_l"]), "simhash")
+    own = free_names(documents, "k", "l")
+    keyed = documents.withColumns(dict(zip(own, keys)))
+    marked = materialise(spark, fingerprints(keyed, width, own).withColumnsRenamed(dict(zip(own, "kl"))), "simhash")
     codes = marked.select("fp").distinct()
     stars = components(spark, near_links(codes, distance))
     rooted = codes.join(stars.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_k", "_l")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "k", "l")
     # The first of each fingerprint, then of each component: hot fingerprints shrink before the join.
     first = marked.groupBy("fp").agg(F.min(order).alias("first"))
-    kept = first.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first._k", "first._l")
-    return keyed.join(kept, ["_k", "_l"], "left_semi").dropDuplicates(["_k", "_l"]).select(*clean.columns)
+    kept = first.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.k", "first.l").toDF(*own)
+    return keyed.join(kept, own, "left_semi").dropDuplicates(own).select(*[f"`{name}`" for name in documents.columns])
 
 
 def op8(spark: SparkSession, folder: str) -> DataFrame:
