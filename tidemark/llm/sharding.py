@@ -9,9 +9,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import free_names
+
 #: Rows that one local permutation should hold, and the largest matrix side that the driver draws.
 ROWS_PER_CELL = 2_000
 MAX_CELLS = 1_024
+#: Copies of one row that a task numbers.
+COPIES = 100_000
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, sample: int) -> int:
@@ -72,6 +76,22 @@ def _relation(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
 
 
+def numbered_copies(df: DataFrame) -> DataFrame:
+    """All columns, with ``copy``: 0, 1, ... for rows that are equal in all columns, which must be comparable.
+
+    Equal rows are counted before the shuffle and written out again in pieces, so one row with any number of copies is
+    dealt over many tasks. A column of that name is replaced.
+    """
+    rows = df.drop("copy")
+    names = [f"`{name}`" for name in rows.columns]
+    [n] = free_names(rows, "n")
+    counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias(n))
+    pieces = counted.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1, F.lit(COPIES).cast("long"))).alias("copy"))
+    pieces = pieces.repartition(*names, "copy")
+    last = F.least(F.col(n), F.col("copy") + COPIES) - 1
+    return pieces.select(*names, F.explode(F.sequence("copy", last)).alias("copy"))
+
+
 def shuffle_into_shards(df: DataFrame, identity: list[Column], shards: int = 24, seed: int = 20_240_501) -> DataFrame:
     """Add ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each shard) to every row.
 
@@ -80,11 +100,19 @@ def shuffle_into_shards(df: DataFrame, identity: list[Column], shards: int = 24,
     target matrix (sides bounded by MAX_CELLS); each cell permutes its rows and deals them out by its row of
     the matrix; each target permutes what it got. A target is a fixed part of a shard, so that no task orders
     a whole shard, and its first slot is known from the drawn sizes.
-    Nulls count as values of their own, equal rows are interchangeable, an empty input gives no rows.
-    Columns named ``shard`` or ``slot`` in the input are replaced.
+    Nulls count as values of their own, rows of one identity are interchangeable and share a cell (``numbered_copies``
+    gives many copies identities of their own), an empty input gives no rows. Columns named ``shard`` or ``slot`` in the input
+    are replaced, all others are kept.
     """
-    spark = df.sparkSession
-    hashed = df.drop("shard", "slot").withColumn("_h", F.xxhash64(F.lit(seed), *identity, *[c.isNull() for c in identity]))
+    spark, kept = df.sparkSession, df.drop("shard", "slot")
+    # Own names for the input's columns while it is dealt out.
+    places = {name: f"c{place}" for place, name in enumerate(kept.columns)}
+    parts_of = {f"i{place}": column for place, column in enumerate(identity)}
+    hashed = df.select(
+        *[F.col(f"`{name}`").alias(place) for name, place in places.items()],
+        *[column.alias(place) for place, column in parts_of.items()],
+        F.xxhash64(F.lit(seed), *identity, *[c.isNull() for c in identity]).alias("_h"),
+    )
     total = hashed.count()
     cells = min(max(1, math.ceil(total / ROWS_PER_CELL)), MAX_CELLS)
     parts = min(max(1, math.ceil(total / shards / ROWS_PER_CELL)), max(1, MAX_CELLS // shards))
@@ -96,7 +124,7 @@ def shuffle_into_shards(df: DataFrame, identity: list[Column], shards: int = 24,
     starts = [[part, int(sum(targets[part // parts * parts : part]))] for part in range(len(targets))]
 
     def permuted(partition: str, salt: int) -> Column:
-        order = [F.xxhash64(F.lit(seed + salt), "_h"), F.col("_h"), *identity]
+        order = [F.xxhash64(F.lit(seed + salt), "_h"), F.col("_h"), *parts_of]
         return F.row_number().over(Window.partitionBy(partition).orderBy(*order)).cast("long") - 1
 
     def as_objects(pairs: list, names: tuple[str, str]) -> list[dict]:
@@ -104,10 +132,17 @@ def shuffle_into_shards(df: DataFrame, identity: list[Column], shards: int = 24,
 
     matrix = _relation(spark, as_objects(bounds, ("_cell", "_ends")), "_cell: int, _ends: array<bigint>")
     offsets = _relation(spark, as_objects(starts, ("_target", "_start")), "_target: int, _start: bigint")
+    # The number of ends up to a rank, by halving steps.
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(targets).bit_length()))])
+    rank = F.col("_r")
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when((at + step <= len(targets)) & (F.get("_ends", at + step - 1) <= rank), at + step).otherwise(at)
+
     dealt = (
         hashed.withColumn("_r", permuted("_cell", 1))
         .join(F.broadcast(matrix), "_cell")
-        .withColumn("_target", F.size(F.filter("_ends", lambda end: end <= F.col("_r"))))
+        .withColumn("_target", F.reduce(steps, F.lit(0), further))
         .drop("_ends", "_r", "_cell")
     )
     return (
@@ -115,7 +150,7 @@ def shuffle_into_shards(df: DataFrame, identity: list[Column], shards: int = 24,
         .join(F.broadcast(offsets), "_target")
         .withColumn("shard", F.floor(F.col("_target") / parts).cast("int"))
         .withColumn("slot", F.col("_start") + F.col("_r"))
-        .drop("_h", "_target", "_start", "_r")
+        .select(*[F.col(place).alias(name) for name, place in places.items()], "shard", "slot")
     )
 
 
@@ -130,8 +165,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
         F.crc32(octets).alias("text_crc32"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"),
     )
-    identity = [F.col("doc_id"), F.col("size"), F.col("text_crc32"), F.col("_text")]
-    return shuffle_into_shards(rows, identity).select(
+    rows = numbered_copies(rows)
+    return shuffle_into_shards(rows, [F.col(name) for name in rows.columns]).select(
         "doc_id",
         "size",
         "text_crc32",
