@@ -11,16 +11,18 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import extended, slices
+from tidemark.session import materialise
 
 #: Edits allowed per character of an item, and the length below which an item must occur unchanged.
 ERROR_RATE = 0.05
 SHORT = 20
-#: Characters of items that are broadcast and searched for together.
-BLOCK_CHARS = 16 << 20
+#: Characters of items that are broadcast and searched for together: an automaton takes some 45 bytes for each.
+BLOCK_CHARS = 4 << 20
 
 #: Items of fewer characters, and single words under SHORT, say too little to drop a document for.
 LEAST = 5
@@ -166,7 +168,7 @@ class Matcher:
 Items = tuple[tuple[int | None, str, bool], ...]
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def matchers(items: Items, rate: float) -> tuple[Matcher, Matcher]:
     """One pair per worker process and block: items without signs, items with signs."""
     plain_items, signed_items = (tuple((key, text) for key, text, signs in items if signs == kind) for kind in (False, True))
@@ -186,10 +188,9 @@ def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[It
             yield found
 
 
-def with_leaks(documents: DataFrame, block: Items, rate: float = ERROR_RATE) -> DataFrame:
-    """All columns, with ``leaks``: the items of one block that the text holds (none: empty)."""
+def with_leaks(documents: DataFrame, shared: Broadcast, rate: float = ERROR_RATE) -> DataFrame:
+    """All columns, with ``leaks``: the items of one block, as broadcast, that the text holds (none: empty)."""
     clean = documents.drop("leaks")
-    shared = documents.sparkSession.sparkContext.broadcast(block)
     place = clean.columns.index("text")
     kind = pa.list_(
         pa.struct([("item_id", pa.int64()), *[(n, pa.int32()) for n in ("distance", "budget", "start", "stop")]])
@@ -217,26 +218,45 @@ def contaminated(documents: DataFrame, items: DataFrame, rate: float = ERROR_RAT
     each searched for in all documents. Null and empty texts and items match nothing; repeated rows are
     reported as often as they stand; empty tables give no rows.
     """
-    parts = [with_leaks(documents.select("doc_id", "text"), block, rate) for block in item_blocks(items)]
-    schema = "doc_id long, leaks " + LEAKS
-    found = functools.reduce(DataFrame.unionByName, parts) if parts else documents.sparkSession.createDataFrame([], schema)
-    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+    spark, texts = documents.sparkSession, documents.select("doc_id", "text")
+    parts, last = [], None
+    for block in item_blocks(items):
+        if last is not None:
+            parts.append(_settled(*last, "leaks"))
+        shared = spark.sparkContext.broadcast(block)
+        leaks = with_leaks(texts, shared, rate).select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+        last = leaks, shared
+    if last is None:
+        return spark.createDataFrame([], "doc_id long, item_id bigint, distance int, budget int, start int, stop int")
+    return functools.reduce(DataFrame.unionByName, [*parts, last[0]])
+
+
+def _settled(frame: DataFrame, shared: Broadcast, purpose: str) -> DataFrame:
+    """The frame's rows from the shared folder, without the block of items that made them."""
+    stored = materialise(frame.sparkSession, frame, purpose)
+    shared.destroy()
+    return stored
 
 
 def remove_contaminated(documents: DataFrame, items: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """The documents, all columns, whose text holds no item (as ``contaminated`` defines it).
 
     Items that say too little (under LEAST characters, single words under SHORT) drop none: a warning names them.
+    Of several blocks of items one at a time is in memory, each over the documents that the last one left. A column
+    ``leaks`` of the input is kept.
     """
-    kept, slight = documents, []
+    packed = F.struct(*[f"`{name}`" for name in documents.columns if name != "text"]).alias("row")
+    kept, slight, shared = documents.select("text", packed), [], None
     for block in item_blocks(items):
         slight += [item for item in block if not telling(item[1])]
         if block := tuple(item for item in block if telling(item[1])):
-            kept = with_leaks(kept, block, rate).where(F.size("leaks") == 0).drop("leaks")
+            kept = _settled(kept, shared, "uncontaminated") if shared is not None else kept
+            shared = documents.sparkSession.sparkContext.broadcast(block)
+            kept = with_leaks(kept, shared, rate).where(F.size("leaks") == 0).drop("leaks")
     if slight:
         named = ", ".join(f"{key}: {text!r}" for key, text, _ in slight[:20])
         warnings.warn(f"{len(slight)} items are too short to drop documents for ({named})", stacklevel=2)
-    return kept
+    return kept.select(*[F.col("text") if name == "text" else F.col(f"row.`{name}`").alias(name) for name in documents.columns])
 
 
 def op2(spark: SparkSession, folder: str) -> DataFrame:
