@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import extended, slices
+from tidemark.llm.common import extended, free_names, slices
 
 # Frequent function words of four languages.
 STOP_WORDS = frozenset(
@@ -352,15 +352,16 @@ def extract(pages: DataFrame, column: str = "html") -> DataFrame:
     """
     clean = pages.drop(*[c for c in ("text", "n_chars") if c != column])
     rest = [c for c in clean.columns if c != column]
-    frame = clean.select(*rest, F.col(column).alias("_page"))
+    [page] = free_names(clean, "page")
+    frame = clean.select(*[f"`{name}`" for name in rest], F.col(f"`{column}`").alias(page))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_page"):
-            texts = [main_text(page) for page in batch.column(len(rest)).to_pylist()]
+        for batch in slices(batches, page):
+            texts = [main_text(html) for html in batch.column(len(rest)).to_pylist()]
             sizes = pa.array([len(text) for text in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), sizes], [*rest, "text", "n_chars"])
 
-    return frame.mapInArrow(run, extended(frame.drop("_page"), "text string, n_chars long"))
+    return frame.mapInArrow(run, extended(frame.drop(page), "text string, n_chars long"))
 
 
 def op9(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import extended, slices, utf8
+from tidemark.llm.common import extended, free_names, slices, utf8
 from tidemark.llm.windows import Units, covered, in_blocks, kept_runs, marked_places, narrowed, repeated, row_key, spans
 
 WORDS = 50
@@ -117,12 +117,13 @@ def remove_duplicates(documents: DataFrame, width: int = WORDS) -> DataFrame:
     window, lose nothing; a null text stays null. Columns of these names in the input are replaced.
     """
     added = ["n_words", "n_removed", "spans", "kept_sha256"]
-    clean = documents.drop(*added, "_doc", "_t", "_key")
-    keyed = clean.withColumn("_key", row_key(F.col("text")))
-    base = keyed.select("doc_id", F.col("_key").alias("t"), "text")
-    found = duplicate_spans(base, width).withColumnsRenamed({"doc_id": "_doc", "t": "_t", "spans": "_spans"})
-    joined = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_t")), "left")
-    rows = joined.select(*clean.columns, "_spans")
+    clean = documents.drop(*added)
+    key, doc, t, marked = free_names(clean, "key", "doc", "t", "marked")
+    keyed = clean.withColumn(key, row_key(F.col("text")))
+    base = keyed.select("doc_id", F.col(key).alias("t"), "text")
+    found = duplicate_spans(base, width).withColumnsRenamed({"doc_id": doc, "t": t, "spans": marked})
+    joined = keyed.join(found, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(t)), "left")
+    rows = joined.select(*[f"`{name}`" for name in clean.columns], marked)
     schema = extended(clean, "n_words long, n_removed long, spans array<struct<start: int, stop: int>>, kept_sha256 string")
     place = clean.columns.index("text")
 

@@ -117,13 +117,13 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     ]
 
 
-def with_features(documents: DataFrame, lexicon: dict[str, float]) -> DataFrame:
+def with_features(documents: DataFrame, lexicon: dict[str, float], column: str = "text") -> DataFrame:
     """All columns, with ``_features`` (array of double). The lexicon has LEXICON_ENTRIES entries at most."""
-    place = documents.columns.index("text")
+    place = documents.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Lexicon(lexicon)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, column):
             rows = [features(text, weights) for text in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(rows, pa.list_(pa.float64()))], [*batch.schema.names, "_features"]
@@ -196,14 +196,18 @@ class ToxicityModel:
 
     def score(self, documents: DataFrame) -> DataFrame:
         """All columns, with ``score`` (0 to 1) and ``predicted``; columns of these names are replaced."""
-        clean = documents.drop("score", "predicted", "_features", "_vector", "_margin", "_p")
+        clean = documents.drop("score", "predicted")
         if self.trees is None:
             scored = clean.withColumn("score", F.lit(float(self.base)))
         else:
-            ready = with_features(clean, self.lexicon).withColumn("_vector", array_to_vector("_features"))
-            ready = self.trees.transform(ready).withColumn("_margin", vector_to_array("_p")[1])
+            # The model's columns have fixed names, so the input's get their places as names meanwhile.
+            places = {name: f"c{place}" for place, name in enumerate(clean.columns)}
+            ready = with_features(clean.toDF(*places.values()), self.lexicon, places["text"])
+            ready = self.trees.transform(ready.withColumn("_vector", array_to_vector("_features")))
+            ready = ready.withColumn("_margin", vector_to_array("_p")[1])
             ready = self.calibration.transform(ready) if self.calibration is not None else ready.withColumn("score", F.col("_margin"))
-            scored = ready.select(*clean.columns, F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
+            kept = [F.col(place).alias(name) for name, place in places.items()]
+            scored = ready.select(*kept, F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
         return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
@@ -215,7 +219,8 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = FIT_ROWS, rounds:
     every score is the share of toxic ones (0 if there are none).
     """
     spark = documents.sparkSession
-    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    # Any other number is no label.
+    known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.withColumn("fold", remainder(F.col("doc_id"))).where("fold <> 2")
     count = known.count()
     if count > limit:
