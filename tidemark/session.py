@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,8 +54,49 @@ def _local_root() -> str:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared scratch folder (nothing is created yet)."""
-    return f"{scratch_root(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path below the application's part of the shared scratch folder (it is not created yet).
+
+    Frames that were returned may be read at any time, so what they are made of stays while the application runs, and
+    goes with it: the driver's file system removes the application's part when it closes.
+    """
+    return f"{_application_root(spark, scratch_root(spark), spark.sparkContext.applicationId)}/{purpose}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _application_root(spark: SparkSession, root: str, application: str) -> str:
+    folder = f"{root}/tidemark/{application}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
+@functools.cache
+def _packed() -> str:
+    """This package as an archive."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), f"{os.path.basename(package)}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    return archive
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers, once an application: they need not find it on their path."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        # A driver that runs from an archive has shipped it already.
+        if os.path.isfile(os.path.abspath(__file__)):
+            context.addPyFile(_packed())
+        _SHIPPED.add(context.applicationId)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -72,7 +115,7 @@ def materialise(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
 
     For a frame that several branches use and that is dear to compute: the files outlive a lost
     executor, and each branch scans them instead of repeating the work. They stay until ``discard``
-    removes them, as the frames built on them may run at any later time.
+    removes them or the application ends, as the frames built on them may run at any time before.
     """
     path = scratch_dir(spark, purpose)
     df.write.option("compression", "zstd").parquet(path)
