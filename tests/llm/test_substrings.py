@@ -140,3 +140,21 @@ def test_a_window_over_a_factor_boundary_is_found():
     one, two, both = base[:20] + ["x"] * 8, ["y"] * 8 + base[10:30], base[:30]
     mask = removed_words([(1, " ".join(one)), (2, " ".join(two)), (3, " ".join(both))], 6)[2][1]
     assert all(mask) and units.width == 6
+
+
+@pytest.mark.parametrize("limit", [windows.MAX_CONTENTS, 1])
+def test_every_marked_window_comes_from_the_solver(documents, mixed_texts, monkeypatch, limit):
+    """A solver that finds nothing leaves no window marked, copies and crowded anchors included."""
+    monkeypatch.setattr(windows, "MAX_CONTENTS", limit)
+    texts = [*enumerate(mixed_texts(6)), (400, mixed_texts(6)[0]), (401, mixed_texts(6)[0])]
+    frame = documents(texts)
+
+    def nothing(items):
+        return [([], []) for _ in items]
+
+    for module, run, made in ((rlz, rlz.remove_duplicates, rlz.solver), (suffix, suffix.remove_repeats, suffix.solver)):
+        removed = [r.n_removed for r in run(frame, 20).collect()]
+        assert sum(removed) > 0
+        monkeypatch.setattr(module, "solver", lambda *_: nothing)
+        assert sum(r.n_removed for r in run(frame, 20).collect()) == 0
+        monkeypatch.setattr(module, "solver", made)
