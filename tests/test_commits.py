@@ -197,7 +197,24 @@ def test_files_are_bounded_by_bytes(spark, partitions):
     assert transfer.import_csv(spark, empty, frame.schema).count() == 0
 
 
-@pytest.mark.parametrize("name", ["s04_append_of_repeated_batches", "s06_published_snapshot", "s14_published_refresh"])
+def test_keys_are_published_in_one_step(spark):
+    root, schema = scratch_dir(spark, "keyed"), "key string, payload string"
+    assert published.read_by_key(spark, root).collect() == []
+    assert published.land_by_key(spark.createDataFrame([("EUR", "1"), ("a:b", "2"), ("c/d", "3")], schema), root) == ["EUR", "a:b", "c/d"]
+    begun = published.read_by_key(spark, root)
+    assert published.land_by_key(spark.createDataFrame([("EUR", "4"), ("USD", "5"), ("USD", "6")], schema), root) == ["EUR", "USD"]
+    assert published.land_by_key(spark.createDataFrame([], schema), root) == []
+    rows = lambda df: sorted(tuple(r) for r in df.select("key", "payload").collect())
+    assert rows(published.read_by_key(spark, root)) == [("EUR", "4"), ("USD", "5"), ("USD", "6"), ("a:b", "2"), ("c/d", "3")]
+    assert rows(begun) == [("EUR", "1"), ("a:b", "2"), ("c/d", "3")]
+    with pytest.raises(Exception, match="no key"):
+        published.land_by_key(spark.createDataFrame([(None, "1")], schema), root)
+
+
+PUBLISHED = "s04_append_of_repeated_batches s06_published_snapshot s14_published_refresh d2_published_load_and_snapshot d5_published_documents_per_key"
+
+
+@pytest.mark.parametrize("name", PUBLISHED.split())
 def test_published_queries(spark, name):
     folder = "/root/testdata/sf0.001"
     assert difference(QUERIES[name], SQL[name], spark, connect(folder), folder) is None

@@ -8,8 +8,9 @@ began with. Give this module as ``store`` to the loads of ``landing``.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days_between
@@ -41,6 +42,35 @@ def read_landed(spark: SparkSession, root: str, start: dt.date, end: dt.date | N
     return found.select("payload", F.col("ds"))
 
 
+def land_by_key(documents: DataFrame, root: str) -> list[str]:
+    """Write ``(key, payload)`` by key, publish the keys together and return them; other keys stay.
+
+    For a number of keys that one small file can list, such as currencies: each commit names them all.
+    """
+    if documents.isEmpty():
+        return []
+    spark, folder, seen = documents.sparkSession, commits.fresh(root), Observation()
+    landing.land_by_key(documents.observe(seen, F.collect_set("key").alias("keys")), folder)
+    keys, load = sorted(seen.get["keys"]), folder.rpartition("/")[2]
+    commits.commit(spark, root, lambda valid: valid | {key: {"load": load} for key in keys})
+    return keys
+
+
+def read_by_key(spark: SparkSession, root: str) -> DataFrame:
+    """``(payload, key)`` of all published keys, as of now; a load is read for the keys that it still stands for."""
+    valid = commits.state(spark, root)
+    if not valid:
+        return spark.createDataFrame([], "payload string, key string")
+    folders = sorted({f"{root}/data/{entry['load']}" for entry in valid.values()})
+    found = spark.read.schema("payload string, load string, key string").option("basePath", f"{root}/data").text(folders)
+    loads = {}
+    for key, entry in valid.items():
+        loads.setdefault(entry["load"].removeprefix("load="), []).append(key)
+    # Conditions on folder names alone: other keys of a load are not read.
+    stands = [(F.col("load") == load) & F.col("key").isin(keys) for load, keys in loads.items()]
+    return found.where(functools.reduce(Column.__or__, stands)).select("payload", "key")
+
+
 def clear(spark: SparkSession, root: str, confirm: bool = False) -> bool:
     """Publish that there is no day; True if there was any. ``commits.sweep`` removes the files. Needs ``confirm=True``."""
     if not confirm:

@@ -229,6 +229,20 @@ def _(t):
     return landed.select("key", payloads.decode("payload", CUSTOMER).alias("c")).select("key", "c.*")
 
 
+@register("d5_published_documents_per_key", """
+    SELECT c_mktsegment AS key, c_custkey, c_name, c_nationkey,
+           CASE WHEN c_mktsegment < 'F' THEN -c_acctbal ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM customer""")
+def _(t):
+    """All keys in one step, then some of them once more after their documents changed."""
+    root = scratch_dir(t.spark, "keyed")
+    for factor, customers in ((1, t.customer), (-1, t.customer.where("c_mktsegment < 'F'"))):
+        fields = [(F.col(name) * factor).alias(name) if name == "c_acctbal" else name for name in t.customer.columns]
+        documents = customers.select(F.col("c_mktsegment").alias("key"), payloads.encode(F.struct(*fields)).alias("payload"))
+        published.land_by_key(documents, root)
+    landed = published.read_by_key(t.spark, root)
+    return landed.select("key", payloads.decode("payload", CUSTOMER).alias("c")).select("key", "c.*")
+
+
 RATES = "base string, rates map<string,double>, date string"
 
 
@@ -364,3 +378,16 @@ def _(t):
     landing.daily_load(t.spark, _daily_documents(t), root, start, end)
     landed = _events_of(landing.read_landed(t.spark, root, start, end))
     return _snapshot_lines(t).unionByName(_lines(landed, "events", LOADED))
+
+
+@register("d2_published_load_and_snapshot", f"{SNAPSHOT_SQL} UNION ALL {_line_sql('events', LOADED)}")
+def _(t):
+    """Both scheduled jobs, each published in one step."""
+    root, (start, end) = scratch_dir(t.spark, "published"), _range(t)
+    landing.daily_load(t.spark, _daily_documents(t), root, start, end, store=published)
+    landed = _events_of(published.read_landed(t.spark, root, start, end))
+    root, tables = scratch_dir(t.spark, "snapshot"), {name: getattr(t, name) for name in SNAPSHOT}
+    transfer.publish_snapshot(tables, root)
+    found = transfer.read_snapshot(t.spark, root, {name: table.schema for name, table in tables.items()})
+    lines = [_lines(found[name], name, SNAPSHOT_ROWS[name]) for name in SNAPSHOT]
+    return functools.reduce(DataFrame.unionByName, [*lines, _lines(landed, "events", LOADED)])
