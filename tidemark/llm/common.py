@@ -9,8 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import ship
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A Parquet table of the folder. The operators run in Python workers, which get the package here."""
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import extended, free_names, slices, utf8
-from tidemark.llm.windows import Units, covered, in_blocks, kept_runs, marked_places, narrowed, repeated, row_key, spans
+from tidemark.llm.windows import Units, covered, kept_runs, marked_places, repeated, row_key, spans
 
 WORDS = 50
 GRAM = 8
@@ -62,12 +62,14 @@ def factor(reach: np.ndarray, offset: int, windows: int, width: int) -> list[tup
 
 
 def solver(units: Units):
-    def solve(items: list[dict]) -> list[list[tuple[int, int]]]:
-        out: list[list[tuple[int, int]]] = [[] for _ in items]
+    """Factors of each segment against those of earlier documents, and of its later copies against it and these."""
+
+    def solve(items: list[dict]) -> list[tuple[list[tuple[int, int]], list[tuple[int, int]]]]:
+        out: list = [([], []) for _ in items]
         start = 0
         while start < len(items):
-            stop = start
-            while stop < len(items) and items[stop]["h"] == items[start]["h"]:
+            stop, group = start, (items[start]["g"], items[start]["h"], items[start]["k"])
+            while stop < len(items) and (items[stop]["g"], items[stop]["h"], items[stop]["k"]) == group:
                 stop += 1
             # A null id comes after every other.
             order = sorted(range(start, stop), key=lambda i: (items[i]["doc_id"] is None, items[i]["doc_id"] or 0))
@@ -81,8 +83,12 @@ def solver(units: Units):
             for row, i in enumerate(order):
                 if items[i]["doc_id"] != items[order[earlier]]["doc_id"]:
                     earlier = row
+                runs, later = [], []
                 if earlier:
-                    out[i] = factor(block.reach(row, earlier), offsets[row], items[i]["windows"], units.width)
+                    runs = factor(block.reach(row, earlier), offsets[row], items[i]["windows"], units.width)
+                if items[i]["again"]:
+                    later = factor(block.reach(row, row + 1), offsets[row], items[i]["windows"], units.width)
+                out[i] = runs, later
             start = stop
         return out
 
@@ -96,14 +102,11 @@ def duplicate_spans(documents: DataFrame, width: int = WORDS, gram: int = GRAM)
     and gives way to any other; rows of one doc_id are no sources for each other.
     """
     units = Units("words", width, gram)
-    found = repeated(documents, units)
-    parsed = in_blocks(found.few, solver(units))
     later = (F.col("source") < F.col("doc_id")) | (F.col("doc_id").isNull() & F.col("source").isNotNull())
-    crowded = narrowed(found.many, units, lambda n: later)
-    lz = parsed if crowded is None else parsed.unionByName(crowded)
-    sources = found.contents.select("h", "c", F.col("doc_id").alias("source")).join(lz, ["h", "c"], "left")
-    whole = F.array(F.struct(F.lit(0).alias("a"), (F.col("windows") - 1).alias("b")))
-    marks = marked_places(found.places, sources).withColumn("runs", F.when(later, whole).otherwise(F.col("runs")))
+    again = (F.col("most") > F.col("least")) | ((F.col("nulls") > 0) & F.col("least").isNotNull())
+    found = repeated(documents, units, F.coalesce(again, F.lit(False)), later, solver(units))
+    parsed = found.contents.select("h", "c", F.col("doc_id").alias("source")).join(found.solved, ["h", "c"])
+    marks = marked_places(found.places, parsed).withColumn("runs", F.when(later, F.col("later")).otherwise(F.col("runs")))
     return spans(marks.where("runs IS NOT NULL"), units)
 
 

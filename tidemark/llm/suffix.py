@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices, utf8
-from tidemark.llm.windows import Units, covered, in_blocks, kept_runs, marked_places, narrowed, repeated, row_key, spans
+from tidemark.llm.windows import Units, covered, kept_runs, marked_places, repeated, row_key, spans
 
 LENGTH = 400
 GRAM = 16
@@ -120,16 +120,19 @@ def repeated_places(data: bytes, valid: np.ndarray, length: int) -> np.ndarray:
 
 
 def solver(length: int):
-    def solve(items: list[dict]) -> list[list[tuple[int, int]]]:
-        data = b"".join(item["data"] for item in items)
-        base = np.concatenate(([0], np.cumsum([len(item["data"]) for item in items])))
-        valid = np.concatenate([np.arange(item["windows"]) + start for item, start in zip(items, base.tolist())])
+    """Runs of places in each segment whose strings come twice in the block; one with copies stands in it twice."""
+
+    def solve(items: list[dict]) -> list[tuple[list[tuple[int, int]], list[tuple[int, int]]]]:
+        placed = items + [item for item in items if item["again"]]
+        data = b"".join(item["data"] for item in placed)
+        base = np.concatenate(([0], np.cumsum([len(item["data"]) for item in placed])))
+        valid = np.concatenate([np.arange(item["windows"]) + start for item, start in zip(placed, base.tolist())])
         marked = np.zeros(len(data), bool)
         marked[repeated_places(data, valid, length)] = True
         out = []
         for item, start in zip(items, base.tolist()):
             runs = kept_runs(marked[start : start + item["windows"]])
-            out.append([(a, b - 1) for a, b in runs])
+            out.append(([(a, b - 1) for a, b in runs], []))
         return out
 
     return solve
@@ -138,14 +141,9 @@ def solver(length: int):
 def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, t, spans): byte ranges that strings of ``length`` bytes cover which start anywhere else too."""
     units = Units("bytes", length, gram)
-    found = repeated(documents, units)
-    sorted_out = in_blocks(found.few, solver(length))
-    crowded = narrowed(found.many, units, lambda n: F.col(n) > 1)
-    runs = sorted_out if crowded is None else sorted_out.unionByName(crowded)
-    contents = found.contents.select("h", "c", "n").join(runs, ["h", "c"], "left")
-    whole = F.array(F.struct(F.lit(0).alias("a"), (F.col("windows") - 1).alias("b")))
-    marks = marked_places(found.places, contents).withColumn("runs", F.when(F.col("n") > 1, whole).otherwise(F.col("runs")))
-    return spans(marks.where("runs IS NOT NULL"), units)
+    several = F.col("n") > 1
+    found = repeated(documents, units, several, several, solver(length))
+    return spans(marked_places(found.places, found.solved), units)
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:

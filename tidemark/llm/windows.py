@@ -3,8 +3,9 @@
 Every window has one anchor: the leftmost of its smallest grams by hash, which depends on the window's content
 alone. So two equal windows have equal anchors at equal offsets, and only places with equal anchors need to be
 compared. The windows of one text that share an anchor are consecutive; the text from the first one's start to
-the last one's end is a segment, of bounded length. Segments of one content are counted without their text;
-what differs under one anchor is compared by the caller's method, in blocks.
+the last one's end is a segment, of bounded length. Segments of one content are counted without their text and have one
+representative, which stands for its copies too: contents that differ under one anchor, and a content with its copies, are
+compared by the caller's method, in blocks of bounded groups.
 """
 
 from __future__ import annotations
@@ -167,16 +168,26 @@ def segments(documents: DataFrame, units: Units) -> DataFrame:
     )
 
 
+TEXTS = pa.schema([
+    ("h", pa.int64()), ("c", pa.int64()), ("doc_id", pa.int64()), ("windows", pa.int32()), ("data", pa.binary()),
+    ("crowded", pa.bool_()), ("again", pa.bool_()),
+])
+RUNS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+SOLVED = pa.schema([("h", pa.int64()), ("k", pa.int64()), ("c", pa.int64()), ("runs", RUNS), ("later", RUNS)])
+#: What a solver gives for each item: runs of marked windows in the item, and in a later copy of it.
+Solver = Callable[[list[dict]], list[tuple[list[tuple[int, int]], list[tuple[int, int]]]]]
+
+
 def texts_of(documents: DataFrame, wanted: DataFrame, units: Units) -> DataFrame:
-    """The bytes of the wanted segments (h, c, doc_id, t, first, windows, crowded), with h, c, doc_id and crowded."""
-    part = F.struct("h", "c", "first", "windows", "crowded")
+    """The bytes of the wanted segments (h, c, doc_id, t, first, windows, crowded, again), with all but t and first."""
+    part = F.struct("h", "c", "first", "windows", "crowded", "again")
     lists = wanted.groupBy("doc_id", "t").agg(F.collect_list(part).alias("parts"))
     lists = lists.withColumnsRenamed({"doc_id": "_doc", "t": "_t"})
     joined = documents.join(lists, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[] for _ in TEXTS]
             for row in range(batch.num_rows):
                 cut = units.cutter(utf8(batch.column(1)[row].as_py()))
                 for part in batch.column(2)[row].as_py():
@@ -187,35 +198,34 @@ def texts_of(documents: DataFrame, wanted: DataFrame, units: Units) -> DataFrame
                     out[3].append(part["windows"])
                     out[4].append(cut(part["first"], stop))
                     out[5].append(part["crowded"])
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, kind) for x, kind in zip(out, kinds)], ["h", "c", "doc_id", "windows", "data", "crowded"]
-            )
+                    out[6].append(part["again"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, field.type) for x, field in zip(out, TEXTS)], schema=TEXTS)
 
     return joined.select("doc_id", "text", "parts").mapInArrow(
-        run, "h long, c long, doc_id long, windows int, data binary, crowded boolean"
+        run, "h long, c long, doc_id long, windows int, data binary, crowded boolean, again boolean"
     )
 
 
-def in_blocks(parts: DataFrame, solve: Callable[[list[dict]], list[list[tuple[int, int]]]]) -> DataFrame:
-    """Runs of windows (h, c, runs) that ``solve`` finds in blocks of segments; an anchor is never split."""
+def in_blocks(parts: DataFrame, solve: Solver) -> DataFrame:
+    """Runs of windows (h, k, c, runs, later) that ``solve`` finds in blocks of items (g, h, k, c, doc_id, windows, data, again).
+
+    A group g is never split. ``again`` items have copies that are not items of their own.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         size = 0
 
         def result() -> pa.RecordBatch:
-            pairs = [(x["h"], x["c"], runs) for x, runs in zip(held, solve(held)) if runs]
-            kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-            runs = [[{"a": a, "b": b} for a, b in found] for _, _, found in pairs]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64()), pa.array(runs, kind)],
-                ["h", "c", "runs"],
-            )
+            rows = [(x["h"], x["k"], x["c"], runs, later) for x, (runs, later) in zip(held, solve(held)) if runs or later]
+            columns = list(zip(*rows)) if rows else [[] for _ in SOLVED]
+            for at in (3, 4):
+                columns[at] = [[{"a": a, "b": b} for a, b in found] for found in columns[at]]
+            return pa.RecordBatch.from_arrays([pa.array(x, field.type) for x, field in zip(columns, SOLVED)], schema=SOLVED)
 
         for batch in batches:
             for item in batch.to_pylist():
-                if size >= BLOCK_BYTES and item["h"] != held[-1]["h"]:
+                if size >= BLOCK_BYTES and item["g"] != held[-1]["g"]:
                     yield result()
                     held, size = [], 0
                 held.append(item)
@@ -223,8 +233,9 @@ def in_blocks(parts: DataFrame, solve: Callable[[list[dict]], list[list[tuple[in
         if held:
             yield result()
 
-    ordered = parts.repartition("h").sortWithinPartitions("h", "doc_id", "c")
-    return ordered.mapInArrow(run, "h long, c long, runs array<struct<a: int, b: int>>")
+    ordered = parts.repartition("g").sortWithinPartitions("g", "h", "k", "doc_id", "c")
+    runs = "array<struct<a: int, b: int>>"
+    return ordered.mapInArrow(run, f"h long, k long, c long, runs {runs}, later {runs}")
 
 
 def classes(parts: DataFrame, units: Units, size: int) -> DataFrame:
@@ -264,35 +275,68 @@ def classes(parts: DataFrame, units: Units, size: int) -> DataFrame:
     return parts.repartition("h", "c").select("h", "c", "doc_id", "windows", "data", "ranges").mapInArrow(run, schema)
 
 
-def narrowed(parts: DataFrame, units: Units, repeats: Callable[[str], Column]) -> DataFrame | None:
+def cut_out(parts: DataFrame, wanted: DataFrame, units: Units) -> DataFrame:
+    """The wanted runs a to b (h, c, a, b, g, k, f, doc_id, again) of contents as items, each with its own text."""
+    kept = ["g", "h", "k", "f", "doc_id", "again"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                texts, counts = [], []
+                for data, a, b in zip(*(part.column(at).to_pylist() for at in (6, 7, 8))):
+                    data, starts, ends, _ = units.load(data)
+                    texts.append(data[starts[a] : ends[b + units.width - 1]])
+                    counts.append(b - a + 1)
+                columns = [*part.columns[:6], pa.array(texts, pa.binary()), pa.array(counts, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["g", "h", "k", "c", "doc_id", "again", "data", "windows"])
+
+    schema = "g long, h long, k long, c long, doc_id long, again boolean, data binary, windows int"
+    return wanted.join(parts.select("h", "c", "data"), ["h", "c"]).select(*kept, "data", "a", "b").mapInArrow(run, schema)
+
+
+def copies() -> list[Column]:
+    """What is known of the rows of one content: their number, least and largest id, and how many have none."""
+    return [F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count_if(F.col("doc_id").isNull()).alias("nulls")]
+
+
+def narrowed(parts: DataFrame, units: Units, again: Column, done: Column, solve: Solver) -> DataFrame | None:
     """Runs of windows (h, c, runs) for anchors with too many contents; None where there are none.
 
-    Contents are cut into classes of fewer and fewer windows. Runs that agree in all they cover are one from then
-    on: ``repeats`` says, for each against the first of them (``source``, count ``n``), whether its windows are
-    marked. What shares only its common part with others goes on to the next size; at size 1 a run is a window.
+    Contents are cut into classes of fewer and fewer windows, by what all windows of a class have in common: only these can be
+    equal. Runs that agree in all they cover are one form from then on. A class of MAX_CONTENTS forms at most is a group
+    for ``solve``; a larger one goes on to the next size, less the runs that are ``done`` as copies of a form, which the
+    form alone decides. At size 1 a class has one form.
     """
     if parts.isEmpty():
         return None
+    spark = parts.sparkSession
     marks, current = [], parts.withColumn("ranges", F.lit(None).cast("array<struct<a: int, b: int>>"))
     for size in units.class_sizes:
-        runs = materialise(parts.sparkSession, classes(current, units, size), "classes")
+        runs = materialise(spark, classes(current, units, size).withColumn("form", F.struct("h", "k", "f")), "classes")
         place = F.struct(F.col("doc_id").isNull(), "doc_id", "c", "a", "b")
-        same = runs.groupBy("h", "k", "f").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
-        bit = F.pmod(F.hash("h", "k", "f"), F.lit(2))
-        told = same.withColumn("source", F.col("first.doc_id")).withColumn("bit", bit)
-        joined = runs.withColumn("bit", bit).join(told, ["h", "k", "f", "bit"])
-        hit = F.coalesce(repeats("n"), F.lit(False))
-        marks.append(joined.where(hit).select("h", "c", F.struct("a", "b").alias("r")))
+        same = runs.groupBy("form").agg(*copies(), F.min(place).alias("first")).withColumn("again", again)
+        same = same.withColumn("class", F.struct("form.h", "form.k"))
+        forms = same.groupBy("class").agg(F.count(F.lit(1)).alias("forms"))
+        told = splittable_join(forms, same, "class").withColumn("open", F.col("forms") > MAX_CONTENTS)
+        told = materialise(spark, told, "forms")
+        group = F.when(F.col("open"), F.xxhash64("form")).otherwise(F.xxhash64("class")).alias("g")
+        items = told.where("again OR (forms > 1 AND NOT open)").select("form.*", "first.*", "again", group)
+        solved = in_blocks(cut_out(parts, items, units), solve).select(F.struct("h", "k", F.col("c").alias("f")).alias("form"), "runs", "later")
+        known = splittable_join(told.select("form", "n", "open", "first", F.col("first.doc_id").alias("source")), solved, "form", "left")
+        joined = materialise(spark, splittable_join(known, runs, "form"), "narrowed")
+        is_done = F.coalesce(done, F.lit(False))
+        found = F.when(is_done, F.coalesce(F.when(F.size("later") > 0, F.col("later")), F.col("runs"))).otherwise(F.col("runs"))
+        shifted = F.explode(F.transform(found, lambda r: F.struct((F.col("a") + r["a"]).alias("a"), (F.col("a") + r["b"]).alias("b"))))
+        marks.append(joined.select("h", "c", shifted.alias("r")))
         if size == 1:
             break
-        mixed = same.groupBy("h", "k").agg(F.count(F.lit(1)).alias("forms")).where("forms > 1").select("h", "k")
-        # A marked run is done, unless it stands for its form against the others.
-        open_runs = joined.where(~hit | ((F.col("c") == F.col("first.c")) & (F.col("a") == F.col("first.a"))))
-        # A partitioning of its own, so that a common part with many runs can be split.
-        part = F.pmod(F.hash("h", "k"), F.lit(2))
-        left = open_runs.select("h", "k", "c", F.struct("a", "b").alias("r"), part.alias("part"))
-        left = left.join(mixed.withColumn("part", part), ["h", "k", "part"], "left_semi")
-        ranges = left.groupBy("h", "c").agg(F.collect_set("r").alias("ranges"))
+        # A copy is done; what stands for its form goes on against the others.
+        stands = (F.col("c") == F.col("first.c")) & (F.col("a") == F.col("first.a"))
+        ranges = joined.where(F.col("open") & (~is_done | stands)).groupBy("h", "c").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
+        ranges = materialise(spark, ranges, "ranges")
+        if ranges.isEmpty():
+            break
         current = parts.join(ranges, ["h", "c"])
     united = marks[0]
     for other in marks[1:]:
@@ -302,16 +346,19 @@ def narrowed(parts: DataFrame, units: Units, repeats: Callable[[str], Column]) -
 
 @dataclass
 class Repeated:
-    """Segments whose anchor occurs at least twice, their contents, and the contents to compare, with text."""
+    """Segments whose anchor occurs at least twice, their contents, and the runs that the solver found in these."""
 
     places: DataFrame
     contents: DataFrame
-    few: DataFrame
-    many: DataFrame
+    solved: DataFrame
+
 
+def repeated(documents: DataFrame, units: Units, again: Column, done: Column, solve: Solver) -> Repeated:
+    """``documents``: doc_id, t (``row_key``), text. Contents have their count and their smallest place.
 
-def repeated(documents: DataFrame, units: Units) -> Repeated:
-    """``documents``: doc_id, t (``row_key``), text. Contents have their count and their smallest place."""
+    ``again`` tells of a content (n, least, most and number of null ids) whether its copies matter, ``done`` of a place beside
+    its content (n, source) whether it is such a copy. Every marked window comes from ``solve``.
+    """
     spark = documents.sparkSession
     found = materialise(spark, segments(documents, units), "segments")
     anchor = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), (F.min("c") != F.max("c")).alias("mixed"))
@@ -319,15 +366,21 @@ def repeated(documents: DataFrame, units: Units) -> Repeated:
     discard(found)
     # Nulls last: a null id is never the first place while there is another.
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "t", "first", "windows")
-    contents = places.groupBy("h", "c").agg(
-        F.count(F.lit(1)).alias("n"), F.min(place).alias("p"), F.first("mixed").alias("mixed")
-    )
-    contents = materialise(spark, contents.select("h", "c", "n", "mixed", "p.doc_id", "p.t", "p.first", "p.windows"), "contents")
-    mixed = contents.where("mixed")
-    crowd = mixed.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > MAX_CONTENTS)
-    tagged = splittable_join(mixed, crowd, "h", "left").withColumn("crowded", F.col("m").isNotNull())
+    contents = places.groupBy("h", "c").agg(*copies(), F.min(place).alias("p"), F.first("mixed").alias("mixed"))
+    contents = contents.withColumn("again", again)
+    contents = materialise(spark, contents.select("h", "c", "n", "mixed", "again", "p.doc_id", "p.t", "p.first", "p.windows"), "contents")
+    compared = contents.where("mixed OR again")
+    crowd = compared.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > MAX_CONTENTS)
+    tagged = splittable_join(crowd, compared, "h", "right").withColumn("crowded", F.col("m").isNotNull())
     parts = materialise(spark, texts_of(documents, tagged, units), "parts")
-    return Repeated(places, contents, parts.where("NOT crowded"), parts.where("crowded"))
+    # Copies of a crowded anchor's contents are decided by each content alone, the rest by ever smaller classes.
+    group = F.when(F.col("crowded"), F.xxhash64("h", "c")).otherwise(F.col("h"))
+    items = parts.where("again OR NOT crowded").withColumns({"g": group, "k": F.lit(0).cast("long")}).drop("crowded")
+    solved = in_blocks(items, solve).select("h", "c", "runs", "later")
+    crowded = narrowed(parts.where("crowded"), units, again, done, solve)
+    if crowded is not None:
+        solved = solved.unionByName(crowded, allowMissingColumns=True)
+    return Repeated(places, contents, solved)
 
 
 def marked_places(places: DataFrame, contents: DataFrame) -> DataFrame:
