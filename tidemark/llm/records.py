@@ -81,11 +81,27 @@ class Written(WriterCommitMessage):
 
 
 class RecordWriter(DataSourceArrowWriter):
-    def __init__(self, url: str):
+    """``tokenizer`` names a tokenizer file for rows of (id, text), whose ids are then made here, each with ``end`` behind."""
+
+    def __init__(self, url: str, tokenizer: str | None = None, end: int = 0):
         self.url = url
+        self.tokenizer = tokenizer
+        self.end = end
+
+    def records(self, iterator: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes]]:
+        """Id and token ids of every row."""
+        if self.tokenizer is None:
+            for batch in iterator:
+                yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            return
+        coder, tail = word_tokenizer(self.tokenizer), np.array([self.end], "<u4").tobytes()
+        for batch in slices(iterator, "text", 2 << 20):
+            texts = [text or "" for text in batch.column(1).to_pylist()]
+            for key, ids in zip(batch.column(0).to_pylist(), coder.encode_batch(texts)):
+                yield key, ids + tail
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        """One task's rows (id, ids) in their order; names are new for every attempt, only committed ones are listed."""
+        """One task's rows in their order; names are new for every attempt, only committed ones are listed."""
         store, root = fs.FileSystem.from_uri(self.url)
         store.create_dir(root, recursive=True)
         part = TaskContext.get().partitionId()
@@ -101,20 +117,19 @@ class RecordWriter(DataSourceArrowWriter):
                 files[-1] |= {"records": len(entries), "tokens": first}
             out, entries, offset, first = None, [], 0, 0
 
-        for batch in iterator:
-            for key, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if out is None:
-                    name = f"part-{part:06d}-{len(files):05d}-{uuid.uuid4().hex}"
-                    files.append({"part": part, "number": len(files), "name": name})
-                    out = store.open_output_stream(f"{root}/{name}.records")
-                tokens = np.frombuffer(ids or b"", "<u4")
-                record = frame(pack(key, tokens))
-                out.write(record)
-                entries.append((offset, len(record), len(tokens), first))
-                offset += len(record)
-                first += len(tokens)
-                if offset >= FILE_BYTES:
-                    close()
+        for key, ids in self.records(iterator):
+            if out is None:
+                name = f"part-{part:06d}-{len(files):05d}-{uuid.uuid4().hex}"
+                files.append({"part": part, "number": len(files), "name": name})
+                out = store.open_output_stream(f"{root}/{name}.records")
+            tokens = np.frombuffer(ids or b"", "<u4")
+            record = frame(pack(key, tokens))
+            out.write(record)
+            entries.append((offset, len(record), len(tokens), first))
+            offset += len(record)
+            first += len(tokens)
+            if offset >= FILE_BYTES:
+                close()
         close()
         return Written(files)
 
@@ -138,14 +153,17 @@ class RecordWriter(DataSourceArrowWriter):
 
 
 class RecordSink(DataSource):
-    """``df.write.format("framed_records")`` for rows of (id long, ids binary of unsigned 32-bit integers)."""
+    """``df.write.format("framed_records")`` for rows of (id long, ids binary of unsigned 32-bit integers).
+
+    With the options ``tokenizer`` (a file) and ``end`` (an id) for rows of (id long, text string).
+    """
 
     @classmethod
     def name(cls) -> str:
         return "framed_records"
 
     def writer(self, schema, overwrite: bool) -> RecordWriter:
-        return RecordWriter(self.options["path"])
+        return RecordWriter(self.options["path"], self.options.get("tokenizer"), int(self.options.get("end", 0)))
 
 
 def write_records(rows: DataFrame, url: str) -> None:
@@ -157,8 +175,8 @@ def write_records(rows: DataFrame, url: str) -> None:
 def read_records(spark: SparkSession, url: str, shuffle_seed: int | None = None) -> DataFrame:
     """id, start (tokens of all records before), ids (binary, unsigned 32-bit) of every record, checksums verified.
 
-    A task reads a bounded run of index entries and seeks to them. With a seed, runs and the records of each run
-    come in a random order that the seed fixes.
+    A task reads a bounded run of index entries and their records, some megabytes at a time. With a seed, runs and the records
+    of each run come in a random order that the seed fixes, each read by itself.
     """
     schema = "part int, number int, name string, records bigint, tokens bigint, start bigint"
     files = spark.read.schema(schema).json(f"{url}/manifest.json")
@@ -184,8 +202,9 @@ def read_records(spark: SparkSession, url: str, shuffle_seed: int | None = None)
                     np.random.default_rng([shuffle_seed, run["first"], zlib.crc32(run["name"].encode())]).shuffle(order)
                 with store.open_input_file(f"{root}/{run['name']}.records") as file:
                     keys, starts, ids, held = [], [], [], 0
-                    for entry in entries[order]:
-                        key, tokens = unpack(unframe(file.read_at(int(entry["length"]), int(entry["offset"]))))
+                    stretches = stretched(entries) if shuffle_seed is None else [(at, at + 1) for at in order.tolist()]
+                    for entry, record in stored(file, entries, stretches):
+                        key, tokens = unpack(unframe(record))
                         keys.append(key)
                         starts.append(run["start"] + int(entry["first"]))
                         ids.append(tokens.astype("<u4").tobytes())
@@ -198,6 +217,23 @@ def read_records(spark: SparkSession, url: str, shuffle_seed: int | None = None)
     return runs.mapInArrow(read, "id long, start long, ids binary")
 
 
+def stretched(entries: np.ndarray, size: int = 8 << 20) -> list[tuple[int, int]]:
+    """Ranges of neighbouring entries whose records take about ``size`` bytes."""
+    part = np.cumsum(entries["length"].astype(np.int64)) // size
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(entries)])) if len(entries) else []
+
+
+def stored(file, entries: np.ndarray, stretches: list[tuple[int, int]]) -> Iterator[tuple[np.void, bytes]]:
+    """Each entry of the stretches with its record; a stretch is read in one go."""
+    for first, stop in stretches:
+        begin = int(entries[first]["offset"])
+        data = file.read_at(int(entries[stop - 1]["offset"]) + int(entries[stop - 1]["length"]) - begin, begin)
+        for entry in entries[first:stop]:
+            at = int(entry["offset"]) - begin
+            yield entry, data[at : at + int(entry["length"])]
+
+
 def _batch(keys: list, starts: list, ids: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(starts, pa.int64()), pa.array(ids, pa.binary())], ["id", "start", "ids"])
 
@@ -286,29 +322,17 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def tokenized(documents: DataFrame, path: str, end: int) -> DataFrame:
-    """id and ids of every row of (id, text), ``end`` appended; a null or empty text is the end id alone."""
-    tail = np.array([end], "<u4").tobytes()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = word_tokenizer(path)
-        for batch in slices(batches, "text", 2 << 20):
-            ids = [x + tail for x in coder.encode_batch([text or "" for text in batch.column(1).to_pylist()])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
-
-    return documents.select("id", "text").mapInArrow(run, "id long, ids binary")
-
-
 def tokenize_to_records(documents: DataFrame, path: str, end: int, url: str) -> None:
     """Encode (id, text) and write records in ascending id, nulls first; rows of one id come in text order.
 
-    The texts are dealt out by ranges of ids before they are encoded, so each is encoded once, by the
-    task that writes it. An empty table gives an empty manifest.
+    A null or empty text is the end id alone. The texts are dealt out by ranges of ids before they are encoded, so each
+    is encoded once, by the process that writes it. An empty table gives an empty manifest.
     """
     rows = documents.select(F.col("id").cast("long"), "text")
     # Ranges of ids alone: the driver gets a sample of what they are made of.
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
-    write_records(tokenized(ordered, path, end), url)
+    documents.sparkSession.dataSource.register(RecordSink)
+    ordered.write.format("framed_records").option("tokenizer", path).option("end", end).mode("append").save(url)
 
 
 def op6(spark: SparkSession, folder: str) -> DataFrame:
