@@ -238,6 +238,8 @@ def _batch(keys: list, starts: list, ids: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(starts, pa.int64()), pa.array(ids, pa.binary())], ["id", "start", "ids"])
 
 
+#: Signs that commonly stand behind a word.
+SIGNS = frozenset(".,;:!?")
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
@@ -252,7 +254,7 @@ class WordTokenizer:
     """
 
     #: Words that a generation of the memory holds; words not asked for in two generations are forgotten.
-    REMEMBERED = 120_000
+    REMEMBERED = 200_000
     PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*#%$&()\[\]\"-]*)")
 
     def __init__(self, path: str):
@@ -283,11 +285,15 @@ class WordTokenizer:
         seen, cores, plain = self.seen, self.cores, self.PLAIN.fullmatch
         others = []
         for word in words:
-            found = plain(word)
-            if found is None:
-                others.append(word)
-                continue
-            letters, signs = found.groups()
+            signs = word[-1] if word[-1] in SIGNS else ""
+            letters = word[:-1] if signs else word
+            # The usual word is plain letters with a sign at most; the pattern knows the rest of the plain ones.
+            if not (letters.isascii() and letters.isalpha()):
+                found = plain(word)
+                if found is None:
+                    others.append(word)
+                    continue
+                letters, signs = found.groups()
             letters = letters.lower()
             core = cores.get(letters)
             if core is None:
