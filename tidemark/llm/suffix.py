@@ -109,26 +109,26 @@ def common_prefixes(data: bytes, order: np.ndarray, limit: int) -> np.ndarray:
     return np.minimum(lengths, limit)
 
 
-def repeated_places(data: bytes, valid: np.ndarray, length: int) -> np.ndarray:
-    """Valid places whose next ``length`` bytes start at another valid place too."""
+def repeated_places(data: bytes, valid: np.ndarray, length: int, copies: np.ndarray | None = None) -> np.ndarray:
+    """Valid places whose next ``length`` bytes start at another valid place too; a place may stand for several ``copies``."""
     order = suffix_order(data, valid, length)
-    is_valid = np.zeros(len(data) + 1, bool)
-    is_valid[valid] = True
+    times = np.zeros(len(data) + 1, np.int64)
+    times[valid] = 1 if copies is None else copies
     run = np.cumsum(common_prefixes(data, order, length) < length)
-    count = np.bincount(run, weights=is_valid[order])
-    return order[is_valid[order] & (count[run] >= 2)]
+    count = np.bincount(run, weights=times[order])
+    return order[(times[order] > 0) & (count[run] >= 2)]
 
 
 def solver(length: int):
-    """Runs of places in each segment whose strings come twice in the block; one with copies stands in it twice."""
+    """Runs of places in each segment whose strings come twice in the block; those of a segment with copies count twice."""
 
     def solve(items: list[dict]) -> list[tuple[list[tuple[int, int]], list[tuple[int, int]]]]:
-        placed = items + [item for item in items if item["again"]]
-        data = b"".join(item["data"] for item in placed)
-        base = np.concatenate(([0], np.cumsum([len(item["data"]) for item in placed])))
-        valid = np.concatenate([np.arange(item["windows"]) + start for item, start in zip(placed, base.tolist())])
+        data = b"".join(item["data"] for item in items)
+        base = np.concatenate(([0], np.cumsum([len(item["data"]) for item in items])))
+        valid = np.concatenate([np.arange(item["windows"]) + start for item, start in zip(items, base.tolist())])
+        copies = np.repeat([1 + item["again"] for item in items], [item["windows"] for item in items])
         marked = np.zeros(len(data), bool)
-        marked[repeated_places(data, valid, length)] = True
+        marked[repeated_places(data, valid, length, copies)] = True
         out = []
         for item, start in zip(items, base.tolist()):
             runs = kept_runs(marked[start : start + item["windows"]])
