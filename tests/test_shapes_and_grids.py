@@ -87,3 +87,25 @@ NAMES = ["j03_many_to_many_rows", "a09_distinct_dense_keys", "a09_distinct_of_me
 def test_queries(spark, name):
     folder = "/root/testdata/sf0.001"
     assert difference(QUERIES[name], SQL[name], spark, connect(folder), folder) is None
+
+
+@pytest.mark.parametrize("small", ["left", "right"])
+def test_rows_beside_a_broadcast_side_are_spread(spark, small):
+    few, many = sides(spark, 300, 0.34).coalesce(1), sides(spark, 3_000, 0.34).coalesce(1)
+    left, right = (few, many) if small == "left" else (many, few)
+    left, right = left.withColumnRenamed("id", "l"), right.withColumnRenamed("id", "r")
+    wanted, found = left.join(right, "k"), skew.grid_join(left, right, "k", cell_pairs=8_000)
+    assert found.columns == wanted.columns and rows(found) == rows(wanted)
+    sizes = [r[0] for r in found.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1))).collect()]
+    # All pairs were made by the one task that read the larger side.
+    assert len(sizes) > 5 and max(sizes) < 0.35 * sum(sizes)
+
+
+@pytest.mark.parametrize("cell_pairs", [1, 900])
+def test_grid_without_broadcast_equals_a_join(spark, settings, cell_pairs):
+    settings(**{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    left = sides(spark, 300, 0.34).withColumnRenamed("id", "l").withColumn("m", F.create_map(F.lit("a"), "l"))
+    right = sides(spark, 400, 0.34).withColumnRenamed("id", "r")
+    right = right.unionByName(right.where("k = 0"))
+    found, wanted = skew.grid_join(left, right, "k", cell_pairs), left.join(right, "k")
+    assert found.columns == wanted.columns and rows(found.drop("m")) == rows(wanted.drop("m"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import splittable_join
+from tidemark.operators.skew import broadcastable, splittable_join
 
 
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:
@@ -13,12 +13,6 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(name).alias(f"{prefix}_{name}") for name in df.columns])
 
 
-def broadcastable(df: DataFrame) -> bool:
-    """Whether Spark, by its own size estimate and threshold, broadcasts ``df`` in a join."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-
-
 def join_chain(fact: DataFrame, *steps: tuple[DataFrame, str] | tuple[DataFrame, str, str]) -> DataFrame:
     """Join ``fact`` to a chain of look-up tables, shuffling it once at most.
 
