@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -119,3 +120,19 @@ def test_frames(payload):
 def test_payloads(key, ids):
     found, tokens = records.unpack(records.pack(key, np.array(ids, "<u4")))
     assert (found, tokens.tolist()) == (key, ids)
+
+
+def test_columns_of_words_equal_the_library():
+    """Arrow cuts words where the tokenizer does: at every white space sign, in sliced columns, beside nulls."""
+    signs = [chr(code) for code in range(0x3100) if chr(code).isspace()] + ["\x1c", "​", "﻿", "\x00", "᠎"]
+    texts = [None, "", " ", *[f"{sign}one,{sign}{sign}tWo.{sign}" for sign in signs], "one two one", None, "Wörter,  naïve x9 漢字\n"]
+    coder, tokenizer = records.WordTokenizer(WORDS), Tokenizer.from_file(WORDS)
+    wanted = [tokenizer.encode(value or "", add_special_tokens=False).ids for value in texts]
+    asked = []
+    coder.learn = lambda words: (asked.extend(words), records.WordTokenizer.learn(coder, words))
+    for kind in (pa.string(), pa.large_string()):
+        for first in (0, 2):
+            found = coder.encode_column(pa.array(texts, kind)[first:])
+            assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == wanted[first:]
+    # Each distinct word is looked up once, not each time it stands in a text.
+    assert len(asked) == len(set(asked))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import json
+import operator
 import os
 import re
 import struct
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -95,9 +97,8 @@ class RecordWriter(DataSourceArrowWriter):
                 yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             return
         coder, tail = word_tokenizer(self.tokenizer), np.array([self.end], "<u4").tobytes()
-        for batch in slices(iterator, "text", 2 << 20):
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            for key, ids in zip(batch.column(0).to_pylist(), coder.encode_batch(texts)):
+        for batch in slices(iterator, "text", 4 << 20):
+            for key, ids in zip(batch.column(0).to_pylist(), coder.encode_column(batch.column(1))):
                 yield key, ids + tail
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
@@ -240,7 +241,8 @@ def _batch(keys: list, starts: list, ids: list) -> pa.RecordBatch:
 
 #: Signs that commonly stand behind a word.
 SIGNS = frozenset(".,;:!?")
-SEPARATORS = re.compile("[\x1c-\x1f]")
+TOKEN_ID = operator.attrgetter("id")
+SEPARATORS = "[\x1c-\x1f]"
 
 
 class WordTokenizer:
@@ -266,7 +268,7 @@ class WordTokenizer:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.letters = {byte: letter for letter, byte in byte_letters().items()}
-        self.seen: dict[str, bytes] = {}
+        self.seen: dict[str, bytes] = {"": b""}
         self.before: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
 
@@ -277,11 +279,11 @@ class WordTokenizer:
     def spell(self, letters: str) -> bytes:
         """Ids of lower-case letters, from the library's model."""
         spelled = letters if letters.isascii() else "".join([self.letters[byte] for byte in letters.encode()])
-        tokens = [token.id for token in self.model.tokenize(spelled)]
+        tokens = list(map(TOKEN_ID, self.model.tokenize(spelled)))
         return struct.pack(f"<{len(tokens)}I", *tokens)
 
-    def learn(self, words: set[str]) -> None:
-        """Take up words that are not remembered."""
+    def learn(self, words: list[str]) -> None:
+        """Take up words that are not remembered; they may stand in the memory without ids."""
         seen, cores, plain = self.seen, self.cores, self.PLAIN.fullmatch
         others = []
         for word in words:
@@ -299,7 +301,7 @@ class WordTokenizer:
             if core is None:
                 core = cores[letters] = self.spell(letters)
             if signs:
-                if signs not in seen:
+                if seen.get(signs) is None:
                     seen[signs] = self.ids([signs])[0]
                 core += seen[signs]
             seen[word] = core
@@ -308,18 +310,37 @@ class WordTokenizer:
             seen.update(zip(some, self.ids(some)))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        # Four control characters separate words for str.split but not for the tokenizer.
-        rows = [None if SEPARATORS.search(text) else text.split() for text in texts]
+        return self.encode_column(pa.array(texts, pa.large_string()))
+
+    def encode_column(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text. Arrow cuts and numbers the words, so Python sees each distinct one of the batch once."""
+        texts = pc.fill_null(texts, "")
+        # Four control characters separate words for Arrow, as for str.split, but not for the tokenizer.
+        odd = pc.match_substring_regex(texts, SEPARATORS)
+        cut = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
+        coded = cut.values.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.seen) > self.REMEMBERED:
-            self.seen, self.before = {}, self.seen
+            self.seen, self.before = {"": b""}, self.seen
         if len(self.cores) > 2 * self.REMEMBERED:
             self.cores = {}
-        unknown: set[str] = set().union(*[row for row in rows if row]).difference(self.seen)
-        known = unknown.intersection(self.before)
-        self.seen.update({word: self.before[word] for word in known})
-        self.learn(unknown - known)
-        get = self.seen.__getitem__
-        return [self.ids([text])[0] if row is None else b"".join(map(get, row)) for row, text in zip(rows, texts)]
+        unknown = [word for word, ids in zip(words, map(self.seen.get, words)) if ids is None]
+        former = list(map(self.before.get, unknown))
+        self.seen.update(zip(unknown, former))
+        self.learn([word for word, ids in zip(unknown, former) if ids is None])
+        found = list(map(self.seen.__getitem__, words))
+        table = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        place = coded.indices.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(sizes[place])))
+        # Each word's ids lie in the table from its own start on.
+        shift = (np.cumsum(sizes) - sizes)[place] - ends[:-1]
+        ids = table[np.repeat(shift, sizes[place]) + np.arange(ends[-1])].tobytes()
+        bounds = (4 * ends[cut.offsets.to_numpy()]).tolist()
+        rows = [ids[start:stop] for start, stop in zip(bounds, bounds[1:])]
+        for row in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            rows[row] = self.ids([texts[row].as_py()])[0]
+        return rows
 
 
 @functools.cache
