@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -158,3 +159,26 @@ def test_every_marked_window_comes_from_the_solver(documents, mixed_texts, monke
         monkeypatch.setattr(module, "solver", lambda *_: nothing)
         assert sum(r.n_removed for r in run(frame, 20).collect()) == 0
         monkeypatch.setattr(module, "solver", made)
+
+
+@given(st.lists(st.sampled_from([b"\0", b"a", b"b", b"abcdefgh" * 3, b"\0" * 9, b"\xff" * 8]), min_size=1, max_size=30), st.integers(1, 60), st.data())
+@settings(max_examples=300, deadline=None)
+def test_sorted_places_compare_like_bytes(parts, depth, draw):
+    data = b"".join(parts)
+    places = np.array(sorted(draw.draw(st.sets(st.integers(0, len(data) - 1), min_size=0))), np.int64)
+    found = suffix.sorted_places(data, places, depth)
+    assert sorted(found.tolist()) == places.tolist()
+    beginnings = [data[place : place + depth] for place in found.tolist()]
+    assert beginnings == sorted(beginnings)
+
+
+def test_sorting_holds_no_copies_of_the_suffixes():
+    rng = random.Random(3)
+    passage = rng.randbytes(5_000)
+    data = b"".join(rng.randbytes(3_000) + passage + b"x" * 500 for _ in range(25))
+    tracemalloc.start()
+    order = suffix.suffix_order(data, np.arange(len(data)), 400)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The first 400 bytes of half of all places, held at a time, are over 200 times the data.
+    assert len(order) == len(data) and peak < 130 * len(data)
