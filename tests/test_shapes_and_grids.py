@@ -109,3 +109,38 @@ def test_grid_without_broadcast_equals_a_join(spark, settings, cell_pairs):
     right = right.unionByName(right.where("k = 0"))
     found, wanted = skew.grid_join(left, right, "k", cell_pairs), left.join(right, "k")
     assert found.columns == wanted.columns and rows(found.drop("m")) == rows(wanted.drop("m"))
+
+
+def shuffled(node):
+    """Rows that the shuffles of an executed plan wrote."""
+    kind = node.getClass().getSimpleName()
+    if kind == "ReusedExchangeExec":
+        return 0
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled(node.plan())
+    own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(shuffled(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_shuffles_are_bounded_by_the_rows_not_by_the_pairs(spark, settings, monkeypatch):
+    settings(**{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    monkeypatch.setattr(skew, "MIN_COPIES", 0, raising=False)
+
+    left, right = (sides(spark, n, 0.34).withColumnRenamed("id", name) for n, name in ((2_000, "l"), (12_000, "r")))
+    sums = [F.count(F.lit(1)), F.sum(F.xxhash64("k", "l", "r").cast("decimal(38,0)"))]
+    found = skew.grid_join(left, right, "k", cell_pairs=400).agg(*sums)
+    assert rows(found) == rows(left.join(right, "k").agg(*sums))
+    # Nearly three million pairs: both sides were copied, twenty times as many rows were shuffled as there are.
+    assert shuffled(found._jdf.queryExecution().executedPlan()) < 2.5 * 14_000
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_rows_come_in_runs(spark, settings, threshold):
+    settings(**{"spark.sql.autoBroadcastJoinThreshold": threshold, "spark.sql.adaptive.autoBroadcastJoinThreshold": threshold})
+    left, right = sides(spark, 300, 0.34).withColumnRenamed("id", "l"), sides(spark, 3_000, 0.34).withColumnRenamed("id", "r")
+    found = skew.grid_join(left, right, "k", cell_pairs=2_500).where("k = 0").select(F.spark_partition_id(), "r").collect()
+    assert len(found) == 102 * 1_020
+    # One of the left side with many of the right was followed by the next: no two rows in turn had a value of r in common.
+    assert sum(a == b for a, b in zip(found, found[1:])) > 0.9 * len(found)
