@@ -1,5 +1,6 @@
 """Documents of any shape, mergeable distinct counts and joins of keys that are hot on both sides."""
 
+import itertools
 import random
 
 import pytest
@@ -144,3 +145,14 @@ def test_rows_come_in_runs(spark, settings, threshold):
     assert len(found) == 102 * 1_020
     # One of the left side with many of the right was followed by the next: no two rows in turn had a value of r in common.
     assert sum(a == b for a, b in zip(found, found[1:])) > 0.9 * len(found)
+
+
+def test_strips_are_of_whole_eights(spark, settings):
+    settings(**{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    left, right = sides(spark, 1_200, 0.34).withColumnRenamed("id", "l"), sides(spark, 1_400, 0.34).withColumnRenamed("id", "r")
+    joined = skew.grid_join(left, right, "k", cell_pairs=10_000)
+    assert rows(joined) == rows(left.join(right, "k"))
+    found = joined.where("k = 0").select(F.spark_partition_id(), "r").collect()
+    runs = [len(list(run)) for _, run in itertools.groupby(found)]
+    # Of 408 rows in five strips, seven a strip at most are over and stand in a strip of their own.
+    assert sum(n for n in runs if n % 8 == 0) >= len(found) * 373 // 408 and len(runs) <= 6 * 476
